@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nestra.llm import clusters, splits
+from nestra.llm import clusters, lookalike, packing, splits, tokenizer
 from nestra.runtime import table
 
 
@@ -17,6 +17,11 @@ QUERIES = {
     "p5_found": lambda s, d: clusters.found(table(s, d, "calo_hits"), table(s, d, "tracks")),
     "p5_typical_hits": lambda s, d: clusters.typical_hits(table(s, d, "calo_hits")),
     "p5_track_clusters": lambda s, d: clusters.track_clusters(table(s, d, "tracks")),
+    "p7_ids": lambda s, d: tokenizer.encode(table(s, d, "documents")),
+    "p8_pack": lambda s, d: packing.pack(table(s, d, "documents")),
+    "p8_report": lambda s, d: packing.pack_report(packing.pack(table(s, d, "documents"))),
+    "p9_found": lambda s, d: lookalike.lookalike_pairs(table(s, d, "documents")),
+    "p9_normalized": lambda s, d: lookalike.normalize(table(s, d, "documents")),
 }
 
 SQL = {
