@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from nestra.runtime import Workspace, pieces
 
 #: Bytes of scanned input in a chunk, and states merged at once.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 4 << 20
 FAN_IN = 8
 #: Energies are summed as whole numbers of this fraction, so that the order of merging does not matter.
 ENERGY_UNIT = 1_000_000
