@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestra.runtime import Workspace, size_in_bytes
+from nestra.runtime import Workspace, pieces
 
 RANGE_KEYS = 1 << 17  # keys in a range, about
 TASK_REFS = 1 << 20  # references in a (range, salt), about
@@ -162,7 +162,7 @@ def orphan_references(particles: DataFrame, calo_hits: DataFrame, withdrawn: Dat
     known = particles.where("event_id is not null").select("event_id", F.explode("particle_id").alias("particle_id"), _micros("ingested_at").alias("arrival"), F.lit(False).alias("withdrawn"))
     taken = withdrawn.where("event_id is not null").select("event_id", "particle_id", F.lit(int(NEVER)).alias("arrival"), F.lit(True).alias("withdrawn"))
     keys = known.unionByName(taken).where("particle_id is not null")
-    n_ranges = max(1, round(size_in_bytes(particles.select("event_id", "particle_id")) / (range_keys * BYTES_A_KEY)))
+    n_ranges = pieces(particles.select("event_id", "particle_id"), range_keys * BYTES_A_KEY)
     store = ws.write(keys.repartitionByRange(n_ranges, "event_id", "particle_id").mapInArrow(_store, _STORE))
     bounds = sorted((r[0], r[1]) for r in store.select("first_event", "first_id").collect())  # one per range
     bound_e, bound_i = np.array([b[0] for b in bounds], np.int64), np.array([b[1] for b in bounds], np.int64)

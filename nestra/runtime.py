@@ -40,9 +40,15 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+#: Above this an estimate only says that Spark does not know the size, as of a frame made from rows.
+UNKNOWN = 1 << 53
+
+
 def pieces(df: DataFrame, bytes_each: int, least: int = 1) -> int:
-    """Into how many pieces of about ``bytes_each`` a frame divides."""
-    return max(least, math.ceil(size_in_bytes(df) / bytes_each))
+    """Into how many pieces of about ``bytes_each`` a frame divides; of a frame of unknown size as many as a shuffle has partitions."""
+    if (size := size_in_bytes(df)) >= UNKNOWN:
+        return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, math.ceil(size / bytes_each))
 
 
 class Workspace:
