@@ -180,6 +180,12 @@ def untracked_entering(particles: DataFrame, tracks: DataFrame, calo_hits: DataF
     return flat.where("enter_calo").join(nearest_tracked(particles, tracks), KEY, "left_anti").select(*KEY)
 
 
+def outside_check(particles: DataFrame, calo_hits: DataFrame) -> DataFrame:
+    """``created_inside_calo, n``: whether the first outside ancestors really were created outside; one row, false, if all were."""
+    flat = particles_flat(particles, ("vx", "vy", "vz")).select("event_id", F.col("particle_id").alias("ancestor_outside_calo_id"), inside_calo("vx", "vy", "vz").alias("created_inside_calo"))
+    return first_outside(particles, calo_hits).join(flat, ["event_id", "ancestor_outside_calo_id"]).groupBy("created_inside_calo").agg(F.count(F.lit(1)).alias("n"))
+
+
 def tracked_descendants(particles: DataFrame, tracks: DataFrame) -> DataFrame:
     """``event_id, ancestor_with_track_id, n_particles``: how many particles each tracked ancestor stands for."""
     return nearest_tracked(particles, tracks).groupBy("event_id", "ancestor_with_track_id").agg(F.count(F.lit(1)).alias("n_particles"))

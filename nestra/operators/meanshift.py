@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PAIRS = 1 << 21
+# Steps at most, the shift (as a part of the bandwidth) at which a climb ends, and the share of points that counts as neighbours when a bandwidth is estimated.
 MAX_ITER = 300
-STOP = 1e-3  # of the bandwidth
-QUANTILE = 0.3  # share of points that counts as neighbours when a bandwidth is estimated
+STOP = 1e-3
+QUANTILE = 0.3
 TURN = 2 * math.pi
 
 

@@ -72,6 +72,15 @@ def cardinality(labelled: DataFrame) -> DataFrame:
     return labelled.where("cluster_id <> -1").groupBy("event_id", "cluster_id").agg(F.count(F.lit(1)).alias("n_hits"))
 
 
+def with_global_index(per_cluster: DataFrame, width: int = 4096) -> DataFrame:
+    """Adds ``index``: 0, 1, ... over all clusters in the order of (event_id, cluster_id). Counts are summed over ranges of event_ids first, so only one row per range meets in one task."""
+    ranged = per_cluster.withColumn("_range", F.floor(F.col("event_id") / width))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
+    inner = F.row_number().over(Window.partitionBy("_range").orderBy("event_id", "cluster_id")) - 1
+    return ranged.join(starts, "_range").withColumn("index", F.col("_start") + inner).drop("_range", "_start")
+
+
 def cluster_summary(labelled: DataFrame) -> DataFrame:
     """``event_id, cluster_id, n_hits, cx, cy, cz``: size and mean position."""
     return labelled.groupBy("event_id", "cluster_id").agg(F.count(F.lit(1)).alias("n_hits"), *[F.round(F.avg(c), 4).alias(f"c{c}") for c in "xyz"])

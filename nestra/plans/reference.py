@@ -116,6 +116,7 @@ QUERIES = {
     "forest_edges": _t(P)(ancestry.forest_edges),
     "lineage_existence": _t(P)(lambda p: ancestry.lineage_exists(ancestry.ultimate(p), nested.particles_flat(p, ()))),
     "untracked_entering": _t(P, T, H)(ancestry.untracked_entering),
+    "outside_check": _t(P, H)(ancestry.outside_check),
     "tracked_descendants": _t(P, T)(ancestry.tracked_descendants),
     "grandparents": _t(P)(ancestry.grandparents),
     # Energy.
@@ -141,9 +142,11 @@ QUERIES = {
     "top_pdg_primary": _t(P)(reports.top_primary_codes),
     "particles_per_event_filtered": _t(P)(lambda p: reports.per_event(p, "is_primary and energy > 1.0", ("is_primary", "energy"))),
     "time_statistics": _t(P)(reports.production_times),
+    "time_statistics_first_events": _t(P)(lambda p: reports.production_times(p, 20, "is_primary")),
     "time_histogram": _t(P)(lambda p: reports.histogram(nested.particles_flat(p, ("time_ns",)), "time_ns", 0.0, 25.0, 50)),
     "energy_histogram": _t(P)(lambda p: reports.histogram(nested.particles_flat(p, ("energy", "is_primary")).where("is_primary"), "energy", 0.0, 50.0, 100)),
     "cluster_cardinality": _t(H)(_cells),
+    "cluster_index": _t(H)(lambda h: points.with_global_index(_cells(h))),
     "cluster_count": _t(H)(lambda h: _cells(h).groupBy("event_id").agg(reports.count_rows().alias("n_clusters"))),
     "cluster_size_filter": _t(H)(lambda h: points.large_clusters(energy.with_grid_clusters(h).select("event_id", "cluster_id", "block_no", "pos"), 10)),
     "cluster_summary": _t(H)(lambda h: points.cluster_summary(energy.with_grid_clusters(h))),
@@ -151,6 +154,7 @@ QUERIES = {
     "unique_cells_first_events": _t(H)(lambda h: reports.unique_cells(h, 10)),
     "pdg_name_lookup": _t(P, N)(lambda p, n: reports.named(nested.particles_flat(p, ("pdg_id",)).groupBy("pdg_id").agg(reports.count_rows().alias("n")), n)),
     "distinct_pdg": _t(P)(lambda p: nested.particles_flat(p, ("pdg_id",)).select("pdg_id").distinct()),
+    "all_pdg_names": lambda s, d: reports.named(nested.particles_flat(table(s, d, P), ("pdg_id",)).select("pdg_id").distinct(), schema.pdg_names(s)),
     "pdg_code_of_name": _t(N)(lambda n: reports.code_of(n, "muon-", "muon+", "photon")),
     "class_counts": _t(P)(_classes_of),
     # Points.
@@ -209,6 +213,7 @@ pu as (select s.event_id, s.target as ultimate_ancestor_id, s.units / 1e6 as tot
   from s left join p on p.event_id = s.event_id and p.particle_id = s.target)"""
 _CLASSES = ", ".join(f"({code}, {k})" for k, codes in enumerate(schema.PDG_CLASSES) for code in codes)
 _BY_CLASS = f"{_PURITY}, cl as (select * from (values {_CLASSES}) v(pdg_id, class_id)), bc as (select pu.*, coalesce(cl.class_id, -1)::int as class_id from pu left join cl on cl.pdg_id = pu.pdg_id)"
+_NAMES = ", ".join("({}, '{}')".format(*entry.split(maxsplit=1)).replace("\n", "") for entry in schema.PDG_NAME_ROWS.split(","))
 _CASES = " ".join(f"when total_particle_energy >= {low} then {k}" for k, low in reversed(list(enumerate(energy.INTERVALS))))
 _INTERVALS = f"{_BY_CLASS}, iv as (select * from (select *, (case {_CASES} end)::int as \"interval\" from bc where purity is not null) where \"interval\" is not null)"
 _LABEL = """l as (select *, coalesce(case when abs(x) < 8000 and abs(y) < 8000 and abs(z) < 4500 then (floor(x / 500) + 16) * 1024 + (floor(y / 500) + 16) * 32 + floor(z / 500) + 16 end, -1)::bigint as cluster_id from h),
@@ -266,6 +271,7 @@ SQL = {
     "forest_edges": f"with {_O} select event_id, parent_id, particle_id from o where not is_parent_missing and parent_id <> 0 and parent_id <> particle_id",
     "lineage_existence": f"with recursive {_ULT} select distinct event_id, target as particle_id from u",
     "untracked_entering": f"with recursive {_ENTER}, {_walk('n', 'f.has_track', 'f.is_parent_missing or f.parent_id = f.particle_id', 'f')} select g.event_id, g.particle_id from g anti join n on n.event_id = g.event_id and n.particle_id = g.particle_id where g.enter_calo",
+    "outside_check": f"with recursive {_O}, {_C}, {_walk('x', 'not f.inside', 'f.is_parent_missing or f.parent_id = f.particle_id', 'o')} select a.inside as created_inside_calo, count(*) as n from x semi join c on c.event_id = x.event_id and c.particle_id = x.particle_id join o a on a.event_id = x.event_id and a.particle_id = x.target group by 1",
     "tracked_descendants": f"with recursive {_NEAR} select event_id, target as ancestor_with_track_id, count(*) as n_particles from n group by 1, 2",
     "grandparents": f"with {_P} select c.event_id, c.particle_id, c.time_ns, c.parent_id, a.time_ns as parent_time_ns, a.parent_id as grandparent_id, g.time_ns as grandparent_time_ns from p c join p a on a.event_id = c.event_id and a.particle_id = c.parent_id left join p g on g.event_id = a.event_id and g.particle_id = a.parent_id",
     "particle_purity": f"with recursive {_PURITY} select event_id, ultimate_ancestor_id, total_energy_in_calo, total_particle_energy, purity from pu",
@@ -300,9 +306,11 @@ select r.detector, min(z) as min_z, max(z) as max_z, round(avg(z), 4) as mean_z,
     "top_pdg_primary": f"with {_O} select pdg_id, count(*) as n from o where is_primary and not is_parent_missing group by 1 order by n desc, 1 limit 10",
     "particles_per_event_filtered": f"with {_P} select event_id, count(*) as n from p where is_primary and energy > 1.0 group by 1",
     "time_statistics": f"with {_P} select count(*) as n, round(avg(time_ns), 6) as mean_time, max(time_ns) as max_time from p where time_ns is not null",
+    "time_statistics_first_events": f"with {_P} select count(*) as n, round(avg(time_ns), 6) as mean_time, max(time_ns) as max_time from p where time_ns is not null and is_primary and event_id in (select distinct event_id from particles where event_id is not null order by event_id limit 20)",
     "time_histogram": f"with {_P} " + _histogram("time_ns", 0.0, 25.0, 50, "p"),
     "energy_histogram": f"with {_P}, q as (select * from p where is_primary) " + _histogram("energy", 0.0, 50.0, 100, "q"),
     "cluster_cardinality": f"with {_L} select event_id, cluster_id, count(*) as n_hits from l where cluster_id <> -1 group by 1, 2",
+    "cluster_index": f"with {_L}, n as (select event_id, cluster_id, count(*) as n_hits from l where cluster_id <> -1 group by 1, 2) select *, row_number() over (order by event_id, cluster_id) - 1 as index from n",
     "cluster_count": f"with {_L} select event_id, count(distinct cluster_id) as n_clusters from l where cluster_id <> -1 group by 1",
     "cluster_size_filter": f"with {_L}, n as (select event_id, cluster_id, block_no, pos, count(*) over (partition by event_id, cluster_id) as n_hits from l) select * from n where n_hits >= 10",
     "cluster_summary": f"with {_L} select event_id, cluster_id, count(*) as n_hits, round(avg(x), 4) as cx, round(avg(y), 4) as cy, round(avg(z), 4) as cz from l group by 1, 2",
@@ -310,6 +318,7 @@ select r.detector, min(z) as min_z, max(z) as max_z, round(avg(z), 4) as mean_z,
     "unique_cells_first_events": f"with {_H}, k as (select *, floor(x * 1e5 + 0.5)::bigint as kx, floor(y * 1e5 + 0.5)::bigint as ky, floor(z * 1e5 + 0.5)::bigint as kz from h where {_XYZ} and event_id in (select distinct event_id from calo_hits where event_id is not null order by event_id limit 10)) select detector, kx, ky, kz, event_id, block_no, pos from k qualify row_number() over (partition by detector, kx, ky, kz order by event_id, block_no, pos) = 1",
     "pdg_name_lookup": f"with {_P} select p.pdg_id, coalesce(any_value(n.name), p.pdg_id::varchar) as name, count(*) as n from p left join pdg_names n on n.pdg_id = p.pdg_id group by p.pdg_id",
     "distinct_pdg": f"with {_P} select distinct pdg_id from p",
+    "all_pdg_names": f"with {_P}, v as (select * from (values {_NAMES}) v(pdg_id, name)) select distinct p.pdg_id, coalesce(v.name, p.pdg_id::varchar) as name from p left join v on v.pdg_id = p.pdg_id",
     "pdg_code_of_name": "select name, pdg_id from pdg_names where name in ('muon-', 'muon+', 'photon')",
     "class_counts": f"with {_P}, cl as (select * from (values {_CLASSES}) v(pdg_id, class_id)) select coalesce(cl.class_id, -1)::int as class_id, count(*) as n from p left join cl on cl.pdg_id = p.pdg_id group by 1",
     "percentile_threshold_mask": f"with {_H}, q as (select *, coalesce(total_energy, 0) as en from h where {_XYZ}) select event_id, block_no, pos from q qualify row_number() over (partition by event_id order by en desc, block_no, pos) <= greatest(1, ceil(0.04 * count(*) over (partition by event_id)))",
