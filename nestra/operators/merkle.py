@@ -195,6 +195,10 @@ def nested_particles(particles: DataFrame, lacking: bool = False) -> DataFrame:
     return particles.select("event_id", "block_no", "run_no", *PARTICLE_FIELDS).mapInArrow(partial(_name_particles, lacking), NESTED_PARTICLES)
 
 
+def _own(c: str):
+    return F.coalesce(c, F.array())
+
+
 # Flat tables of a nested frame. Objects are distinct by identity, bridges by (parent, ordinal).
 
 
@@ -259,10 +263,19 @@ def unmatched(calo_hits: DataFrame, particles: DataFrame) -> DataFrame:
 
 def object_counts(calo_hits: DataFrame, particles: DataFrame) -> DataFrame:
     """How much storing each object once saves: ``kind, n_links, n_objects`` of contributions, hits and particles (links of distinct blocks)."""
-    hits, parts = nested_hits(calo_hits), nested_particles(particles)
-    # Only identities are kept, and partial counts form before the shuffle.
-    first = hits.select(F.col("oid.hi").alias("hi"), F.col("oid.lo").alias("lo"), F.transform("children", lambda h: F.struct(h["oid"].alias("oid"), F.transform(h["parts"], lambda p: p["oid"]).alias("parts"))).alias("c")).dropDuplicates(["hi", "lo"])
-    exploded = first.select(F.explode("c").alias("c"))
-    of_parts = parts.select(F.col("oid.hi").alias("hi"), F.col("oid.lo").alias("lo"), F.transform("children", lambda p: p["oid"]).alias("c")).dropDuplicates(["hi", "lo"]).select(F.explode("c").alias("o"))
-    count = lambda df, kind: df.groupBy("o").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n_links"), F.count(F.lit(1)).alias("n_objects")).select(F.lit(kind).alias("kind"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "n_objects")
-    return count(exploded.select(F.explode("c.parts").alias("o")), "contribution").unionByName(count(exploded.select(F.col("c.oid").alias("o")), "hit")).unionByName(count(of_parts, "particle"))
+    # Copies hold the same objects, so objects are counted without dropping copies; links are counted from the sizes of distinct blocks, which are short rows.
+    oids = F.concat(
+        F.transform("children", lambda h: F.struct(F.lit("hit").alias("kind"), h["oid"].alias("oid"))),
+        F.flatten(F.transform("children", lambda h: F.transform(h["parts"], lambda p: F.struct(F.lit("contribution").alias("kind"), p["oid"].alias("oid"))))),
+    )
+    of_particles = nested_particles(particles).select(F.explode(F.transform("children", lambda p: F.struct(F.lit("particle").alias("kind"), p["oid"].alias("oid")))).alias("o"))
+    objects = nested_hits(calo_hits).select(F.explode(oids).alias("o")).unionByName(of_particles).select("o.kind", F.col("o.oid.hi").alias("hi"), F.col("o.oid.lo").alias("lo")).distinct()
+    n_objects = objects.groupBy("kind").agg(F.count(F.lit(1)).alias("n_objects"))
+    longest = lambda *cols: F.greatest(*[F.coalesce(F.array_size(c), F.lit(0)) for c in cols])
+    lists = F.arrays_zip(_own("contrib_particle_ids").alias("i"), _own("contrib_energies").alias("e"))
+    n_parts = F.aggregate(lists, F.lit(0).cast("bigint"), lambda n, h: n + longest(h["i"], h["e"]))
+    sizes = calo_hits.select("event_id", "block_no", longest(*HIT_FIELDS, "contrib_particle_ids", "contrib_energies").cast("bigint").alias("hit"), n_parts.alias("contribution")).dropDuplicates(["event_id", "block_no"])
+    p_sizes = particles.select("event_id", "block_no", longest(*PARTICLE_FIELDS).cast("bigint").alias("particle")).dropDuplicates(["event_id", "block_no"])
+    total = lambda df, kind: df.agg(F.coalesce(F.sum(kind), F.lit(0)).cast("bigint").alias("n_links")).select(F.lit(kind).alias("kind"), "n_links")
+    n_links = total(sizes, "contribution").unionByName(total(sizes, "hit")).unionByName(total(p_sizes, "particle"))
+    return n_links.join(n_objects, "kind", "left").select("kind", "n_links", F.coalesce("n_objects", F.lit(0)).cast("bigint").alias("n_objects"))
