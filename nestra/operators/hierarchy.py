@@ -264,6 +264,11 @@ def _lineage_by_rounds(blocks: DataFrame, descendants: bool, list_most: int) ->
     return every.join(lists, [*key, "part"], "left").select(*[c for c in _NAMES if c != "descendants"], F.coalesce("descendants", F.array().cast("array<bigint>")).alias("descendants"))
 
 
+def descendant_pairs(particles: DataFrame, **tuning) -> DataFrame:
+    """``event_id, particle_id, descendant_id``: one row per descendant of each particle whose parents end."""
+    return lineage(particles, **tuning).where("depth >= 0").select("event_id", "particle_id", F.explode("descendants").alias("descendant_id"))
+
+
 def found(particles: DataFrame, **tuning) -> DataFrame:
     """``event_id, particle_id, root_id, depth`` of each particle that has a parent."""
     return lineage(particles, descendants=False, **tuning).where("parent_id is not null").select("event_id", "particle_id", "root_id", "depth")

@@ -16,6 +16,7 @@ QUERIES = {
     "p3_found": _orphans,
     "p3_report": lambda s, d: orphan_refs.orphan_report(_orphans(s, d)),
     "p4_found": lambda s, d: hierarchy.found(table(s, d, "particles")),
+    "p4_descendants": lambda s, d: hierarchy.descendant_pairs(table(s, d, "particles")),
     "p4_lineage": lambda s, d: hierarchy.lineage(table(s, d, "particles")),
     "p6_found": lambda s, d: merkle.unmatched(table(s, d, "calo_hits"), table(s, d, "particles")),
     "p6_contributions": lambda s, d: merkle.flat_contributions(table(s, d, "calo_hits")),
@@ -59,11 +60,22 @@ union all select 'contributor', i[child_pos + 1], null, null, count(*), coalesce
     "p3_found": f"with {_ORPHANS} select * from o",
     "p3_report": f"with {_ORPHANS} select ref_table, run_no, status, count(*) as n_refs from o group by 1, 2, 3",
     "p4_found": f"with recursive {_FOREST} select event_id, particle_id, root_id, depth from f where parent_id is not null",
+    "p4_descendants": f"with recursive {_FOREST} select w.event_id, w.cur as particle_id, w.id as descendant_id from walk w semi join ends on ends.event_id = w.event_id and ends.id = w.id where w.depth > 0",
     "p6_found": f"""with {_HIT_BLOCKS}, {_CONTRIBS},
 p as (select event_id, block_no, arg_min(px, ingested_at) as px, unnest(range(coalesce(len(arg_min(particle_id, ingested_at)), 0))) as pos from particles group by 1, 2)
 select 'contribution' as kind, event_id, block_no, pos::int as pos, child_pos::int as child_pos from c where (i[child_pos + 1] is null) <> (e[child_pos + 1] is null)
 union all select 'hit', event_id, block_no, pos::int, -1 from g where pos < n_x and coalesce(len(i), 0) = 0 and coalesce(len(e), 0) = 0
 union all select 'particle', event_id, block_no, pos::int, -1 from p where px[pos + 1] is null""",
+    "p6_object_counts": """with b as (select distinct on (event_id, block_no) * from calo_hits),
+h as (select *, unnest(range(greatest(coalesce(len(detector), 0), coalesce(len(x), 0), coalesce(len(y), 0), coalesce(len(z), 0), coalesce(len(total_energy), 0), coalesce(len(contrib_particle_ids), 0), coalesce(len(contrib_energies), 0)))) + 1 as k from b),
+g as (select detector[k] as a, x[k] + 0.0 as x, y[k] + 0.0 as y, z[k] + 0.0 as z, total_energy[k] + 0.0 as t, contrib_particle_ids[k] as i, contrib_energies[k] as e from h),
+c as (select i, e, unnest(range(greatest(coalesce(len(i), 0), coalesce(len(e), 0)))) + 1 as k from g),
+q as (select distinct on (event_id, block_no) * from particles),
+p as (select *, unnest(range(coalesce(len(particle_id), 0))) + 1 as k from q),
+o as (select particle_id[k] as a, parent_id[k] as b, pdg_id[k] as c, is_primary[k] as d, energy[k] as e, time_ns[k] as f, vx[k] + 0.0 as g, vy[k] + 0.0 as h, vz[k] + 0.0 as i, px[k] + 0.0 as j, py[k] + 0.0 as k, pz[k] + 0.0 as l from p)
+select 'contribution' as kind, count(*) as n_links, (select count(*) from (select distinct i[k], e[k] from c)) as n_objects from c
+union all select 'hit', count(*), (select count(*) from (select distinct a, x, y, z, t, coalesce(len(i), -1), coalesce(len(e), -1), i, e from g)) from g
+union all select 'particle', count(*), (select count(*) from (select distinct * from o)) from o""",
     "p6_contributions": f"""with {_HIT_BLOCKS}, {_CONTRIBS}
 select event_id, block_no, pos::int as pos, child_pos::int as child_pos, i[child_pos + 1] as particle_id, e[child_pos + 1] as energy from c""",
 }
