@@ -33,24 +33,40 @@ def cluster_points(calo_hits: DataFrame, tracks: DataFrame, least_energy: float
     return both.where(F.abs("eta") < float("inf"))
 
 
-def percentile_mask(points: DataFrame, percent: float, energy: str = "energy") -> DataFrame:
-    """Adds ``is_top``: the max(1, ceil(percent / 100 * n)) points of highest energy of each event (ties: by block_no, pos). Missing energies come last."""
-    # Rows are ranked within bands of similar energy only, and bands are counted per event: no event is sorted in one task.
+def _ranked(points: DataFrame, energy: str, descending: bool) -> DataFrame:
+    """Adds ``_rank`` (0, 1, ... within the event; ties by block_no, pos) and ``_all`` (points of the event).
+
+    Rows are ranked within bands of similar energy only, and bands are counted per event: no event is sorted in one task.
+    """
     e = F.col(energy)
     band = F.when(e > 0, F.floor(F.log2(e) * 64)).when(e <= 0, F.lit(-1000000)).otherwise(F.lit(-2000000)).cast("bigint")
     banded = points.withColumn("_band", band)
     counts = banded.groupBy("event_id", "_band").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("event_id")
-    above = counts.select("event_id", "_band", (F.sum("_n").over(w.orderBy(F.desc("_band"))) - F.col("_n")).alias("_above"), F.sum("_n").over(w).alias("_all"))
-    rank = F.row_number().over(Window.partitionBy("event_id", "_band").orderBy(F.desc_nulls_last(energy), "block_no", "pos"))
+    order = (lambda c: F.desc_nulls_last(c)) if descending else (lambda c: F.asc_nulls_first(c))
+    before = counts.select("event_id", "_band", (F.sum("_n").over(w.orderBy(order("_band"))) - F.col("_n")).alias("_before"), F.sum("_n").over(w).alias("_all"))
+    inner = F.row_number().over(Window.partitionBy("event_id", "_band").orderBy(order(energy), "block_no", "pos")) - 1
+    return banded.join(before, ["event_id", "_band"]).withColumn("_rank", F.col("_before") + inner).drop("_band", "_before")
+
+
+def percentile_mask(points: DataFrame, percent: float, energy: str = "energy") -> DataFrame:
+    """Adds ``is_top``: the max(1, ceil(percent / 100 * n)) points of highest energy of each event (ties: by block_no, pos). Missing energies come last."""
+    ranked = _ranked(points, energy, descending=True)
     most = F.greatest(F.lit(1), F.ceil(F.lit(percent) / 100 * F.col("_all")))
-    return banded.join(above, ["event_id", "_band"]).withColumn("is_top", rank + F.col("_above") <= most).drop("_band", "_above", "_all")
+    return ranked.withColumn("is_top", F.col("_rank") < most).drop("_rank", "_all")
 
 
 def percentile_clip(points: DataFrame, energy: str = "energy", low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Adds ``clipped``: the energy kept between the event's percentiles (linear interpolation)."""
-    bounds = points.groupBy("event_id").agg(F.percentile(energy, [low, high]).alias("_b"))
-    return points.join(bounds, "event_id").withColumn("clipped", F.when(F.col(energy).isNotNull(), F.greatest(F.least(F.col(energy), F.col("_b")[1]), F.col("_b")[0]))).drop("_b")
+    ranked = _ranked(points.where(F.col(energy).isNotNull()), energy, descending=False)
+    sides = []
+    for name, share in (("_low", low), ("_high", high)):
+        at = F.lit(share) * (F.col("_all") - 1)
+        below = F.max(F.when(F.col("_rank") == F.floor(at), F.col(energy)))
+        above = F.max(F.when(F.col("_rank") == F.ceil(at), F.col(energy)))
+        sides.append((below + (above - below) * F.max(at - F.floor(at))).alias(name))
+    bounds = ranked.groupBy("event_id").agg(*sides)
+    return points.join(bounds, "event_id", "left").withColumn("clipped", F.when(F.col(energy).isNotNull(), F.greatest(F.least(F.col(energy), F.col("_high")), F.col("_low")))).drop("_low", "_high")
 
 
 def split_events(points: DataFrame, bandwidth: float) -> DataFrame:

@@ -41,7 +41,7 @@ def tree_sum(df: DataFrame, chunk: str, keys: list[str], sums: list[str], levels
 
 
 def whole_units(energy: Column | str) -> Column:
-    """An energy as a whole number of units; null, NaN and infinite energies are null."""
+    """An energy as a whole number of units; null, NaN, infinite and energies of 9e12 or more (which no number of units holds) are null."""
     e = F.col(energy) if isinstance(energy, str) else energy
     return F.when(F.abs(e) < 9e12, F.floor(e * ENERGY_UNIT + 0.5).cast("bigint"))
 
