@@ -75,10 +75,10 @@ def _count_words(pattern: str, batches):
 
 
 def frequent_words(documents: DataFrame, most: int = LEXICON_WORDS, pattern: str | None = None) -> list[bytes]:
-    """The ``most`` words that occur most often in all texts (ties: smaller bytes first)."""
+    """The ``most`` words that occur most often in all texts, at least twice (ties: smaller bytes first)."""
     p = pattern or _pattern()
     counted = documents.select("text").mapInArrow(lambda batches: _count_words(p, batches), "word binary, n bigint")
-    total = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    total = counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     return [bytes(r.word) for r in total.orderBy(F.desc("n"), "word").limit(most).collect()]
 
 
