@@ -2,7 +2,7 @@
 
 Each round every vertex tosses a coin (a hash of vertex and round). A vertex with tails that has neighbours with heads collapses into the smallest of them; edges are renamed by two joins, loops and
 repeats vanish. In expectation at least a quarter of the vertices that still have edges collapse per round, however long the chains and however large the hubs are. The moves of all rounds are
-then unwound from the last to the first, each move being looked up once.
+then unwound: moves of ``TOGETHER`` consecutive rounds become one, until a single one is left.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from nestra.runtime import Workspace
 
+TOGETHER = 4  # rounds
+
 
 def _coin(v: str, r: int) -> Column:
     return F.pmod(F.xxhash64("g", v, F.lit(r)), F.lit(2))
@@ -23,6 +25,17 @@ def _simple(edges: DataFrame) -> DataFrame:
     return edges.where("u <> v").select("g", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
+def _compose(moves: list[DataFrame]) -> DataFrame:
+    """Moves of consecutive rounds as one: what moved in a round is looked up in each later one."""
+    out = []
+    for i, move in enumerate(moves):
+        for later in moves[i + 1 :]:
+            onward = later.select("g", F.col("vertex").alias("root"), F.col("root").alias("next"))
+            move = move.join(onward, ["g", "root"], "left").select("g", "vertex", F.coalesce("next", "root").alias("root"))
+        out.append(move)
+    return reduce(DataFrame.unionByName, out)
+
+
 def components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """``g, vertex, root`` for every vertex that collapsed, from undirected edges ``g, u, v`` (bigint; a vertex is (g, u)).
 
@@ -41,15 +54,10 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
         renamed = left.join(by("u"), ["g", "u"], "left").join(by("v"), ["g", "v"], "left")
         old, left = left, ws.write(_simple(renamed.select("g", F.coalesce("u2", "u").alias("u"), F.coalesce("v2", "v").alias("v"))))
         ws.drop(old)
-        moves.append(mates)
+        moves.append(mates.select("g", F.col("child").alias("vertex"), F.col("parent").alias("root")))
         r += 1
-    done: list[DataFrame] = []
-    for mates in reversed(moves):
-        if not done:
-            done.append(mates.select("g", F.col("child").alias("vertex"), F.col("parent").alias("root")))
-            continue
-        later = reduce(DataFrame.unionByName, done).select("g", F.col("vertex").alias("parent"), F.col("root").alias("last"))
-        done.append(ws.write(mates.join(later, ["g", "parent"], "left").select("g", F.col("child").alias("vertex"), F.coalesce("last", "parent").alias("root"))))
-    if not done:
+    if not moves:
         return left.select("g", F.col("u").alias("vertex"), F.col("v").alias("root"))
-    return reduce(DataFrame.unionByName, done)
+    while len(moves) > 1:
+        moves = [ws.write(_compose(moves[k : k + TOGETHER])) for k in range(0, len(moves), TOGETHER)]
+    return moves[0]
