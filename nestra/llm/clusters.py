@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nestra.llm.contraction import components
@@ -266,11 +266,8 @@ def hit_clusters(calo_hits: DataFrame, limit: float = HIT_LIMIT, least: int = HI
     return out.unionByName(_large_events(blocks.join(large, "event_id", "left_semi"), limit, least, most_hits, ws)) if any_large else out
 
 
-def track_clusters(tracks: DataFrame, limit: float = TRACK_LIMIT, least: int = TRACK_LEAST) -> DataFrame:
-    """Members of the clusters of tracks by phi, which closes on itself; columns and rules as hit_clusters.
-
-    Angles outside [-pi, pi] are brought in; a track without phi (null, NaN, infinite) is in no cluster. An event has at most 2 pi / limit bins, however many tracks it has.
-    """
+def _track_members(tracks: DataFrame, limit: float, least: int) -> DataFrame:
+    """The columns of track_clusters and each member's ``phi``, brought into [-pi, pi]."""
     turn, width = 2 * math.pi, limit * (1 - 1e-9)
     arrival = F.coalesce(F.unix_micros("ingested_at"), F.lit(2**63 - 1))
     once = tracks.where("event_id is not null and block_no is not null").groupBy("event_id", "block_no").agg(F.min_by("phi", arrival).alias("phi"))
@@ -287,7 +284,15 @@ def track_clusters(tracks: DataFrame, limit: float = TRACK_LIMIT, least: int = T
     low = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     high = lambda c: F.shiftright(c, 32).cast("int")
     members = each.join(final, ["event_id", "bin"])
-    return members.select("event_id", high("first").alias("first_block_no"), low("first").alias("first_pos"), high("point").alias("block_no"), low("point").alias("pos"), "n_members")
+    return members.select("event_id", high("first").alias("first_block_no"), low("first").alias("first_pos"), high("point").alias("block_no"), low("point").alias("pos"), "n_members", "phi")
+
+
+def track_clusters(tracks: DataFrame, limit: float = TRACK_LIMIT, least: int = TRACK_LEAST) -> DataFrame:
+    """Members of the clusters of tracks by phi, which closes on itself; columns and rules as hit_clusters.
+
+    Angles outside [-pi, pi] are brought in; a track without phi (null, NaN, infinite) is in no cluster. An event has at most 2 pi / limit bins, however many tracks it has.
+    """
+    return _track_members(tracks, limit, least).drop("phi")
 
 
 def found(calo_hits: DataFrame, tracks: DataFrame, **tuning) -> DataFrame:
@@ -313,7 +318,28 @@ def typical_hits(calo_hits: DataFrame, k: int = 3, salts: int = 64, **tuning) ->
     cluster = ["event_id", "first_block_no", "first_pos"]
     means = placed.groupBy(*cluster).agg(*[F.round(F.avg(c), 6).alias(f"a{c}") for c in "xyz"])
     d2 = sum(((F.col(c) - F.col(f"a{c}")) * (F.col(c) - F.col(f"a{c}")) for c in "xyz"), F.lit(0.0))
-    ranked = placed.join(means, cluster).select(*cluster, "n_members", F.pmod(F.xxhash64("block_no", "pos"), F.lit(salts)).alias("salt"), F.struct(F.round(d2, 4).alias("d2"), "block_no", "pos").alias("s"))
+    return _nearest(placed.join(means, cluster), F.round(d2, 4), k, salts)
+
+
+def typical_tracks(tracks: DataFrame, k: int = 3, salts: int = 64, limit: float = TRACK_LIMIT, least: int = TRACK_LEAST) -> DataFrame:
+    """Each cluster of tracks by size and its ``k`` most typical members, nearest to the mean of phi the short way round first (ties: by block_no, pos).
+
+    Columns as typical_hits. The mean is that of directions (atan2 of the sums of sines and cosines); both are summed as whole 1e-9, so the order of summing does not matter, and distances are compared to 1e-9 rad.
+    Where the directions of a cluster cancel out there is no mean, and 0 stands for it.
+    """
+    ws = Workspace(tracks.sparkSession)
+    members = ws.write(_track_members(tracks, limit, least))
+    cluster = ["event_id", "first_block_no", "first_pos"]
+    units = lambda c: F.sum(F.floor(c * 1e9 + 0.5).cast("bigint"))
+    means = members.groupBy(*cluster).agg(F.atan2(units(F.sin("phi")), units(F.cos("phi"))).alias("mean"))
+    apart = F.abs(F.col("phi") - F.col("mean"))
+    return _nearest(members.join(means, cluster), F.round(F.least(apart, 2 * math.pi - apart), 9), k, salts)
+
+
+def _nearest(members: DataFrame, distance: Column, k: int, salts: int) -> DataFrame:
+    """The ``k`` members of least distance of each cluster, with their rank."""
+    cluster = ["event_id", "first_block_no", "first_pos"]
+    ranked = members.select(*cluster, "n_members", F.pmod(F.xxhash64("block_no", "pos"), F.lit(salts)).alias("salt"), F.struct(distance.alias("d"), "block_no", "pos").alias("s"))
     top = lambda df, keys: df.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy("s"))).where(F.col("r") <= k)
     # The best of each salt first, then the best of those: no cluster is sorted in one task.
     best = top(top(ranked, [*cluster, "salt"]).drop("r"), cluster)

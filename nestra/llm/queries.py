@@ -17,6 +17,7 @@ QUERIES = {
     "p5_found": lambda s, d: clusters.found(table(s, d, "calo_hits"), table(s, d, "tracks")),
     "p5_typical_hits": lambda s, d: clusters.typical_hits(table(s, d, "calo_hits")),
     "p5_track_clusters": lambda s, d: clusters.track_clusters(table(s, d, "tracks")),
+    "p5_typical_tracks": lambda s, d: clusters.typical_tracks(table(s, d, "tracks")),
     "p7_ids": lambda s, d: tokenizer.encode(table(s, d, "documents")),
     "p8_pack": lambda s, d: packing.pack(table(s, d, "documents")),
     "p8_report": lambda s, d: packing.pack_report(packing.pack(table(s, d, "documents"))),
@@ -38,4 +39,13 @@ c as (select *, sum(case when gap >= 0.02 then 1 else 0 end) over (partition by
 d as (select *, case when closing < 0.02 and c = max(c) over (partition by event_id) then 0 else c end as cc from c),
 s as (select *, count(*) over (partition by event_id, cc) as n_members, first_value(block_no) over (partition by event_id, cc order by block_no, pos) as first_block_no, first_value(pos) over (partition by event_id, cc order by block_no, pos) as first_pos from d)
 select event_id, first_block_no, first_pos::int as first_pos, block_no, pos::int as pos, n_members from s where n_members >= 3""",
+    "p5_typical_tracks": """with t as (select distinct on (event_id, block_no) event_id, block_no, phi from tracks),
+m as (select event_id, block_no, unnest(range(coalesce(len(phi), 0))) as pos, unnest(phi) as phi from t),
+w as (select *, phi - lag(phi) over (partition by event_id order by phi) as gap from m where phi is not null),
+c as (select *, sum(case when gap >= 0.02 then 1 else 0 end) over (partition by event_id order by phi rows unbounded preceding) as c, 2 * pi() - (max(phi) over (partition by event_id) - min(phi) over (partition by event_id)) as closing from w),
+d as (select *, case when closing < 0.02 and c = max(c) over (partition by event_id) then 0 else c end as cc from c),
+s as (select *, count(*) over (partition by event_id, cc) as n_members, first_value(block_no) over (partition by event_id, cc order by block_no, pos) as first_block_no, first_value(pos) over (partition by event_id, cc order by block_no, pos) as first_pos from d),
+m1 as (select *, atan2(sum(floor(sin(phi) * 1e9 + 0.5)::bigint) over (partition by event_id, cc), sum(floor(cos(phi) * 1e9 + 0.5)::bigint) over (partition by event_id, cc)) as mean from s where n_members >= 3),
+r as (select *, row_number() over (partition by event_id, cc order by round(least(abs(phi - mean), 2 * pi() - abs(phi - mean)), 9), block_no, pos) as rank from m1)
+select event_id, first_block_no, first_pos::int as first_pos, n_members, rank::int as rank, block_no, pos::int as pos from r where rank <= 3""",
 }

@@ -88,3 +88,12 @@ def test_typical_members(make):
     h = make.hits({"event_id": 1, "x": [0.0, 1.0, 2.0, 3.0, 30.0], "y": [0.0] * 5, "z": [0.0] * 5}, more=("salt", "m"))
     got = sorted((x.rank, x.pos) for x in clusters.typical_hits(h).collect())
     assert got == [(1, 3), (2, 2), (3, 1)]
+
+
+def test_typical_tracks(make):
+    pi = math.pi
+    phi = [pi - 0.015, -pi + 0.001, -pi + 0.01, None, 1.0, 1.01, 1.012, 1.029, 2.0]
+    t = make.tracks({"event_id": 1, "phi": phi}, {"event_id": 1, "phi": phi, "ingested_at": at(1)}, {"event_id": 1, "block_no": 1, "phi": [3 * pi - 0.012]}, more=("salt", "mean", "d"))
+    got = sorted(tuple(x) for x in clusters.typical_tracks(t).collect())
+    assert got == [(1, 0, 0, 4, 1, 0, 1), (1, 0, 0, 4, 2, 1, 0), (1, 0, 0, 4, 3, 0, 0), (1, 0, 4, 4, 1, 0, 6), (1, 0, 4, 4, 2, 0, 5), (1, 0, 4, 4, 3, 0, 4)]
+    assert clusters.typical_tracks(t, k=1, salts=1).count() == 2 and clusters.typical_tracks(make.tracks()).count() == 0
