@@ -240,6 +240,53 @@ def flat_contributions(calo_hits: DataFrame) -> DataFrame:
     return parts.select("event_id", "block_no", "pos", "child_pos", "p.particle_id", "p.energy")
 
 
+def _occurrences(nested: DataFrame) -> DataFrame:
+    """Bridge block -> hit or particle with the block's own values: ``hi, lo`` of the child, ``event_id, block_no, run_no, pos``; one row per position of a distinct block.
+
+    Copies of a row name the same child, so rows meet by child: dropping copies and joining the objects take one shuffle. A block is told apart by (event_id, block_no), by its identity where one of them is null;
+    block_no and pos travel in one word, as the shuffle is what this costs.
+    """
+    named = F.col("event_id").isNotNull() & F.col("block_no").isNotNull()
+    rows = nested.select("event_id", "block_no", "run_no", *[F.when(~named, F.col(f"oid.{h}")).alias(f"block_{h}") for h in ("hi", "lo")], F.explode(F.transform("children", lambda c: F.struct(c["oid"].alias("oid"), c["pos"].alias("pos")))).alias("c"))
+    at = F.shiftleft(F.coalesce("block_no", F.lit(0)).cast("bigint"), 32).bitwiseOR(F.col("c.pos").cast("bigint"))
+    rows = rows.select("block_hi", "block_lo", "event_id", F.col("block_no").isNull().alias("no_block"), "run_no", at.alias("at"), F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"))
+    once = rows.repartition("hi", "lo").dropDuplicates()
+    return once.select("event_id", F.when(~F.col("no_block"), F.shiftright("at", 32).cast("int")).alias("block_no"), "run_no", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos"), "hi", "lo")
+
+
+def _rebuilt(nested: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Every occurrence of a child with the fields of its object, which is stored once. -0.0 comes back as 0.0, which has the same identity."""
+    kinds = {f.name: f.dataType.simpleString() for f in nested.schema["children"].dataType.elementType.fields}
+    own = [(F.col(f"c.{f}") + 0.0 if kinds[f] == "double" else F.col(f"c.{f}")).alias(f) for f in fields]
+    objects = nested.select(F.explode("children").alias("c")).select(F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"), *own).dropDuplicates(["hi", "lo"])
+    return _occurrences(nested).join(objects, ["hi", "lo"]).select("event_id", "block_no", "run_no", "pos", *fields)
+
+
+def flat_hits(calo_hits: DataFrame) -> DataFrame:
+    """Every hit, rebuilt through the bridge from its object: ``event_id, block_no, run_no, pos, detector, x, y, z, total_energy, n_ids, n_energies``; copies of a block once.
+
+    Positions are those of the longest of the block's lists, values beyond the end of a shorter list are null; hits without contributions are there. n_ids and n_energies are the lengths of the contribution lists,
+    -1 for a list that is null; (event_id, block_no, pos) links to flat_contributions.
+    """
+    return _rebuilt(nested_hits(calo_hits), (*HIT_FIELDS, "n_ids", "n_energies"))
+
+
+def flat_particles(particles: DataFrame) -> DataFrame:
+    """Every particle, rebuilt through the bridge from its object: ``event_id, block_no, run_no, pos`` and PARTICLE_FIELDS; as flat_hits. parent_id links to particle_id of the event."""
+    return _rebuilt(nested_particles(particles), PARTICLE_FIELDS)
+
+
+def linked_contributions(calo_hits: DataFrame) -> DataFrame:
+    """flat_contributions rebuilt through both bridges: block -> hit -> contribution -> the object that each distinct pair is stored as."""
+    nested = nested_hits(calo_hits)
+    parts = nested.select(F.explode("children").alias("c")).select(F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"), F.posexplode("c.parts").alias("child_pos", "p"))
+    # Equal hits have the same parts, so the bridge drops copies by (hit, ordinal), which are already together by hit.
+    bridge = parts.select("hi", "lo", "child_pos", F.col("p.oid.hi").alias("part_hi"), F.col("p.oid.lo").alias("part_lo")).repartition("hi", "lo").dropDuplicates(["hi", "lo", "child_pos"])
+    objects = nested.select(F.explode(F.flatten(F.transform("children", lambda c: c["parts"]))).alias("p")).select(F.col("p.oid.hi").alias("part_hi"), F.col("p.oid.lo").alias("part_lo"), "p.particle_id", (F.col("p.energy") + 0.0).alias("energy")).dropDuplicates(["part_hi", "part_lo"])
+    rows = _occurrences(nested).join(bridge, ["hi", "lo"]).join(objects, ["part_hi", "part_lo"])
+    return rows.select("event_id", "block_no", "pos", "child_pos", "particle_id", "energy")
+
+
 def unmatched(calo_hits: DataFrame, particles: DataFrame) -> DataFrame:
     """What has no counterpart: ``kind, event_id, block_no, pos, child_pos``.
 

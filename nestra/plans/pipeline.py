@@ -20,6 +20,9 @@ QUERIES = {
     "p4_lineage": lambda s, d: hierarchy.lineage(table(s, d, "particles")),
     "p6_found": lambda s, d: merkle.unmatched(table(s, d, "calo_hits"), table(s, d, "particles")),
     "p6_contributions": lambda s, d: merkle.flat_contributions(table(s, d, "calo_hits")),
+    "p6_hits": lambda s, d: merkle.flat_hits(table(s, d, "calo_hits")),
+    "p6_particles": lambda s, d: merkle.flat_particles(table(s, d, "particles")),
+    "p6_linked_contributions": lambda s, d: merkle.linked_contributions(table(s, d, "calo_hits")),
     "p6_object_counts": lambda s, d: merkle.object_counts(table(s, d, "calo_hits"), table(s, d, "particles")),
 }
 
@@ -78,4 +81,12 @@ union all select 'hit', count(*), (select count(*) from (select distinct a, x, y
 union all select 'particle', count(*), (select count(*) from (select distinct * from o)) from o""",
     "p6_contributions": f"""with {_HIT_BLOCKS}, {_CONTRIBS}
 select event_id, block_no, pos::int as pos, child_pos::int as child_pos, i[child_pos + 1] as particle_id, e[child_pos + 1] as energy from c""",
+    "p6_linked_contributions": f"""with {_HIT_BLOCKS}, {_CONTRIBS}
+select event_id, block_no, pos::int as pos, child_pos::int as child_pos, i[child_pos + 1] as particle_id, e[child_pos + 1] + 0.0 as energy from c""",
+    "p6_hits": """with b as (select distinct on (event_id, block_no) * from calo_hits),
+h as (select *, unnest(range(greatest(coalesce(len(detector), 0), coalesce(len(x), 0), coalesce(len(y), 0), coalesce(len(z), 0), coalesce(len(total_energy), 0), coalesce(len(contrib_particle_ids), 0), coalesce(len(contrib_energies), 0)))) + 1 as k from b)
+select event_id, block_no, run_no, (k - 1)::int as pos, detector[k] as detector, x[k] + 0.0 as x, y[k] + 0.0 as y, z[k] + 0.0 as z, total_energy[k] + 0.0 as total_energy, coalesce(len(contrib_particle_ids[k]), -1)::int as n_ids, coalesce(len(contrib_energies[k]), -1)::int as n_energies from h""",
+    "p6_particles": """with b as (select distinct on (event_id, block_no) * from particles),
+p as (select *, unnest(range(greatest(coalesce(len(particle_id), 0), coalesce(len(parent_id), 0), coalesce(len(pdg_id), 0), coalesce(len(is_primary), 0), coalesce(len(energy), 0), coalesce(len(time_ns), 0), coalesce(len(vx), 0), coalesce(len(vy), 0), coalesce(len(vz), 0), coalesce(len(px), 0), coalesce(len(py), 0), coalesce(len(pz), 0)))) + 1 as k from b)
+select event_id, block_no, run_no, (k - 1)::int as pos, particle_id[k] as particle_id, parent_id[k] as parent_id, pdg_id[k] as pdg_id, is_primary[k] as is_primary, energy[k] + 0.0 as energy, time_ns[k] + 0.0 as time_ns, vx[k] + 0.0 as vx, vy[k] + 0.0 as vy, vz[k] + 0.0 as vz, px[k] + 0.0 as px, py[k] + 0.0 as py, pz[k] + 0.0 as pz from p""",
 }

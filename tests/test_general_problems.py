@@ -153,6 +153,20 @@ def test_objects_are_stored_once_and_come_back(make, rows):
     assert counts == {"contribution": (12, 2), "hit": (6, 2), "particle": (0, 0)}
 
 
+def test_flat_tables_lose_nothing(make, rows):
+    block = {"detector": [9, 9], "x": [1.0, 1.0, 2.0], "y": [0.0, -0.0], "contrib_particle_ids": [[1, 2], [1, 2], None, []], "contrib_energies": [[0.5], [0.5]]}
+    h = make.hits({"event_id": 1} | block, {"event_id": 1, "ingested_at": at(3)} | block, {"event_id": 1, "block_no": 1} | block, {"event_id": 2, "x": None}, {"event_id": None, "block_no": None, "run_no": None, "x": [5.0]}, {"event_id": 7, "block_no": None, "x": [5.0]}, {"event_id": 7, "block_no": None, "x": [5.0, 6.0]}, more=CLASH)
+    one = lambda b: [(1, b, 1, 0, 9, 1.0, 0.0, 2, 1), (1, b, 1, 1, 9, 1.0, 0.0, 2, 1), (1, b, 1, 2, None, 2.0, None, -1, -1), (1, b, 1, 3, None, None, None, 0, -1)]
+    assert rows(merkle.flat_hits(h), "event_id", "block_no", "run_no", "pos", "detector", "x", "y", "n_ids", "n_energies") == [
+        (None, None, None, 0, None, 5.0, None, -1, -1), *one(0), *one(1), *[(7, None, 1, pos, None, x, None, -1, -1) for pos, x in ((0, 5.0), (0, 5.0), (1, 6.0))],
+    ]
+    got = rows(merkle.linked_contributions(h))
+    assert len(got) == 8 and got == rows(merkle.flat_contributions(h))
+    p = make.particles({"event_id": 1, "particle_id": [1, 2, 2], "px": [0.5, None], "pdg_id": [22, 22, 22, 11]}, {"event_id": 1, "particle_id": [1, 2, 2], "px": [0.5, None], "pdg_id": [22, 22, 22, 11], "ingested_at": at(2)}, more=CLASH)
+    assert rows(merkle.flat_particles(p), "event_id", "block_no", "pos", "particle_id", "px", "pdg_id") == [(1, 0, 0, 1, 0.5, 22), (1, 0, 1, 2, None, 22), (1, 0, 2, 2, None, 22), (1, 0, 3, None, None, 11)]
+    assert rows(merkle.flat_hits(make.hits())) == [] and rows(merkle.flat_particles(make.particles())) == []
+
+
 def test_null_and_missing_are_other_objects(make):
     one = lambda i, e: {"event_id": 1, "x": [1.0], "contrib_particle_ids": [i], "contrib_energies": [e]}
     h = make.hits(one([1], [0.5]), one([1, None], [0.5, None]), one([1, None], [0.5]), one(None, None), one([], []), one(None, []))
