@@ -98,12 +98,37 @@ class _Grid:
                 j = k
 
 
+def _nearest(p: np.ndarray, centres: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(nearest centre of each point, its distance), in blocks of bounded size; of equally near centres the first."""
+    label, best = np.zeros(len(p), np.int64), np.full(len(p), np.inf)
+    step = max(1, PAIRS // len(centres))
+    for i in range(0, len(p), step):
+        d = _delta(p[i : i + step, None], centres[None], angular)
+        label[i : i + step] = d.argmin(1)
+        best[i : i + step] = d.min(1)
+    return label, best
+
+
 def bin_seeds(p: np.ndarray, size: float, least: int = 1) -> np.ndarray:
     """Centres of the occupied bins (rounded half to even); all points if each is alone in its bin."""
     bins, n = np.unique(np.rint(p / size), axis=0, return_counts=True)
     return p.copy() if len(bins) == len(p) else bins[n >= least] * size
 
 
+def angular_seeds(p: np.ndarray, size: float) -> np.ndarray:
+    """Starting points in (eta, phi): each bin centre moves to the plain mean of the points nearest to it the short way round; one that is nearest to none stays. All points if each is alone in its bin."""
+    p = np.nan_to_num(p, nan=0.0)
+    seeds = bin_seeds(p, size)
+    if len(seeds) == len(p):
+        return seeds
+    label, _ = _nearest(p, seeds, True)
+    count = np.bincount(label, minlength=len(seeds))
+    has = count > 0
+    for k in range(p.shape[1]):
+        seeds[has, k] = np.bincount(label, p[:, k], len(seeds))[has] / count[has]
+    return seeds
+
+
 def estimate_bandwidth(p: np.ndarray, angular: bool = True, quantile: float = QUANTILE) -> float:
     """The mean distance to the k-th nearest point (itself included), k = max(1, floor(n * quantile)); 0 without points."""
     n = len(p)
@@ -117,7 +142,7 @@ def estimate_bandwidth(p: np.ndarray, angular: bool = True, quantile: float = QU
 
 
 def fit(p: np.ndarray, bandwidth: float, angular: bool, seeds: np.ndarray | None = None, weights: np.ndarray | None = None, cluster_all: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(label of each point, centres). NaN counts as 0; centres are in descending order of support; without ``cluster_all`` a point beyond the bandwidth of every centre is labelled -1."""
+    """(label of each point, centres). NaN counts as 0; centres are in descending order of support; without ``cluster_all`` a point beyond the bandwidth of every centre is labelled -1. Without ``seeds`` climbs start at the centres of bins."""
     p = np.nan_to_num(np.asarray(p, float), nan=0.0)
     if not len(p):
         return np.zeros(0, np.int64), np.zeros((0, p.shape[1]))
@@ -166,12 +191,7 @@ def fit(p: np.ndarray, bandwidth: float, angular: bool, seeds: np.ndarray | None
         if keep[i]:
             keep[b[first[i] : first[i + 1]]] = False
     centres = at[keep]
-    label, best = np.zeros(len(p), np.int64), np.full(len(p), np.inf)
-    step = max(1, PAIRS // len(centres))
-    for i in range(0, len(p), step):
-        d = _delta(p[i : i + step, None], centres[None], angular)
-        label[i : i + step] = d.argmin(1)
-        best[i : i + step] = d.min(1)
+    label, best = _nearest(p, centres, angular)
     if not cluster_all:
         label[best > bandwidth] = -1
     return label, centres
@@ -184,7 +204,7 @@ def _column(t: pa.Table, c: str) -> np.ndarray:
 def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool = False, weight: str | None = None, cluster_all: bool = True) -> DataFrame:
     """Labels of the points of each event: the input's columns, then ``cluster_id`` and the centre's coordinates as ``c_<name>``.
 
-    An event with one point has one cluster; a negative bandwidth puts all points of an event into cluster 0. Points with a null coordinate should be filtered before.
+    An event with one point has one cluster; a negative bandwidth puts all points of an event into cluster 0. Climbs start at the centres of bins, with ``angular`` at angular_seeds. Points with a null coordinate should be filtered before.
     """
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields) + ", cluster_id int, " + ", ".join(f"c_{c} double" for c in coordinates)
 
@@ -193,7 +213,7 @@ def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float
         if bandwidth < 0:
             label, centres = np.zeros(len(p), np.int64), p.mean(0, keepdims=True)
         else:
-            label, centres = fit(p, bandwidth, angular, weights=_column(t, weight) if weight else None, cluster_all=cluster_all)
+            label, centres = fit(p, bandwidth, angular, seeds=angular_seeds(p, bandwidth) if angular else None, weights=_column(t, weight) if weight else None, cluster_all=cluster_all)
         t = t.append_column("cluster_id", pa.array(label.astype(np.int32)))
         for k, c in enumerate(coordinates):
             t = t.append_column(f"c_{c}", pa.array(np.where(label >= 0, centres[label, k], np.nan)))

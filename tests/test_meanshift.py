@@ -64,3 +64,26 @@ def test_split_and_two_levels(make, spark):
     assert [(r.n_calo, r.n_tracks) for r in points.split_events(both, -1.0).collect()] == [(3, 1)]
     two = M.two_level(points.hit_points(h).select("event_id", "block_no", "pos", "eta", "phi", "energy"), large=1).collect()
     assert len(two) == 3
+
+
+def test_angular_seeds_move_to_the_mean_of_their_points():
+    r = np.random.default_rng(5)
+    p = np.c_[r.normal(0, 1, 200), r.uniform(-math.pi, math.pi, 200)]
+    size, bins = 0.6, {}
+    for x in p:
+        bins.setdefault(tuple(np.round(x / size)), []).append(x)
+    seeds = np.array(list(bins)) * size
+    near = np.array([[math.hypot(s[0] - x[0], min(abs(s[1] - x[1]) % M.TURN, M.TURN - abs(s[1] - x[1]) % M.TURN)) for s in seeds] for x in p]).argmin(1)
+    want = np.array([p[near == k].mean(0) if (near == k).any() else s for k, s in enumerate(seeds)])
+    got = M.angular_seeds(p, size)
+    by = lambda a: a[np.lexsort(a.T.round(9))]
+    assert len(seeds) < 200 and np.allclose(by(got), by(want)) and not np.allclose(by(got), by(seeds))
+
+
+def test_clusters_of_events_start_from_the_moved_seeds(spark):
+    r = np.random.default_rng(3)
+    p = np.c_[r.normal(0, 1, 150), r.uniform(-math.pi, math.pi, 150)]
+    df = spark.createDataFrame([(1, k, float(a), float(b)) for k, (a, b) in enumerate(p)], "event_id bigint, pos int, eta double, phi double")
+    got = {x.pos: x.cluster_id for x in M.mean_shift(df, ("eta", "phi"), 0.3, angular=True).collect()}
+    moved, still = M.fit(p, 0.3, True, seeds=M.angular_seeds(p, 0.3))[0], M.fit(p, 0.3, True)[0]
+    assert [got[k] for k in range(150)] == moved.tolist() != still.tolist()
