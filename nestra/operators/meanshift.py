@@ -223,7 +223,10 @@ def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float
 
 
 def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large: int = 2000, top_percent: float = 4.0) -> DataFrame:
-    """Two-level clustering in (eta, phi): seeded by the points of highest energy; clusters with more than ``large`` hits are divided again, seeded by their top ``top_percent`` percent. Adds ``cluster_id, sub_id``."""
+    """Two-level clustering in (eta, phi): seeded by the hits of highest energy; clusters with more than ``large`` hits are divided again, all members together, seeded by the top ``top_percent`` percent of their hits. Adds ``cluster_id, sub_id``.
+
+    With a column ``is_calo`` points without it (tracks) take part in both levels, but neither count against ``large`` nor seed; without the column all points are hits. An event without hits starts at angular_seeds.
+    """
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields) + ", cluster_id int, sub_id int"
 
     def top(e: np.ndarray) -> np.ndarray:
@@ -231,11 +234,14 @@ def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large
 
     def one(t: pa.Table) -> pa.Table:
         p, e = np.stack([_column(t, c) for c in ("eta", "phi")], 1), _column(t, "energy")
-        label, _ = fit(p, first, True, seeds=p[top(e)])
+        calo = _column(t, "is_calo").astype(bool) if "is_calo" in t.column_names else np.ones(len(p), bool)
+        hits = np.flatnonzero(calo)
+        label, _ = fit(p, first, True, seeds=p[hits[top(e[hits])]] if hits.size else angular_seeds(p, first))
         sub = np.zeros(len(p), np.int64)
-        for k in np.flatnonzero(np.bincount(label) > large).tolist():
+        for k in np.flatnonzero(np.bincount(label[hits]) > large).tolist():
             at = np.flatnonzero(label == k)
-            sub[at], _ = fit(p[at], second, True, seeds=p[at][top(e[at])])
+            own = at[calo[at]]
+            sub[at], _ = fit(p[at], second, True, seeds=p[own[top(e[own])]])
         return t.append_column("cluster_id", pa.array(label.astype(np.int32))).append_column("sub_id", pa.array(sub.astype(np.int32)))
 
     return points.groupBy("event_id").applyInArrow(lambda t: one(t), out)

@@ -168,9 +168,9 @@ QUERIES = {
     # Clustering, which SQL cannot express.
     "meanshift_xyz": _t(H)(_meanshift_xyz),
     "meanshift_etaphi": _t(H, T)(_meanshift_angles),
-    "hierarchical_meanshift": _t(H)(lambda h: meanshift.two_level(points.hit_points(h).where(F.abs("eta") < float("inf")).select("event_id", "block_no", "pos", "eta", "phi", "energy"))),
+    "hierarchical_meanshift": _t(H, T)(lambda h, t: meanshift.two_level(points.cluster_points(h, t).select("event_id", "block_no", "pos", "is_calo", "eta", "phi", "energy"))),
     "event_split": _t(H, T)(lambda h, t: points.split_events(points.cluster_points(h, t), 0.4)),
-    "bandwidth_estimate": _t(T)(lambda t: meanshift.bandwidths(points.track_points(t).where(F.abs("eta") < float("inf")))),
+    "bandwidth_estimate": _t(H, T)(lambda h, t: meanshift.bandwidths(points.cluster_points(h, t).select("event_id", "eta", "phi"))),
 }
 
 

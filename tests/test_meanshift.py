@@ -87,3 +87,23 @@ def test_clusters_of_events_start_from_the_moved_seeds(spark):
     got = {x.pos: x.cluster_id for x in M.mean_shift(df, ("eta", "phi"), 0.3, angular=True).collect()}
     moved, still = M.fit(p, 0.3, True, seeds=M.angular_seeds(p, 0.3))[0], M.fit(p, 0.3, True)[0]
     assert [got[k] for k in range(150)] == moved.tolist() != still.tolist()
+
+
+def test_two_levels_of_hits_and_tracks(make, spark):
+    from nestra.plans import reference
+
+    # Hits at phi 0 and 0.1, tracks beside them: two hits more than `large`, three points with tracks.
+    hit = lambda e, pos, phi, energy: (e, 0, pos, True, 0.0, phi, energy)
+    track = lambda e, pos, phi: (e, 1, pos, False, 0.0, phi, 0.0)
+    rows = [hit(1, 0, 0.0, 2.0), hit(1, 1, 0.1, 1.0), track(1, 0, 0.101), hit(2, 0, 0.0, 1.0), track(2, 0, 0.1), track(2, 1, 0.1), track(3, 0, 1.0)]
+    df = spark.createDataFrame(rows, "event_id bigint, block_no int, pos int, is_calo boolean, eta double, phi double, energy double")
+    got = {(r.event_id, r.is_calo, r.pos): (r.cluster_id, r.sub_id) for r in M.two_level(df, large=1, top_percent=100.0).collect()}
+    assert len(got) == 7 and {v[0] for v in got.values()} == {0}
+    assert got[1, True, 0][1] != got[1, True, 1][1] == got[1, False, 0][1]
+    assert {v[1] for k, v in got.items() if k[0] > 1} == {0}  # one hit only: not divided
+    d = "/root/testdata/sf0.001"
+    n = points.cluster_points(spark.read.parquet(f"{d}/calo_hits.parquet"), spark.read.parquet(f"{d}/tracks.parquet")).groupBy("event_id").count()
+    n = {r["event_id"]: r["count"] for r in n.collect()}
+    assert {r.event_id: r.n_points for r in reference.QUERIES["bandwidth_estimate"](spark, d).collect()} == n
+    two = reference.QUERIES["hierarchical_meanshift"](spark, d).groupBy("event_id").count().collect()
+    assert {r["event_id"]: r["count"] for r in two} == n
