@@ -264,9 +264,10 @@ def _lineage_by_rounds(blocks: DataFrame, descendants: bool, list_most: int) ->
     return every.join(lists, [*key, "part"], "left").select(*[c for c in _NAMES if c != "descendants"], F.coalesce("descendants", F.array().cast("array<bigint>")).alias("descendants"))
 
 
-def descendant_pairs(particles: DataFrame, **tuning) -> DataFrame:
-    """``event_id, particle_id, descendant_id``: one row per descendant of each particle whose parents end."""
-    return lineage(particles, **tuning).where("depth >= 0").select("event_id", "particle_id", F.explode("descendants").alias("descendant_id"))
+def descendant_pairs(particles: DataFrame, cycles: bool = False, **tuning) -> DataFrame:
+    """``event_id, particle_id, descendant_id``: one row per descendant of each particle whose parents end; with ``cycles`` of every particle, also on and below cycles (descendants as in lineage)."""
+    rows = lineage(particles, **tuning)
+    return (rows if cycles else rows.where("depth >= 0")).select("event_id", "particle_id", F.explode("descendants").alias("descendant_id"))
 
 
 def found(particles: DataFrame, **tuning) -> DataFrame:

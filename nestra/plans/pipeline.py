@@ -17,6 +17,7 @@ QUERIES = {
     "p3_report": lambda s, d: orphan_refs.orphan_report(_orphans(s, d)),
     "p4_found": lambda s, d: hierarchy.found(table(s, d, "particles")),
     "p4_descendants": lambda s, d: hierarchy.descendant_pairs(table(s, d, "particles")),
+    "p4_all_descendants": lambda s, d: hierarchy.descendant_pairs(table(s, d, "particles"), cycles=True),
     "p4_lineage": lambda s, d: hierarchy.lineage(table(s, d, "particles")),
     "p6_found": lambda s, d: merkle.unmatched(table(s, d, "calo_hits"), table(s, d, "particles")),
     "p6_contributions": lambda s, d: merkle.flat_contributions(table(s, d, "calo_hits")),

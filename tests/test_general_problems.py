@@ -119,6 +119,12 @@ def test_both_ways_of_peeling_agree(make, rows):
     assert hierarchy.lineage(make.particles()).count() == 0
 
 
+def test_descendants_below_cycles(make, rows):
+    p = make.particles(make.forest(1, (1, None, 0), (2, 1, 0), (6, 7, 0), (7, 6, 0), (8, 7, 0), (9, 8, 0)))
+    assert rows(hierarchy.descendant_pairs(p, cycles=True)) == [(1, 1, 2), (1, 7, 8), (1, 7, 9), (1, 8, 9)]
+    assert rows(hierarchy.descendant_pairs(p)) == [(1, 1, 2)]
+
+
 # Problem 6
 
 
