@@ -154,11 +154,13 @@ def _peel_full(list_most: int, t: pa.Table) -> pa.Table:
     row = np.repeat(np.arange(f.n), parts)
     part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
     size = np.minimum(list_most, below[row] - part * list_most)
-    start = f.place[row] + 1 + part * list_most
-    at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    # All descendants of each node in the order of id (indices are in that order); its parts follow one another.
+    owner = np.repeat(np.arange(f.n), below)
+    at = f.preorder[np.repeat(f.place + 1 - (np.cumsum(below) - below), below) + np.arange(len(owner))]
+    at = at[np.lexsort((at, owner))]
     lists = lambda n, v: pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int64)), pa.array(v)).cast(pa.list_(pa.int64()))
     take = pa.array(row)
-    out = [c.take(take) for c in _slim(f)] + [lists(length, flat).take(take), pa.array(part.astype(np.int32)), lists(size, f.ident[f.preorder[at]])]
+    out = [c.take(take) for c in _slim(f)] + [lists(length, flat).take(take), pa.array(part.astype(np.int32)), lists(size, f.ident[at])]
     return pa.Table.from_arrays(out, _NAMES)
 
 
@@ -175,7 +177,7 @@ def lineage(particles: DataFrame, descendants: bool = True, bucket_bytes: int =
 
     ``event_id, particle_id, parent_id, root_id, depth, on_cycle, n_descendants, path, part, descendants``; without ``descendants`` the last three are left out. parent_id is null unless it is a
     parent: not null, not 0, not the particle's own id, and a particle of the event. path goes from the root to the particle itself. If the parents never end, depth is -1, path is
-    empty, root_id is the smallest id of the cycle they come back to, and on_cycle tells its members. Descendants are those below a node, in pre-order of id; for a
+    empty, root_id is the smallest id of the cycle they come back to, and on_cycle tells its members. Descendants are those below a node, in the order of id, over all parts; for a
     member of a cycle only what hangs below it outside the cycle. A node with more than ``list_most`` descendants has several rows, numbered by ``part``.
 
     Copies of a block count once; null particle ids are no particles; a pair (event_id, particle_id) named twice counts as its first; lists of different length are padded with nulls;
@@ -258,8 +260,14 @@ def _lineage_by_rounds(blocks: DataFrame, descendants: bool, list_most: int) ->
     n_parts = F.greatest(F.lit(1), F.ceil(F.col("n_descendants") / list_most)).cast("int")
     if pairs is None:
         return slim.withColumn("part", F.lit(0)).withColumn("descendants", F.array().cast("array<bigint>"))
-    sized = pairs.join(slim.select("event_id", F.col("particle_id").alias("above"), n_parts.alias("parts")), ["event_id", "above"])
-    lists = sized.groupBy("event_id", F.col("above").alias("particle_id"), F.pmod(F.xxhash64("descendant"), "parts").cast("int").alias("part")).agg(F.array_sort(F.collect_list("descendant")).alias("descendants"))
+    # Parts by rank of id: ranks form within bands of ids, counts of bands are summed before, so no node's descendants are sorted in one task.
+    banded = pairs.withColumn("band", F.shiftright("descendant", 16))
+    node = ["event_id", "above"]
+    counts = banded.groupBy(*node, "band").agg(F.count(F.lit(1)).alias("in_band"))
+    before = counts.select(*node, "band", (F.sum("in_band").over(Window.partitionBy(*node).orderBy("band")) - F.col("in_band")).alias("before"))
+    rank = F.col("before") + F.row_number().over(Window.partitionBy(*node, "band").orderBy("descendant")) - 1
+    parted = banded.join(before, [*node, "band"]).select(*node, "descendant", F.floor(rank / list_most).cast("int").alias("part"))
+    lists = parted.groupBy("event_id", F.col("above").alias("particle_id"), "part").agg(F.array_sort(F.collect_list("descendant")).alias("descendants"))
     every = slim.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
     return every.join(lists, [*key, "part"], "left").select(*[c for c in _NAMES if c != "descendants"], F.coalesce("descendants", F.array().cast("array<bigint>")).alias("descendants"))
 

@@ -119,6 +119,14 @@ def test_both_ways_of_peeling_agree(make, rows):
     assert hierarchy.lineage(make.particles()).count() == 0
 
 
+def test_parts_of_both_ways_are_the_same(make):
+    p = make.particles(make.forest(1, (1, None, 0), (9, 1, 0), (2, 9, 0), (70000, 2, 0), (4, 1, 0), (3, 4, 0), (6, 7, 0), (7, 6, 0), (5, 7, 0), (8, 5, 0)))
+    form = lambda **tuning: sorted((r.event_id, r.particle_id, r.part, tuple(r.descendants)) for r in hierarchy.lineage(p, list_most=2, **tuning).collect())
+    a = form()
+    assert a == form(most_nodes=3)
+    assert [x[2:] for x in a if x[1] == 1] == [(0, (2, 3)), (1, (4, 9)), (2, (70000,))] and [x[2:] for x in a if x[1] == 7] == [(0, (5, 8))]
+
+
 def test_descendants_below_cycles(make, rows):
     p = make.particles(make.forest(1, (1, None, 0), (2, 1, 0), (6, 7, 0), (7, 6, 0), (8, 7, 0), (9, 8, 0)))
     assert rows(hierarchy.descendant_pairs(p, cycles=True)) == [(1, 1, 2), (1, 7, 8), (1, 7, 9), (1, 8, 9)]
