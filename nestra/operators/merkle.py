@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nestra.arrow import array, list_lengths, zip_lists
 from nestra.runtime import Workspace
 
 #: Shapes. A contribution: both parts, id only, energy only, neither. A hit: sound, with unpaired contributions, without any. A particle: sound, without px.
@@ -89,31 +90,6 @@ class Identity:
         return pa.StructArray.from_arrays([pa.array(h.view(np.int64)) for h in self.h], ["hi", "lo"])
 
 
-def _array(col) -> pa.Array:
-    return col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-
-
-def _lengths(col: pa.Array) -> np.ndarray:
-    """List lengths; -1 for a list that is null."""
-    return col.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def _zip(lists: list[pa.Array], lengths: list[np.ndarray]) -> tuple[np.ndarray, list[pa.Array]]:
-    """Lists side by side, padded with nulls to the longest of each row: (row lengths, flat columns)."""
-    n = np.maximum(np.max(lengths, axis=0), 0)
-    row = np.repeat(np.arange(len(n)), n)
-    pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    out = []
-    for col, size in zip(lists, lengths, strict=True):
-        own = np.maximum(size, 0)
-        values = col.flatten()
-        if np.array_equal(own, n):
-            out.append(values)
-        else:
-            out.append(values.take(pa.array((np.cumsum(own) - own)[row] + pos, mask=pos >= own[row])))
-    return n, out
-
-
 def _listed(values: pa.Array, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32)), values)
 
@@ -135,11 +111,11 @@ def _blocks_of(b: pa.RecordBatch, oid: Identity, kept: np.ndarray | None, n: np.
 
 def _name_hits(lacking: bool, batches):
     for b in batches:
-        lists = [_array(b.column(c)) for c in (*HIT_FIELDS, "contrib_particle_ids", "contrib_energies")]
-        sizes = [_lengths(c) for c in lists]
-        n, (*fields, ids, energies) = _zip(lists, sizes)
-        n_ids, n_energies = _lengths(ids), _lengths(energies)
-        n_parts, (i, e) = _zip([ids, energies], [n_ids, n_energies])
+        lists = [array(b.column(c)) for c in (*HIT_FIELDS, "contrib_particle_ids", "contrib_energies")]
+        sizes = [list_lengths(c) for c in lists]
+        n, (*fields, ids, energies) = zip_lists(lists, sizes)
+        n_ids, n_energies = list_lengths(ids), list_lengths(energies)
+        n_parts, (i, e) = zip_lists([ids, energies], [n_ids, n_energies])
         part = Identity(1, len(i)).field(i).field(e)
         has_i, has_e = (c.is_valid().to_numpy(zero_copy_only=False) for c in (i, e))
         part_shape = np.where(has_i, np.where(has_e, PAIRED, ID_ONLY), np.where(has_e, ENERGY_ONLY, NEITHER)).astype(np.int32)
@@ -163,9 +139,9 @@ def _name_hits(lacking: bool, batches):
 
 def _name_particles(lacking: bool, batches):
     for b in batches:
-        lists = [_array(b.column(c)) for c in PARTICLE_FIELDS]
-        sizes = [_lengths(c) for c in lists]
-        n, fields = _zip(lists, sizes)
+        lists = [array(b.column(c)) for c in PARTICLE_FIELDS]
+        sizes = [list_lengths(c) for c in lists]
+        n, fields = zip_lists(lists, sizes)
         oid, block = Identity(4, int(n.sum())), Identity(5, len(n))
         for f in fields:
             oid.field(f)

@@ -213,7 +213,7 @@ pu as (select s.event_id, s.target as ultimate_ancestor_id, s.units / 1e6 as tot
   from s left join p on p.event_id = s.event_id and p.particle_id = s.target)"""
 _CLASSES = ", ".join(f"({code}, {k})" for k, codes in enumerate(schema.PDG_CLASSES) for code in codes)
 _BY_CLASS = f"{_PURITY}, cl as (select * from (values {_CLASSES}) v(pdg_id, class_id)), bc as (select pu.*, coalesce(cl.class_id, -1)::int as class_id from pu left join cl on cl.pdg_id = pu.pdg_id)"
-_NAMES = ", ".join("({}, '{}')".format(*entry.split(maxsplit=1)).replace("\n", "") for entry in schema.PDG_NAME_ROWS.split(","))
+_NAMES = ", ".join(f"({code}, '{name}')" for code, name in schema.PDG_NAME_ROWS)
 _CASES = " ".join(f"when total_particle_energy >= {low} then {k}" for k, low in reversed(list(enumerate(energy.INTERVALS))))
 _INTERVALS = f"{_BY_CLASS}, iv as (select * from (select *, (case {_CASES} end)::int as \"interval\" from bc where purity is not null) where \"interval\" is not null)"
 _LABEL = """l as (select *, coalesce(case when abs(x) < 8000 and abs(y) < 8000 and abs(z) < 4500 then (floor(x / 500) + 16) * 1024 + (floor(y / 500) + 16) * 32 + floor(z / 500) + 16 end, -1)::bigint as cluster_id from h),

@@ -26,13 +26,15 @@ CALIBRATION_ROWS = (
     (10, "Ecal Barrel", 37.5), (9, "Ecal Endcap (Neg)", 38.7), (11, "Ecal Endcap (Pos)", 38.7), (13, "Hcal Barrel", 45.0), (12, "Hcal Endcap (Neg)", 46.9), (14, "Hcal Endcap (Pos)", 46.9),
 )
 
-# Names of particle codes, one "code name" per entry.
-PDG_NAME_ROWS = """
--20213 a1(1260)-, -3222 anti-Σ+, -3112 anti-Σ-, -2224 anti-Δ++, -2212 anti-p, -2112 anti-n, -1114 anti-Δ-, -521 anti-B+, -423 anti-D*+, -421 anti-D0, -413 anti-D*-, -323 anti-K*+, -321 anti-K+,
--313 anti-K*0, -311 anti-K0, -213 anti-ρ+, -211 anti-π+, -14 anti-νμ, -13 anti-μ-, -12 anti-νe, -11 anti-e-, 11 e-, 13 μ-, 14 νμ, 22 γ, 111 π0, 113 ρ0, 130 K0L, 211 π+, 213 ρ+, 221 η, 223 ω, 310 K0S, 311 K0,
-313 K*0, 321 K+, 323 K*+, 331 η′, 333 φ, 421 D0, 521 B+, 523 B*+, 2112 n, 2212 p, 3112 Σ-, 3122 Λ, 3212 Σ0, 3222 Σ+, 1000010020 deuteron, 1000010030 triton, 1000020030 helium-3, 1000020040 helium-4,
-1000030060 lithium-6, 1000090190 fluorine-19, 1000120250 magnesium-25, 1000120260 magnesium-26, 1000130260 aluminum-26, 1000140280 silicon-28, 1000140290 silicon-29, 1000140300 silicon-30
-"""
+# Names of particle codes.
+PDG_NAME_ROWS = (
+    (-20213, "a1(1260)-"), (-3222, "anti-Σ+"), (-3112, "anti-Σ-"), (-2224, "anti-Δ++"), (-2212, "anti-p"), (-2112, "anti-n"), (-1114, "anti-Δ-"), (-521, "anti-B+"), (-423, "anti-D*+"),
+    (-421, "anti-D0"), (-413, "anti-D*-"), (-323, "anti-K*+"), (-321, "anti-K+"), (-313, "anti-K*0"), (-311, "anti-K0"), (-213, "anti-ρ+"), (-211, "anti-π+"), (-14, "anti-νμ"), (-13, "anti-μ-"),
+    (-12, "anti-νe"), (-11, "anti-e-"), (11, "e-"), (13, "μ-"), (14, "νμ"), (22, "γ"), (111, "π0"), (113, "ρ0"), (130, "K0L"), (211, "π+"), (213, "ρ+"), (221, "η"), (223, "ω"), (310, "K0S"),
+    (311, "K0"), (313, "K*0"), (321, "K+"), (323, "K*+"), (331, "η′"), (333, "φ"), (421, "D0"), (521, "B+"), (523, "B*+"), (2112, "n"), (2212, "p"), (3112, "Σ-"), (3122, "Λ"), (3212, "Σ0"),
+    (3222, "Σ+"), (1000010020, "deuteron"), (1000010030, "triton"), (1000020030, "helium-3"), (1000020040, "helium-4"), (1000030060, "lithium-6"), (1000090190, "fluorine-19"),
+    (1000120250, "magnesium-25"), (1000120260, "magnesium-26"), (1000130260, "aluminum-26"), (1000140280, "silicon-28"), (1000140290, "silicon-29"), (1000140300, "silicon-30"),
+)
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -53,8 +55,7 @@ def calibration(spark: SparkSession) -> DataFrame:
 
 def pdg_names(spark: SparkSession) -> DataFrame:
     """``pdg_id, name`` of the known codes; names are unique, so it serves both ways."""
-    pairs = (entry.split(maxsplit=1) for entry in PDG_NAME_ROWS.split(","))
-    return spark.createDataFrame([(int(code), name.strip()) for code, name in pairs], PDG_NAMES)
+    return spark.createDataFrame(list(PDG_NAME_ROWS), PDG_NAMES)
 
 
 def pdg_classes(spark: SparkSession, classes=PDG_CLASSES) -> DataFrame:
