@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nestra.llm.contraction import components
-from nestra.operators.merkle import _array, _lengths, _zip
+from nestra.arrow import array, list_lengths, zip_lists
 from nestra.runtime import Workspace, pieces
 
 HIT_LIMIT, HIT_LEAST = 40.0, 5  # mm, members
@@ -151,7 +151,7 @@ def cell_components(event: np.ndarray, p: np.ndarray, limit: float) -> tuple[np.
 
 
 def _np(col) -> np.ndarray:
-    return _array(col).to_numpy(zero_copy_only=False)
+    return array(col).to_numpy(zero_copy_only=False)
 
 
 def _points(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,9 +160,9 @@ def _points(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     order = np.lexsort((a, b, e))
     ee, bb = e[order], b[order]
     t = t.take(pa.array(order[np.r_[True, (ee[1:] != ee[:-1]) | (bb[1:] != bb[:-1])][: len(order)]]))
-    lists = [_array(t.column(c)) for c in "xyz"]
-    sizes = [_lengths(c) for c in lists]
-    n, cols = _zip(lists, sizes)
+    lists = [array(t.column(c)) for c in "xyz"]
+    sizes = [list_lengths(c) for c in lists]
+    n, cols = zip_lists(lists, sizes)
     p = np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) if c.null_count == 0 else c.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False) for c in cols], 1)
     row = np.repeat(np.arange(len(n)), n)
     pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
