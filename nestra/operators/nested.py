@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestra.runtime import UNKNOWN, Workspace, size_in_bytes
 from nestra.schema import list_columns, require_columns
 
 PARTICLE_LISTS = ("particle_id", "parent_id", "pdg_id", "is_primary", "energy", "time_ns", "vx", "vy", "vz", "px", "py", "pz")
@@ -15,9 +16,32 @@ HIT_LISTS = ("detector", "x", "y", "z", "total_energy", "contrib_particle_ids",
 TRACK_LISTS = ("majority_particle_id", "phi", "theta")
 
 
-def distinct_blocks(df: DataFrame) -> DataFrame:
-    """One row per (event_id, block_no); copies have the same lists, so any will do."""
-    return df.dropDuplicates(["event_id", "block_no"])
+#: From this size on copies are found by their narrow keys first, so that lists of blocks delivered once are not shuffled.
+NARROW_FROM = 256 << 20
+
+
+def repeated_blocks(df: DataFrame, ws: Workspace) -> DataFrame:
+    """The (event_id, block_no) that occur more than once. Only the two columns are read and shuffled; the table is written, so that its size is known to whoever joins it."""
+    named = df.where("event_id is not null and block_no is not null")
+    return ws.write(named.groupBy("event_id", "block_no").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("event_id", "block_no"))
+
+
+def single_and_repeated(df: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Rows of blocks that were delivered once, where they lie, and of the others one each; a row without event_id or block_no is no copy of another.
+
+    Spark broadcasts the repeated keys if their table is small and joins by key otherwise. Copies meet by key after one row of each has been picked in every task, so a block delivered very often is no hot group.
+    """
+    repeated = repeated_blocks(df, ws)
+    return df.join(repeated, ["event_id", "block_no"], "left_anti"), df.join(repeated, ["event_id", "block_no"], "left_semi").dropDuplicates(["event_id", "block_no"])
+
+
+def distinct_blocks(df: DataFrame, narrow_from: int = NARROW_FROM) -> DataFrame:
+    """One row per (event_id, block_no); copies have the same lists, so any will do. A row without event_id or block_no is no copy of another."""
+    if narrow_from <= size_in_bytes(df) < UNKNOWN:
+        once, one_each = single_and_repeated(df, Workspace(df.sparkSession))
+        return once.unionByName(one_each)
+    own = F.when(F.col("event_id").isNull() | F.col("block_no").isNull(), F.monotonically_increasing_id())
+    return df.withColumn("_own", own).dropDuplicates(["event_id", "block_no", "_own"]).drop("_own")
 
 
 def _empty(c: str) -> Column:

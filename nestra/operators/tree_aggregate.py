@@ -1,10 +1,10 @@
 """Per-key sums where a few keys hold most rows: multi-level tree aggregation.
 
-The input is cut into chunks of about equal size by a hash of each row's own identity, never by the key that is summed, so a hot key is spread over all chunks.
-Each chunk is combined where it lies; its per-key states then merge in rounds of ``fan_in``: after round i a node holds the states of ``fan_in ** i`` chunks.
-A key, however hot, therefore reaches any task as at most about ``fan_in`` states instead of one per chunk.
+A chunk is what a task reads (a split of bounded size of the files), never the rows of a key, so a hot key is spread over all chunks. Each chunk is combined where it lies, before anything is
+shuffled; its per-key states then merge in rounds of ``fan_in``: after round i a node holds the states of ``fan_in ** i`` chunks. A key, however hot, therefore reaches any task as at most about ``fan_in`` states instead of one
+per chunk. States are sums of whole numbers, so the result depends on the rows alone and not on how they were cut.
 
-Chunks come from a hash of data columns (not from row numbers or partition ids), so a task that runs again after an executor was lost makes the same chunks.
+Redelivered blocks are found by their narrow keys first (see nested), so only their rows are shuffled whole.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestra.operators.nested import single_and_repeated
 from nestra.runtime import Workspace, pieces
 
-#: Bytes of scanned input in a chunk, and states merged at once.
+#: Bytes of input in a chunk, about (what a task reads is for Spark's settings to say; this gives the number of rounds), and states merged at once.
 CHUNK_BYTES = 4 << 20
 FAN_IN = 8
 #: Energies are summed as whole numbers of this fraction, so that the order of merging does not matter.
@@ -31,12 +32,11 @@ def tree_levels(n_chunks: int, fan_in: int = FAN_IN) -> int:
 def tree_sum(df: DataFrame, chunk: str, keys: list[str], sums: list[str], levels: int, fan_in: int = FAN_IN) -> DataFrame:
     """Sum ``sums`` by ``keys`` through ``levels`` rounds of merging; ``chunk`` has the leaf (0 .. fan_in ** levels - 1) of each row.
 
-    If ``df`` is partitioned by ``chunk``, the first step needs no shuffle. Nulls count as 0; a null key is a key; an empty frame gives no rows.
+    If each task of ``df`` has rows of one chunk, each round shuffles one state per node and key. Nulls count as 0; a null key is a key; an empty frame gives no rows.
     """
-    total = lambda: [F.sum(c).alias(c) for c in sums]
-    state = df.groupBy(chunk, *keys).agg(*total())
+    state = df
     for _ in range(levels):
-        state = state.withColumn(chunk, F.floor(F.col(chunk) / fan_in).cast("int")).groupBy(chunk, *keys).agg(*total())
+        state = state.withColumn(chunk, F.floor(F.col(chunk) / fan_in).cast("int")).groupBy(chunk, *keys).agg(*[F.sum(c).alias(c) for c in sums])
     return state.select(*keys, *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in sums])
 
 
@@ -52,13 +52,12 @@ def key_sums(calo_hits: DataFrame, chunk_bytes: int = CHUNK_BYTES, fan_in: int =
     Result: ``key_kind, key_id, n_blocks, n_hits, n_contribs, energy_units``. Redelivered blocks count once. For an event n_hits and energy_units are of its hits
     (total_energy), n_contribs the non-null ids in it; for a contributor n_blocks and n_hits are null, n_contribs how often the id occurs and energy_units the energies at
     the same positions. Null ids are no keys; an id without an energy counts with energy 0; blocks without hits count as blocks; null event ids make one
-    key of their own. Only the columns named here are read, others may be there.
+    key of their own; a row without event_id or block_no is no copy of another. Only the columns named here are read, others may be there.
     """
     leaves = fan_in ** (levels := tree_levels(pieces(calo_hits, chunk_bytes, 2), fan_in))
     rows = calo_hits.select("event_id", "block_no", "x", "total_energy", "contrib_particle_ids", "contrib_energies")
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("event_id", "block_no"), F.lit(leaves)).cast("int"))
-    # One shuffle puts each chunk in one place; that both drops the copies and lets the chunk's sums form without another shuffle.
-    blocks = rows.repartition("chunk").dropDuplicates(["chunk", "event_id", "block_no"])
+    once, one_each = single_and_repeated(rows, Workspace(calo_hits.sparkSession))
+    blocks = once.unionByName(one_each).withColumn("chunk", F.pmod(F.spark_partition_id(), F.lit(leaves)))
     own = lambda c: F.coalesce(c, F.array()).alias(c)
     hits = blocks.select(
         "chunk", "event_id", F.coalesce(F.array_size("x"), F.lit(0)).alias("n_x"),

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import at
-from nestra.operators import hierarchy, merkle, orphan_refs, tree_aggregate
+from nestra.operators import hierarchy, merkle, nested, orphan_refs, tree_aggregate
 
 CLASH = ("chunk", "bucket", "pos", "h", "n", "key_id", "word", "refs", "links", "children", "oid")
 
@@ -30,6 +30,13 @@ def test_key_sums_of_dirty_rows(make, rows):
     assert set(got) == {("event", 1, 2, 2, 3, 500000), ("event", 2, 1, 0, 0, 0), ("event", None, 1, 1, 0, 0), ("contributor", 5, None, None, 2, 100000), ("contributor", 0, None, None, 1, 0)}
 
 
+def test_blocks_without_a_number_are_no_copies(make, rows):
+    h = make.hits(*[{"event_id": 1, "block_no": None, "x": [float(k)], "total_energy": [1.0]} for k in range(3)], {"event_id": 1, "x": []}, {"event_id": 1, "x": [], "ingested_at": at(2)}, *[{"event_id": None, "block_no": 0, "x": []}] * 2)
+    assert set(rows(tree_aggregate.key_sums(h))) == {("event", 1, 4, 3, 0, 3000000), ("event", None, 2, 0, 0, 0)}
+    for narrow_from in (0, 1 << 60):
+        assert nested.distinct_blocks(h.withColumn("n", nested.F.lit(1)), narrow_from).count() == 6
+
+
 def test_sums_do_not_depend_on_the_tree(make, rows):
     r = random.Random(1)
     blocks = [{"event_id": 1 if r.random() < 0.4 else r.randrange(2, 9), "block_no": k, "x": [0.0] * 3, "total_energy": [r.random() for _ in range(3)], "contrib_particle_ids": [[r.randrange(4)] for _ in range(3)], "contrib_energies": [[r.random()] for _ in range(3)]} for k in range(200)]
@@ -57,7 +64,7 @@ def test_orphans_of_every_kind(make, rows, spark):
     h = make.hits({"event_id": 1, "block_no": 4, "x": [0.0], "contrib_particle_ids": [[5, 5, 0, None, 8], None], "ingested_at": at(3)}, {"event_id": 1, "block_no": 5, "x": None, "contrib_particle_ids": [[5]], "ingested_at": at(5)}, more=CLASH)
     w = spark.createDataFrame([(1, 8, None, None, "x"), (1, 8, None, "again", "x"), (1, 5, None, None, "x"), (None, 1, None, None, "x"), (1, None, None, None, "x")], "event_id bigint, particle_id bigint, withdrawn_at timestamp, reason string, arrival string")
     want = [("calo_hits", 1, 1, 4, 5, "late"), ("calo_hits", 1, 1, 4, 8, "withdrawn"), ("particles", 1, 1, 3, 9, "missing"), ("particles", 1, 1, 4, 5, "late")]
-    for tuning in ({}, {"range_keys": 1, "task_refs": 1}):
+    for tuning in ({}, {"range_keys": 1, "task_refs": 1}, {"range_keys": 1, "task_refs": 1, "most_ranges": 2}, {"range_keys": 2, "most_ranges": 1}):
         out = orphan_refs.orphan_references(p, h, w, **tuning)
         assert rows(out) == want
     assert rows(orphan_refs.orphan_report(out)) == [("calo_hits", 1, "late", 1), ("calo_hits", 1, "withdrawn", 1), ("particles", 1, "late", 1), ("particles", 1, "missing", 1)]
