@@ -16,6 +16,8 @@ QUERIES = {
     "p2_report": lambda s, d: splits.split_report(_splits(s, d), table(s, d, "calo_hits")),
     "p5_found": lambda s, d: clusters.found(table(s, d, "calo_hits"), table(s, d, "tracks")),
     "p5_typical_hits": lambda s, d: clusters.typical_hits(table(s, d, "calo_hits")),
+    "p5_medoid_groups": lambda s, d: clusters.medoid_groups(table(s, d, "calo_hits")),
+    "p5_band_recall": lambda s, d: clusters.band_recall(table(s, d, "calo_hits"), table(s, d, "tracks")),
     "p5_track_clusters": lambda s, d: clusters.track_clusters(table(s, d, "tracks")),
     "p5_typical_tracks": lambda s, d: clusters.typical_tracks(table(s, d, "tracks")),
     "p7_ids": lambda s, d: tokenizer.encode(table(s, d, "documents")),

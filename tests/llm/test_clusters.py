@@ -97,3 +97,70 @@ def test_typical_tracks(make):
     got = sorted(tuple(x) for x in clusters.typical_tracks(t).collect())
     assert got == [(1, 0, 0, 4, 1, 0, 1), (1, 0, 0, 4, 2, 1, 0), (1, 0, 0, 4, 3, 0, 0), (1, 0, 4, 4, 1, 0, 6), (1, 0, 4, 4, 2, 0, 5), (1, 0, 4, 4, 3, 0, 4)]
     assert clusters.typical_tracks(t, k=1, salts=1).count() == 2 and clusters.typical_tracks(make.tracks()).count() == 0
+
+
+def cloud(make, seed=7, scale=60.0):
+    r = np.random.default_rng(seed)
+    blocks = [{"event_id": e, "block_no": b, **{c: [float(v) for v in r.normal(0, scale, 40).round(1)] for c in "xyz"}} for e in (1, 2) for b in range(5)]
+    return make.hits(*blocks, blocks[0] | {"ingested_at": at(3)}, {"event_id": 3, "x": None}, {"event_id": 4, "x": [0.0] * 6, "y": [1.0] * 6, "z": [2.0] * 6}, more=("root", "base", "up", "first")), blocks
+
+
+def naive_medoids(blocks, fine, similar=0.8):
+    """Sets as Python sets, Jaccard of all pairs: {(event, block, pos): (medoid block, medoid pos, links)}."""
+    out = {}
+    for e in {b["event_id"] for b in blocks}:
+        hits = [((b["block_no"], k), tuple(math.floor(b[c][k] / fine) for c in "xyz")) for b in blocks if b["event_id"] == e for k in range(len(b["x"]))]
+        sets = {}
+        for h, cell in hits:
+            sets.setdefault(cell, []).append(h)
+        shingles = {cell: {(axis, cell[axis] + d) for axis in range(3) for d in range(-8, 9)} for cell in sets}
+        near = {a: [b for b in sets if len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b]) >= similar] for a in sets}
+        links = {a: sum(len(sets[b]) for b in near[a]) for a in sets}
+        up = {a: min(near[a], key=lambda b: (-links[b], min(sets[b]))) for a in sets}
+        for a, hs in sets.items():
+            top = a
+            while up[top] != top:
+                top = up[top]
+            out |= {(e, *h): (*min(sets[top]), links[top]) for h in hs}
+    return out
+
+
+def test_medoids_like_brute_force(make):
+    h, blocks = cloud(make)
+    blocks = [*blocks, {"event_id": 4, "block_no": 0, "x": [0.0] * 6, "y": [1.0] * 6, "z": [2.0] * 6}]
+    medoid = naive_medoids(blocks, 5.0)
+    want = {}
+    for r in clusters.hit_clusters(h).collect():
+        key = (r.event_id, r.first_block_no, r.first_pos, r.n_members, *medoid[r.event_id, r.block_no, r.pos])
+        want[key] = want.get(key, 0) + 1
+    assert len(want) > 20 and (4, 0, 0, 6, 0, 0, 6) in want
+    for tuning in ({}, {"most_hits": 30}):
+        got = [tuple(r) for r in clusters.medoid_groups(h, **tuning).collect()]
+        assert len(got) == len(want) and {r[:7]: r[7] for r in got} == want
+    assert clusters.medoid_groups(make.hits()).count() == 0
+
+
+def test_bands_find_most_links(make):
+    h, _ = cloud(make, scale=150.0)
+    pi = math.pi
+    r = np.random.default_rng(1)
+    t = make.tracks(*[{"event_id": e, "phi": [float(v) for v in r.uniform(-pi, pi, 200)]} for e in range(5)], more=("lo", "hi"))
+    for tuning in ({}, {"most_hits": 30}):
+        got = {x.record_kind: x for x in clusters.band_recall(h, t, **tuning).collect()}
+        assert got["hit"].recall >= 0.9 and got["track"].recall >= 0.9 and got["hit"].n_near >= got["hit"].n_candidates > 0
+        assert got["hit"].n_clusters <= got["hit"].n_band_groups <= 1.05 * got["hit"].n_clusters
+    assert clusters.band_recall(make.hits(), make.tracks()).count() == 0
+
+
+def test_jaccard_is_that_of_the_sets():
+    r = np.random.default_rng(2)
+    p = r.normal(0, 40, (60, 3))
+    s = clusters.Shingles(np.zeros(60, np.int64), p, 40.0)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(s)), np.arange(len(s))))
+    cells = np.floor(p[s.first] / 5.0).astype(int)
+    sets = [{(k, c[k] + d) for k in range(3) for d in range(-8, 9)} for c in cells]
+    assert np.allclose(s.jaccard(a, b), [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in zip(a, b, strict=True)])
+    near = (((p[s.first][a] - p[s.first][b]) ** 2).sum(1) < 1600)
+    assert (s.jaccard(a, b)[near] >= s.least).all()
+    found = {(min(i, j), max(i, j)) for x, y in s.neighbours(5) for i, j in zip(x.tolist(), y.tolist(), strict=True)}
+    assert found == {(i, j) for i, j in zip(a.tolist(), b.tolist(), strict=True) if i < j and np.abs(cells[i] - cells[j]).sum() <= 5}
