@@ -1,4 +1,4 @@
-"""A minimal acyclic transducer from words to token ids, kept in one memory-mapped file.
+"""A minimal acyclic transducer from words (any strings of bytes) to token ids, kept in one memory-mapped file.
 
 States with equal futures are shared (incremental construction from sorted words). Each arc adds a number; the sum along a word is its rank among all words, which selects its slice of the id table. The file also has
 the vocabulary, so workers need nothing else. Lookups walk many words at once: one binary search over all arcs per byte position.
@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import heapq
 from base64 import b64decode
+from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 
@@ -114,13 +116,14 @@ class _Builder:
         return {"arc_key": a[:, 0].copy(), "arc_to": a[:, 1].astype(np.int32), "arc_out": a[:, 2].astype(np.int32), "final": np.array([self.final[s] for s in order], np.uint8)}
 
 
-def compile_lexicon(words: list[bytes], ranks: dict[bytes, int]) -> bytes:
-    """The file's bytes: header (sizes), then the tables, each aligned to 8 bytes."""
+def compile_lexicon(words: list[bytes], ranks: dict[bytes, int], encode: Callable[[bytes], list[int]] | None = None) -> bytes:
+    """The file's bytes: header (sizes), then the tables, each aligned to 8 bytes. ``encode`` gives the ids of a word (default: merge)."""
+    encode = encode or (lambda word: merge(word, ranks))
     builder, ids, at = _Builder(), [], [0]
     for word in sorted(set(words)):
         if word:
             builder.add(word)
-            ids.extend(merge(word, ranks))
+            ids.extend(encode(word))
             at.append(len(ids))
     vocab = list(ranks)
     t = builder.tables() | {
@@ -145,9 +148,13 @@ class Lexicon:
         head = np.frombuffer(m[: 24 * len(_PARTS)], np.int64).reshape(-1, 3)
         for name, (offset, n, width) in zip(_PARTS, head.tolist(), strict=True):
             kind = {1: np.uint8, 4: np.int32, 8: np.int64}[width]
-            setattr(self, name, m[offset : offset + n * width].view(kind))
+            setattr(self, name, np.asarray(m[offset : offset + n * width]).view(kind))
+
+    @cached_property
+    def ranks(self) -> dict[bytes, int]:
+        """The vocabulary, taken out of the file when the first unseen word is merged."""
         vocab, at = self.vocab.tobytes(), self.vocab_at.tolist()
-        self.ranks = {vocab[a:b]: r for a, b, r in zip(at, at[1:], self.vocab_rank.tolist(), strict=False)}
+        return {vocab[a:b]: r for a, b, r in zip(at, at[1:], self.vocab_rank.tolist(), strict=False)}
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """Rank of each word in the lexicon, -1 if it is not in it."""
