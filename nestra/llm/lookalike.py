@@ -1,7 +1,8 @@
 """Visually identical text with different characters: one consistent form.
 
 Characters that do not show are dropped, blanks become spaces, width and compatibility forms become the plain letter or sign (raised, lowered, circled, squared and fraction forms stay), accents are decomposed. Letters of different
-scripts that have the same shape form a class with a spelling per script. For each token the sets of scripts that can spell its letters are intersected: if one script spells all, the token is written in it (mixed-script
+scripts that have the same shape form a class with a spelling per script. Scripts come from the script extensions of Unicode; letters of Chinese, Japanese and Korean writing also count as what they are written together in, and common
+or inherited characters fit every script. For each token the sets of scripts that can spell its letters are intersected: if one script spells all, the token is written in it (mixed-script
 confusables vanish); if several can (a whole-script confusable) it is written in Latin, short words in the script that dominates the text; if none can, each letter takes its class's first spelling. All of this depends only on shapes,
 so texts that look the same come out equal, and only those.
 """
@@ -18,12 +19,15 @@ from pyspark.sql import functions as F
 
 from nestra.runtime import Workspace
 
-# Letters of the same shape. Each pair of rows has a Latin letter above the letter of the other script.
+# Letters of the same shape, after the single-letter cases of the Unicode table of confusables (UTS 39) that have one glyph in common typefaces. Each pair of rows has a Latin letter above the letter of the other script.
+# Letters of one script never form a class, however alike (a and alpha-shaped a, g with one or two storeys): within a script they are other letters.
 SAME_SHAPE = {
-    "CYRILLIC": ("aeopcyxsijhdqwlvABEKMHOPCTYXSIJQWVI", "аеорсухѕіјһԁԛԝӏѵАВЕКМНОРСТУХЅІЈԚԜѴӀ"),
-    "GREEK": ("ovpjcABEZHIKMNOPTYXCJ", "ονρϳϲΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ"),
-    "ARMENIAN": ("onuhOU", "օոսհՕՍ"),
-    "CHEROKEE": ("ADEGHJKLMPRSTWZC", "ᎪᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᎳᏃᏟ"),
+    "Cyrl": ("aeopcyxsijhdqwlvABEKMHOPCTYXSIJQWVIG", "аеорсухѕіјһԁԛԝӏѵАВЕКМНОРСТУХЅІЈԚԜѴӀԌ"),
+    "Grek": ("ovpjcABEZHIKMNOPTYXCJF", "ονρϳϲΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿϜ"),
+    "Armn": ("onuhgqjOU", "օոսհցզյՕՍ"),
+    "Cher": ("ADEGHJKLMPRSTWZCVB", "ᎪᎠᎬᏀᎻᎫᏦᏞᎷᏢᎡᏚᎢᎳᏃᏟᏙᏴ"),
+    "Lisu": ("BPDTGKJCZFMNLSRVHWXYAEIOU", "ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ"),
+    "Copt": ("BHIKMNOPCTYXopc", "ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥ"),
 }
 # Letters of the same shape in Greek (above) and Cyrillic (below) without a Latin counterpart.
 GREEK_CYRILLIC = ("ΓΠΦ", "ГПФ")
@@ -36,7 +40,12 @@ UNSEEN = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B,
 LINE_ENDS = "\x85\u2028\u2029"
 HYPHENS = "\u2010\u2011"
 
-SCRIPTS = ("LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "CHEROKEE")
+# Codes of scripts (ISO 15924), those with letters of shared shapes first, in the order of preference; and what scripts are written together in.
+SCRIPTS = ("Latn", "Grek", "Cyrl", "Armn", "Cher", "Lisu", "Copt")
+MORE_SCRIPTS = "Hebr Arab Syrc Thaa Nkoo Deva Beng Guru Gujr Orya Taml Telu Knda Mlym Sinh Thai Laoo Tibt Mymr Geor Hang Ethi Cans Ogam Runr Khmr Mong Hira Kana Bopo Hani Yiii Goth Glag Tfng Vaii Bamu Java Bali Dsrt Osge Adlm".split()
+TOGETHER = {"Hani": ("Jpan", "Kore", "Hanb"), "Hira": ("Jpan",), "Kana": ("Jpan",), "Hang": ("Kore",), "Bopo": ("Hanb",)}
+_PATTERNS = {code: regex.compile(rf"\p{{scx={code}}}") for code in (*SCRIPTS, *MORE_SCRIPTS)}
+_ANY = regex.compile(r"[\p{Script=Common}\p{Script=Inherited}]")
 
 
 def _classes() -> tuple[dict[str, str], dict[str, dict[str, str]]]:
@@ -46,10 +55,10 @@ def _classes() -> tuple[dict[str, str], dict[str, dict[str, str]]]:
     for script, (latin, other) in SAME_SHAPE.items():
         for a, b in zip(latin, other, strict=True):
             first[b] = a
-            spelled.setdefault(a, {"LATIN": a}).setdefault(script, b)
+            spelled.setdefault(a, {"Latn": a}).setdefault(script, b)
     for a, b in zip(*GREEK_CYRILLIC, strict=True):
         first[b] = a
-        spelled[a] = {"GREEK": a, "CYRILLIC": b}
+        spelled[a] = {"Grek": a, "Cyrl": b}
     return first, spelled
 
 
@@ -101,25 +110,35 @@ def shape(text: str) -> str:
     return unicodedata.normalize("NFD", text.replace("\r\n", "\n").replace("\r", "\n").translate(_SHAPES))
 
 
-def script_of(letter: str) -> str:
-    name = unicodedata.name(letter, "")
-    return next((s for s in SCRIPTS if name.startswith(s)), name.split(" ")[0])
+class _Extended(dict):
+    """Character -> the scripts that it is written in, with joint ones; None if it fits every script. Filled on demand."""
 
+    def __missing__(self, c: str) -> frozenset[str] | None:
+        own = [code for code, pattern in _PATTERNS.items() if pattern.match(c)]
+        if not own and _ANY.match(c):
+            self[c] = None
+        else:
+            own = own or [unicodedata.name(c, "?").split(" ")[0]]  # a script beyond the list goes by the name of its characters
+            self[c] = frozenset(own) | {joint for code in own for joint in TOGETHER.get(code, ())}
+        return self[c]
 
-_SETS: dict[str, frozenset[str]] = {}
 
+_EXTENDED = _Extended()
 
-def scripts_of(letter: str) -> frozenset[str]:
-    """The scripts that have a letter of this shape."""
-    if (known := _SETS.get(letter)) is None:
-        known = _SETS[letter] = frozenset(SPELLED[letter]) if letter in SPELLED else frozenset([script_of(letter)])
-    return known
+
+def _meet(sets) -> frozenset[str]:
+    sets = [s for s in sets if s is not None]
+    return frozenset.intersection(*sets) if sets else frozenset()
+
+
+def scripts_of(letter: str) -> frozenset[str] | None:
+    """The scripts that have a letter of this shape; None if it fits every script."""
+    return frozenset(SPELLED[letter]) if letter in SPELLED else _EXTENDED[letter]
 
 
 def resolve(token: str) -> frozenset[str]:
     """The scripts in which a whole token (as a shape) can be spelled; empty if there is none."""
-    sets = [scripts_of(c) for c in token if c.isalpha()]
-    return frozenset.intersection(*sets) if sets else frozenset()
+    return _meet(scripts_of(c) for c in token if c.isalpha())
 
 
 def respell(token: str, script: str) -> str:
@@ -135,7 +154,7 @@ def _spelling(token: str) -> tuple[str, str]:
         if len(_SPELLING) > 1 << 18:
             _SPELLING.clear()
         can = resolve(token)
-        if not can or "LATIN" in can:
+        if not can or "Latn" in can:
             known = (token, "")
         else:
             best = min(can, key=lambda s: (SCRIPTS.index(s) if s in SCRIPTS else len(SCRIPTS), s))
@@ -168,7 +187,8 @@ def consistent(text: str) -> str:
 def mixed(text: str) -> int:
     """How many tokens of a text are written in more than one script."""
     decomposed = unicodedata.normalize("NFD", text)
-    return sum(len({script_of(c) for c in m[0] if c.isalpha()}) > 1 for m in _TOKEN.finditer(decomposed))
+    letters = ([_EXTENDED[c] for c in m[0] if c.isalpha()] for m in _TOKEN.finditer(decomposed))
+    return sum(any(s is not None for s in sets) and not _meet(sets) for sets in letters)
 
 
 def _normalize(batches):
@@ -201,16 +221,46 @@ def _sign(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "look1", "look2", "text1", "text2"])
 
 
-def lookalike_pairs(documents: DataFrame) -> DataFrame:
+LOOK, TEXT = ["look1", "look2"], ["text1", "text2"]
+_SIGNS = "doc_id bigint, look1 bigint, look2 bigint, text1 bigint, text2 bigint"
+
+
+def _classes_of(documents: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(distinct texts of the classes with several, with the number and the least id of their documents; the documents' digests)."""
+    signs = ws.write(documents.select("doc_id", "text").mapInArrow(_sign, _SIGNS))
+    texts = ws.write(signs.groupBy(*LOOK, *TEXT).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")))
+    several = texts.groupBy(*LOOK).agg(F.count(F.lit(1)).alias("n_texts")).where("n_texts > 1")
+    return ws.write(texts.join(several, LOOK)), signs
+
+
+def lookalike_classes(documents: DataFrame) -> DataFrame:
+    """``class_id, doc_id, text_id, n_texts, n_docs``: one row per document of each class of texts that look the same but are not all the same code points.
+
+    class_id is the least doc_id of the class and text_id that of the documents with the same code points; n_texts and n_docs are the different texts and the documents of the class. Null and empty texts and null doc_ids are in no
+    class; repeated rows stay; an empty table gives no rows.
+    """
+    ws = Workspace(documents.sparkSession)
+    texts, signs = _classes_of(documents, ws)
+    classes = texts.groupBy(*LOOK).agg(F.min("least").alias("class_id"), F.sum("n").alias("n_docs"))
+    named = ws.write(texts.join(classes, LOOK).select(*TEXT, "class_id", F.col("least").alias("text_id"), "n_texts", "n_docs"))
+    return signs.join(named, TEXT).select("class_id", "doc_id", "text_id", "n_texts", "n_docs")
+
+
+def lookalike_pairs(documents: DataFrame, block: int = 1000) -> DataFrame:
     """``doc_id_a, doc_id_b``: all pairs of documents (smaller id first) whose texts look the same but are not the same code points.
 
-    Null and empty texts and null doc_ids are in no pair; copies of one text pair with every lookalike of it but not with each other. Texts are compared whole, by 128-bit digests of the consistent form
-    and of the text. Only groups that hold at least two different texts are joined.
+    Null and empty texts and null doc_ids are in no pair; copies of one text pair with every lookalike of it but not with each other; repeated rows pair as often as they occur. Texts are compared whole, by 128-bit digests of the
+    consistent form and of the text. Different texts pair first; their documents come in through blocks of about ``block``, so a text that is posted very often is no hot key: every join is by text and block.
     """
-    signs = Workspace(documents.sparkSession).write(documents.select("doc_id", "text").mapInArrow(_sign, "doc_id bigint, look1 bigint, look2 bigint, text1 bigint, text2 bigint"))
-    looks = ["look1", "look2"]
-    several = signs.groupBy(*looks).agg(*[f(c).alias(f"{n}{c}") for c in ("text1", "text2") for n, f in (("lo", F.min), ("hi", F.max))]).where("lotext1 <> hitext1 or lotext2 <> hitext2").select(*looks)
-    there = signs.join(several, looks, "left_semi")
-    other = there.select(*looks, F.col("doc_id").alias("doc_id_b"), F.col("text1").alias("b1"), F.col("text2").alias("b2"))
-    pairs = there.withColumnRenamed("doc_id", "doc_id_a").join(other, looks).where("doc_id_a < doc_id_b and (text1 <> b1 or text2 <> b2)")
-    return pairs.select("doc_id_a", "doc_id_b")
+    ws = Workspace(documents.sparkSession)
+    texts, signs = _classes_of(documents, ws)
+    sized = texts.select(*LOOK, *TEXT, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    side = lambda x: sized.select(*LOOK, *[F.col(c).alias(f"{c}{x}") for c in (*TEXT, "blocks")])
+    pairs = side("a").join(side("b"), LOOK).where("text1a < text1b or (text1a = text1b and text2a < text2b)")
+    for x in "ab":
+        pairs = pairs.withColumn(f"block{x}", F.explode(F.sequence(F.lit(0), F.col(f"blocks{x}") - 1)))
+    members = signs.join(sized.select(*TEXT, "blocks"), TEXT).select(*TEXT, "doc_id", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("block"))
+    members = ws.write(members)
+    for x in "ab":
+        pairs = pairs.join(members.select(F.col("doc_id").alias(f"doc{x}"), *[F.col(c).alias(f"{c}{x}") for c in (*TEXT, "block")]), [f"{c}{x}" for c in (*TEXT, "block")])
+    return pairs.select(F.least("doca", "docb").alias("doc_id_a"), F.greatest("doca", "docb").alias("doc_id_b"))

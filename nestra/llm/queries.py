@@ -10,6 +10,9 @@ def _splits(s, d):
     return splits.splits(*(table(s, d, t) for t in ("particles", "calo_hits", "event_origins")))
 
 
+#: Capacities of which each binds: few texts, and a quarter of the attention cost of one text that fills a container (so pieces have at most 512 tokens).
+_BOUNDED = {"most_docs": 16, "most_cost": packing.CAPACITY**2 // 4}
+
 QUERIES = {
     "p2_found": lambda s, d: splits.common_origin(table(s, d, "event_origins")),
     "p2_splits": _splits,
@@ -22,8 +25,13 @@ QUERIES = {
     "p5_typical_tracks": lambda s, d: clusters.typical_tracks(table(s, d, "tracks")),
     "p7_ids": lambda s, d: tokenizer.encode(table(s, d, "documents")),
     "p8_pack": lambda s, d: packing.pack(table(s, d, "documents")),
+    "p8_pack_bounded": lambda s, d: packing.pack(table(s, d, "documents"), **_BOUNDED),
+    "p8_violations": lambda s, d: packing.violations(packing.pack(table(s, d, "documents")), table(s, d, "documents")),
+    "p8_violations_bounded": lambda s, d: packing.violations(packing.pack(table(s, d, "documents"), **_BOUNDED), table(s, d, "documents"), **_BOUNDED),
+    "p8_report_bounded": lambda s, d: packing.pack_report(packing.pack(table(s, d, "documents"), **_BOUNDED)),
     "p8_report": lambda s, d: packing.pack_report(packing.pack(table(s, d, "documents"))),
     "p9_found": lambda s, d: lookalike.lookalike_pairs(table(s, d, "documents")),
+    "p9_classes": lambda s, d: lookalike.lookalike_classes(table(s, d, "documents")),
     "p9_normalized": lambda s, d: lookalike.normalize(table(s, d, "documents")),
 }
 
@@ -34,6 +42,8 @@ e as (select a.event_id as u, b.event_id as v from o a join o b on a.gen_seed =
 r as (select event_id as src, event_id as v from o union select r.src, e.v from r join e on e.u = r.v),
 g as (select r.v as event_id, min(r.src) as first_event_id from r where r.v in (select event_id from o) group by 1)
 select first_event_id, event_id from g where first_event_id <> event_id""",
+    "p8_violations": "select 'document' as kind, doc_id as id from documents where false",
+    "p8_violations_bounded": "select 'document' as kind, doc_id as id from documents where false",
     "p5_track_clusters": """with t as (select distinct on (event_id, block_no) event_id, block_no, phi from tracks),
 m as (select event_id, block_no, unnest(range(coalesce(len(phi), 0))) as pos, unnest(phi) as phi from t),
 w as (select *, phi - lag(phi) over (partition by event_id order by phi) as gap from m where phi is not null),

@@ -75,6 +75,31 @@ def test_all_documents(spark, exact):
     assert {r.doc_id: list(r.ids) for r in tokenizer.encode(d).collect()} == {k: exact(t) for k, t in texts.items()}
 
 
+BITS = ["a", "Z", "é", "ы", "中", "。", " ", "  ", "\n", "\t", "\r\n", "\xa0", "\u3000", "\u2003", "\u2028", "\x85", "\x1c", "\x7f", "\u200b", "1", "²", "'s", "'", ".", "!?", "🙂", "\u1680", "ᚁ"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(BITS), max_size=14), min_size=1, max_size=4))
+def test_words_of_pieces_are_the_words_of_the_text(parts):
+    import pyarrow as pa
+    import regex
+
+    texts = ["".join(p) for p in parts]
+    per, found = tokenizer.pieces_of(pa.array(["skipped x", *texts], pa.large_string()).slice(1))
+    found, words = [p.decode() for p in found.to_pylist()], regex.compile(tokenizer._pattern())
+    for t, n in zip(texts, per.tolist(), strict=True):
+        own, found = found[:n], found[n:]
+        assert "".join(own) == t and [w for p in own for w in words.findall(p)] == words.findall(t)
+    assert not found
+
+
+def test_one_lexicon_serves_several_calls(spark, exact, monkeypatch):
+    d = docs(spark, TRICKY)
+    name = tokenizer.build_lexicon(d)
+    monkeypatch.setattr(tokenizer, "build_lexicon", None)
+    assert {r.doc_id: r.n_tokens for r in tokenizer.token_counts(d, lexicon=name).collect()} == {r.doc_id: len(r.ids) for r in tokenizer.encode(d, lexicon=name).collect()} == {k: len(exact(t)) for k, t in enumerate(TRICKY)}
+
+
 # Packing
 
 
@@ -97,6 +122,47 @@ def test_packing_is_tight():
     assert packing.best_fit(n).max() + 1 <= -(-int(n.sum()) // 1024) + 1
 
 
+def plain_fit(sizes, caps, weights, rule):
+    """Best-fit over a plain list of containers; the score of each choice."""
+    left, scores = [], []
+    for s in sorted((int(s) for s in sizes if s), reverse=True):
+        need = (s, 1, s * s)
+        fits = [r for r in left if all(a >= b for a, b in zip(r, need, strict=True))]
+        value = (lambda r: sum(w * ((a - b) / c) ** 2 for w, a, b, c in zip(weights, r, need, caps, strict=True))) if rule == "norm" else (lambda r: -sum(w * a / c * b / c for w, a, b, c in zip(weights, r, need, caps, strict=True)))
+        if fits:
+            best = min(fits, key=value)
+            scores.append(round(value(best), 12))
+            left.remove(best)
+        else:
+            best = caps
+            scores.append(None)
+        left.append(tuple(a - b for a, b in zip(best, need, strict=True)))
+    return len(left), scores.count(None)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 100), min_size=1, max_size=50), st.sampled_from(["norm", "dot"]), st.integers(2, 9), st.sampled_from([10000, 40000]))
+def test_as_many_containers_as_plain_best_fit(sizes, rule, most_docs, most_cost):
+    n = np.array(sizes, np.int64)
+    where = packing.best_fit(n, 100, most_docs, most_cost, rule=rule)
+    assert abs(int(where.max()) + 1 - plain_fit(n, (100, most_docs, most_cost), packing.WEIGHTS, rule)[0]) <= 1  # ties may fall another way
+
+
+def test_capacities_bind():
+    n = np.random.default_rng(1).integers(1, 200, 3000)
+    free, few, cheap = (int(packing.best_fit(n, **kw).max()) + 1 for kw in ({}, {"most_docs": 4}, {"most_cost": 1024 * 1024 // 16}))
+    assert few > 1.1 * free and cheap > 1.1 * free
+
+
+def test_repeated_rows_and_divisions(spark, monkeypatch):
+    d = docs(spark, ["word " * 40] * 3 + ["x y z", None]).withColumn("doc_id", packing.F.when(packing.F.col("doc_id") < 3, 7).otherwise(packing.F.col("doc_id"))).unionByName(docs(spark, ["a b"] * 2).withColumn("doc_id", packing.F.lit(None).cast("bigint")))
+    monkeypatch.setattr(packing, "RUN", 2)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.container_id) for r in packing.pack(d).collect())
+    assert [x[0] for x in got] == [-1, -1, 3, 4, 7, 7, 7] and got == sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.container_id) for r in packing.pack(d.repartition(7)).collect())
+    assert packing.violations(packing.pack(d), d).count() == 0
+    assert {r.kind for r in packing.violations(packing.pack(d).where("doc_id = 7"), d, capacity=50).collect()} == {"container", "document"}
+
+
 def test_every_text_is_packed_once(spark, exact):
     texts = [*TRICKY, *TRICKY, "word " * 3000]
     got = packing.pack(docs(spark, texts)).collect()
@@ -143,7 +209,7 @@ def test_consistent_spelling():
     assert lookalike.consistent("pаpеr") == "paper" and lookalike.mixed("pаpеr paper") == 1
     assert lookalike.consistent("дaнныe") == "данные"
     assert lookalike.consistent("мы с вами и о всех данных") == "мы с вами и о всех данных"
-    assert lookalike.resolve("cop") >= {"LATIN", "CYRILLIC"} and lookalike.resolve(lookalike.shape("дом")) == {"CYRILLIC"} and not lookalike.resolve("fд")
+    assert lookalike.resolve("cop") >= {"Latn", "Cyrl"} and lookalike.resolve(lookalike.shape("дом")) == {"Cyrl"} and not lookalike.resolve("fд")
 
 
 def test_pairs(spark, rows):
@@ -151,4 +217,23 @@ def test_pairs(spark, rows):
     assert rows(lookalike.lookalike_pairs(d)) == [(0, 1), (0, 8), (1, 2), (1, 8), (2, 8), (5, 6)]
     n = {r.doc_id: (r.text, r.changed, r.n_mixed) for r in lookalike.normalize(d).collect()}
     assert n[1] == ("same", True, 1) and n[3] == (None, False, 0) and n[4] == ("", False, 0) and n[5] == ("", True, 0) and n[0] == ("same", False, 0)
-    assert rows(lookalike.lookalike_pairs(d.where("false"))) == []
+    assert rows(lookalike.lookalike_pairs(d.where("false"))) == [] and rows(lookalike.lookalike_classes(d.where("false"))) == []
+    assert rows(lookalike.lookalike_pairs(d, block=1)) == rows(lookalike.lookalike_pairs(d))
+    assert rows(lookalike.lookalike_classes(d)) == [(0, 0, 0, 3, 4), (0, 1, 1, 3, 4), (0, 2, 0, 3, 4), (0, 8, 8, 3, 4), (5, 5, 5, 2, 2), (5, 6, 6, 2, 2)]
+
+
+def test_reposts_pair_in_blocks(spark):
+    d = docs(spark, ["sаme"] + ["same"] * 5000)
+    assert lookalike.lookalike_pairs(d).count() == 5000 and lookalike.lookalike_classes(d).where("n_docs = 5001 and n_texts = 2").count() == 5001
+
+
+def test_scripts_of_tokens():
+    r = lambda t: lookalike.resolve(lookalike.shape(t))
+    assert "Jpan" in r("日本語のテキスト") and "Kore" in r("한국語") and not r("한の") and r("аб") == {"Cyrl"}
+    assert lookalike.mixed("日本語のテキスト") == 0 and lookalike.mixed("pаper") == 1 and lookalike.mixed("ラーメン") == 0 and lookalike.mixed("한の") == 1
+    for a, b in (("ꓐ", "B"), ("Ⲟ", "O"), ("ց", "g"), ("ꓲꓳꓴ", "IOU")):
+        assert lookalike.consistent(a) == b
+    for other in ("ɡ", "ɑ", "ı"):  # letters of one script stay apart
+        assert lookalike.consistent(other) == other
+    for script, (latin, own) in lookalike.SAME_SHAPE.items():
+        assert len(latin) == len(own) == len(set(own)) and all(script in lookalike._EXTENDED[c] for c in own)
