@@ -1,8 +1,8 @@
 """Connected components by random-mate contraction.
 
 Each round every vertex tosses a coin (a hash of vertex and round). A vertex with tails that has neighbours with heads collapses into the smallest of them; edges are renamed by two joins, loops and
-repeats vanish. In expectation at least a quarter of the vertices that still have edges collapse per round, however long the chains and however large the hubs are. The moves of all rounds are
-then unwound: moves of ``TOGETHER`` consecutive rounds become one, until a single one is left.
+repeats vanish. In expectation at least a quarter of the vertices that still have edges collapse per round, however long the chains and however large the hubs are. A round is one job: the edges that are left and the moves are written as
+one table, and how many edges there are is counted on the way. The moves of all rounds are then unwound: moves of ``TOGETHER`` consecutive rounds become one, until a single one is left.
 """
 
 from __future__ import annotations
@@ -42,22 +42,23 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
     A vertex that does not come out is its own root. All vertices of a component share one root, which is one of them but not a particular one. Nulls are no vertices; loops and repeated edges
     change nothing; no edges give no rows.
     """
-    left = ws.write(_simple(edges.where("g is not null and u is not null and v is not null")))
-    moves: list[DataFrame] = []
-    r = 0
-    while not left.isEmpty():
+    round_, n = ws.count(_simple(edges.where("g is not null and u is not null and v is not null")).withColumn("moved", F.lit(False)), "true")
+    empty, rounds, r = round_.select("g", F.col("u").alias("vertex"), F.col("v").alias("root")).where("false"), [], 0
+    while n:
+        left = round_.where("not moved").select("g", "u", "v")
         tossed = left.select("g", "u", "v", _coin("u", r).alias("cu"), _coin("v", r).alias("cv")).where("cu <> cv")
         tails = F.col("cu") == 0
         mates = tossed.groupBy("g", F.when(tails, F.col("u")).otherwise(F.col("v")).alias("child")).agg(F.min(F.when(tails, F.col("v")).otherwise(F.col("u"))).alias("parent"))
-        mates = ws.write(mates)
         by = lambda c: mates.select("g", F.col("child").alias(c), F.col("parent").alias(f"{c}2"))  # noqa: E731, B023
         renamed = left.join(by("u"), ["g", "u"], "left").join(by("v"), ["g", "v"], "left")
-        old, left = left, ws.write(_simple(renamed.select("g", F.coalesce("u2", "u").alias("u"), F.coalesce("v2", "v").alias("v"))))
-        ws.drop(old)
-        moves.append(mates.select("g", F.col("child").alias("vertex"), F.col("parent").alias("root")))
+        edges = _simple(renamed.select("g", F.coalesce("u2", "u").alias("u"), F.coalesce("v2", "v").alias("v"))).withColumn("moved", F.lit(False))
+        round_, n = ws.count(edges.unionByName(mates.select("g", F.col("child").alias("u"), F.col("parent").alias("v"), F.lit(True).alias("moved"))), "not moved")
+        rounds.append(round_)
         r += 1
-    if not moves:
-        return left.select("g", F.col("u").alias("vertex"), F.col("v").alias("root"))
+    moves = [x.where("moved").select("g", F.col("u").alias("vertex"), F.col("v").alias("root")) for x in rounds]
     while len(moves) > 1:
         moves = [ws.write(_compose(moves[k : k + TOGETHER])) for k in range(0, len(moves), TOGETHER)]
-    return moves[0]
+        if rounds:
+            ws.drop(*rounds)
+            rounds = []
+    return moves[0] if moves else empty

@@ -16,6 +16,8 @@ _BOUNDED = {"most_docs": 16, "most_cost": packing.CAPACITY**2 // 4}
 QUERIES = {
     "p2_found": lambda s, d: splits.common_origin(table(s, d, "event_origins")),
     "p2_splits": _splits,
+    "p2_crossing": lambda s, d: splits.crossing(_splits(s, d), table(s, d, "event_origins")),
+    "p2_shares": lambda s, d: splits.shares_met(_splits(s, d), table(s, d, "calo_hits")),
     "p2_report": lambda s, d: splits.split_report(_splits(s, d), table(s, d, "calo_hits")),
     "p5_found": lambda s, d: clusters.found(table(s, d, "calo_hits"), table(s, d, "tracks")),
     "p5_typical_hits": lambda s, d: clusters.typical_hits(table(s, d, "calo_hits")),
@@ -42,6 +44,8 @@ e as (select a.event_id as u, b.event_id as v from o a join o b on a.gen_seed =
 r as (select event_id as src, event_id as v from o union select r.src, e.v from r join e on e.u = r.v),
 g as (select r.v as event_id, min(r.src) as first_event_id from r where r.v in (select event_id from o) group by 1)
 select first_event_id, event_id from g where first_event_id <> event_id""",
+    "p2_crossing": "select event_id, 2::bigint as n_splits from event_origins where false",
+    "p2_shares": "select * from (values ('train', true), ('validation', true), ('test', true)) v(split, is_met)",
     "p8_violations": "select 'document' as kind, doc_id as id from documents where false",
     "p8_violations_bounded": "select 'document' as kind, doc_id as id from documents where false",
     "p5_track_clusters": """with t as (select distinct on (event_id, block_no) event_id, block_no, phi from tracks),

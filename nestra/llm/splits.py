@@ -40,21 +40,24 @@ def common_origin(origins: DataFrame) -> DataFrame:
 
 
 def _place_heavy(heavy: list[tuple[int, int]], total: int) -> tuple[dict[int, str], dict[str, float]]:
-    """Largest first into the split that lacks most; returns the places and what each split still lacks."""
+    """Largest first into the split that lacks most; returns the places and what of the rest each split is due: lacks, scaled so that they sum up to the rest. A split that has too much gets none of it."""
     lack = {name: share * total for name, share in SHARES}
     places = {}
     for weight, group in sorted(((w, g) for g, w in heavy), key=lambda x: (-x[0], x[1])):
         name = max(lack, key=lack.get)
         places[group] = name
         lack[name] -= weight
-    return places, lack
+    due = {name: max(0.0, x) for name, x in lack.items()}
+    rest, lacking = total - sum(w for _, w in heavy), sum(due.values())
+    return places, {name: x * rest / lacking if lacking else 0.0 for name, x in due.items()}
 
 
 def splits(particles: DataFrame, calo_hits: DataFrame, origins: DataFrame) -> DataFrame:
     """``event_id, split, group_id``: train, validation or test of every event_id of particles and calo_hits.
 
     Events of common origin share a group and thereby a split; 80/10/10 is met by the number of blocks of calo_hits (copies once). Groups with at least a thousandth of the rows go, largest first, to the split that
-    lacks most; all others follow in hashed order by cumulative weight, so the shares are met to about a thousandth. If no block is in calo_hits, every group counts as one. Null event ids are no events; an
+    lacks most; all others follow in hashed order by cumulative weight, so the shares are met to about a thousandth. Where one group holds more than a split's share, what is left is divided between the other splits in proportion to
+    their shares. If no block is in calo_hits, every group counts as one. Null event ids are no events; an
     event without blocks has weight 0; empty tables give no rows. The same data give the same splits.
     """
     spark = particles.sparkSession
@@ -63,26 +66,43 @@ def splits(particles: DataFrame, calo_hits: DataFrame, origins: DataFrame) -> Da
     weights = calo_hits.where("event_id is not null").select("event_id", "block_no").distinct().groupBy("event_id").agg(F.count(F.lit(1)).alias("w"))
     every = particles.where("event_id is not null").select("event_id").distinct().join(weights, "event_id", "full")
     events = ws.write(every.join(labels, "event_id", "left").select("event_id", F.coalesce("root", "event_id").alias("group_id"), F.coalesce("w", F.lit(0)).alias("w")))
-    groups = events.groupBy("group_id").agg(F.sum("w").alias("w"))
-    total = groups.agg(F.sum("w")).first()[0] or 0
+    groups = ws.write(events.groupBy("group_id").agg(F.sum("w").alias("w")))
+    count, total = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
     if not total:
-        groups = groups.withColumn("w", F.lit(1).cast("bigint"))
-        total = groups.count()
-    groups = ws.write(groups)
+        groups, total = groups.withColumn("w", F.lit(1).cast("bigint")), count
     heavy = [(r.group_id, r.w) for r in groups.where(F.col("w") * HEAVY >= total).collect()] if total else []  # at most HEAVY rows
-    places, lack = _place_heavy(heavy, total)
+    places, due = _place_heavy(heavy, total)
     # Cumulative weight of the rest in two steps: over buckets, then within each bucket.
     placed = spark.createDataFrame(list(places.items()), "group_id bigint, split string")
     light = groups.where(F.col("w") * HEAVY < total).withColumn("h", F.xxhash64("group_id")).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)))
     starts = light.groupBy("bucket").agg(F.sum("w").alias("bw")).withColumn("start", F.sum("bw").over(Window.orderBy("bucket")) - F.col("bw")).select("bucket", "start")  # BUCKETS rows
     run = F.sum("w").over(Window.partitionBy("bucket").orderBy("h", "group_id").rowsBetween(Window.unboundedPreceding, 0))
     middle = light.join(F.broadcast(starts), "bucket").withColumn("middle", F.col("start") + run - F.col("w") / 2)
-    train, validation = max(lack["train"], 0.0), max(lack["validation"], 0.0)
+    train, validation = due["train"], due["validation"]
     split = F.when(F.col("middle") < train, "train").when(F.col("middle") < train + validation, "validation").otherwise("test")
     chosen = middle.select("group_id", split.alias("split")).unionByName(placed)
     return events.join(chosen, "group_id").select("event_id", "split", "group_id")
 
 
+def crossing(assigned: DataFrame, origins: DataFrame) -> DataFrame:
+    """``event_id, n_splits``: events in several splits, and listed events whose gen_seed or resim_of leads to an event in another split (with the number of splits there). Right splits give no rows."""
+    known = assigned.select("event_id", "split")
+    twice = known.groupBy("event_id").agg(F.count_distinct("split").alias("n_splits")).where("n_splits > 1")
+    listed = origins.where("event_id is not null").join(known, "event_id")
+    shared = listed.where("gen_seed is not null and gen_seed <> 0").select(F.lit("seed").alias("kind"), F.col("gen_seed").alias("key"), "event_id", "split")
+    again = listed.where("resim_of is not null").select(F.lit("event").alias("kind"), F.col("resim_of").alias("key"), "event_id", "split")
+    itself = known.select(F.lit("event").alias("kind"), F.col("event_id").alias("key"), "event_id", "split")
+    apart = shared.unionByName(again).unionByName(itself).groupBy("kind", "key").agg(F.min("event_id").alias("event_id"), F.count_distinct("split").alias("n_splits")).where("n_splits > 1")
+    return twice.unionByName(apart.select("event_id", "n_splits"))
+
+
+def shares_met(assigned: DataFrame, calo_hits: DataFrame, within: float = 0.02) -> DataFrame:
+    """``split, is_met``: whether each split's part of the blocks of calo_hits is its share to ``within`` of all blocks (no group larger than a share may stand in the way)."""
+    total = F.sum("n_blocks").over(Window.partitionBy(F.lit(0)))  # of three rows
+    want = F.create_map(*[F.lit(x) for pair in SHARES for x in pair])[F.col("split")]
+    return split_report(assigned, calo_hits).select("split", (F.abs(F.col("n_blocks") - want * total) <= within * total).alias("is_met"))
+
+
 def split_report(assigned: DataFrame, calo_hits: DataFrame) -> DataFrame:
     """``split, n_events, n_blocks``: what each split got."""
     weights = calo_hits.where("event_id is not null").select("event_id", "block_no").distinct().groupBy("event_id").agg(F.count(F.lit(1)).alias("w"))

@@ -61,3 +61,16 @@ def test_splits_keep_groups_and_shares(spark, make):
     assert sum(report.values()) == total
     assert splits.splits(make.particles(), make.hits(), origins(spark)).count() == 0
     assert {x.split for x in splits.splits(make.particles(*[{"event_id": e, "particle_id": [1]} for e in range(200)]), make.hits(), origins(spark)).collect()} == {"train", "validation", "test"}
+
+
+def test_a_group_beyond_its_share_leaves_the_rest_to_the_others(spark, make, rows):
+    sizes = [1900] + [1] * 100
+    h = make.hits(*[{"event_id": e, "block_no": b, "x": []} for e, n in enumerate(sizes) for b in range(n)])
+    got = splits.splits(make.particles(), h, origins(spark, (3, 1, None), (4, 1, None), (5, None, 3)))
+    n = {x.split: x.n_blocks for x in splits.split_report(got, h).collect()}
+    assert n["train"] == 1900 and abs(n["validation"] - 50) <= 3 and abs(n["test"] - 50) <= 3
+    o = origins(spark, (3, 1, None), (4, 1, None), (5, None, 3))
+    assert splits.crossing(got, o).count() == 0
+    wrong = spark.createDataFrame([(3, "train"), (4, "test"), (7, "train"), (7, "test"), (8, "train")], "event_id bigint, split string")
+    assert rows(splits.crossing(wrong, o)) == [(3, 2), (7, 2), (7, 2)]
+    assert rows(splits.shares_met(got, h)) == [("test", False), ("train", False), ("validation", False)]
