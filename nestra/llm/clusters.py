@@ -26,7 +26,7 @@ from nestra.runtime import Workspace, pieces
 
 HIT_LIMIT, HIT_LEAST = 40.0, 5  # mm, members
 TRACK_LIMIT, TRACK_LEAST = 0.02, 3  # rad, members
-BUCKET_BYTES = 6 << 20  # of compressed coordinates in a bucket of whole events, about
+BUCKET_BYTES = 2 << 20  # of compressed coordinates in a bucket of whole events, about
 MOST_HITS = 1 << 19  # hits of an event, or of a tile, that meet in one task
 PAIRS = 1 << 21  # distances computed at once
 TILES = (64, 16, 4)  # cells along a tile's edge
