@@ -56,7 +56,7 @@ def closure(pointers: DataFrame, n_buckets: int, most_nodes: int = MOST_NODES) -
     any_large = not large.isEmpty()
     small = nodes.join(large, "event_id", "left_anti") if any_large else nodes
     bucket = F.pmod(F.xxhash64("event_id"), F.lit(n_buckets)).cast("int").alias("bucket")
-    out = small.select(bucket, *KEY, "next").groupBy("bucket").applyInArrow(lambda t: _double(t), "event_id bigint, particle_id bigint, target bigint")
+    out = small.select(bucket, *KEY, "next").repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _double(t), "event_id bigint, particle_id bigint, target bigint")
     if not any_large:
         return out
     now = ws.write(nodes.join(large, "event_id", "left_semi").groupBy(*KEY).agg(F.min("next").alias("next")))
@@ -108,7 +108,7 @@ def first_outside(particles: DataFrame, calo_hits: DataFrame, **tuning) -> DataF
 def ancestors_with_cycles(particles: DataFrame) -> DataFrame:
     """``event_id, particle_id, ancestor_id, in_cycle``: the walk that reports cycles. The end of a chain whose last parent is named but absent is that absent id; a natural root (no parent, or its own) is itself; chains into a cycle have no ancestor."""
     flat = particles_flat(particles, ("parent_id",)).select(*KEY, F.col("parent_id").alias("named"))
-    tree = hierarchy.lineage(particles, descendants=False).select(*KEY, "root_id", "depth")
+    tree = hierarchy.lineage(particles, descendants=False, paths=False).select(*KEY, "root_id", "depth")
     ends = tree.join(flat.select("event_id", F.col("particle_id").alias("root_id"), F.col("named").alias("beyond")), ["event_id", "root_id"], "left")
     absent = F.when(F.col("beyond").isNull() | (F.col("beyond") == 0) | (F.col("beyond") == F.col("root_id")), F.col("root_id")).otherwise(F.col("beyond"))
     return ends.select(*KEY, F.when(F.col("depth") >= 0, absent).alias("ancestor_id"), (F.col("depth") < 0).alias("in_cycle"))
@@ -122,7 +122,7 @@ def ancestor_distribution(lineage: DataFrame) -> DataFrame:
 
 def generation_map(particles: DataFrame, selected: DataFrame) -> DataFrame:
     """``event_id, selected_id, particle_id, generation`` around each selected (event_id, particle_id): +n for descendants, -n for ancestors, 0 for itself. Particles whose parents never end have no generations."""
-    tree = hierarchy.lineage(particles).where("part = 0 and depth >= 0").select(*KEY, "depth", "path")
+    tree = hierarchy.lineage(particles, descendants=False).where("depth >= 0").select(*KEY, "depth", "path")
     chosen = selected.select("event_id", F.col("particle_id").alias("selected_id")).distinct()
     # Every particle's path holds its ancestors: one look at the paths gives both directions.
     steps = tree.select("event_id", "particle_id", "depth", F.posexplode("path").alias("at", "above"))
@@ -133,7 +133,7 @@ def generation_map(particles: DataFrame, selected: DataFrame) -> DataFrame:
 
 def data_jumps(particles: DataFrame, visible: DataFrame) -> DataFrame:
     """``event_id, particle_id, ancestor_id, gap``: for each visible (event_id, particle_id) its nearest visible proper ancestor and how many generations lie between; 1 is a direct link, more is a jump."""
-    tree = hierarchy.lineage(particles).where("part = 0 and depth > 0").select(*KEY, "depth", "path")
+    tree = hierarchy.lineage(particles, descendants=False).where("depth > 0").select(*KEY, "depth", "path")
     seen = visible.select(*KEY).distinct()
     steps = tree.join(seen, KEY, "left_semi").select(*KEY, "depth", F.posexplode("path").alias("at", "above")).where("at < depth")
     near = steps.join(seen.withColumnRenamed("particle_id", "above"), ["event_id", "above"], "left_semi").groupBy(*KEY).agg(F.max_by("above", "at").alias("ancestor_id"), F.min(F.col("depth") - F.col("at")).alias("gap"))
@@ -142,11 +142,8 @@ def data_jumps(particles: DataFrame, visible: DataFrame) -> DataFrame:
 
 def inclusive_energy(particles: DataFrame, calo_hits: DataFrame) -> DataFrame:
     """``event_id, particle_id, direct_energy, inclusive_energy``: what a particle deposited itself, and with all its descendants. Sums are in whole millionths, so exact. Particles whose parents never end have no row."""
-    direct = deposits(calo_hits)
-    tree = hierarchy.lineage(particles).where("part = 0 and depth >= 0").select(*KEY, "path")
-    sent = tree.join(direct, KEY).select("event_id", F.explode("path").alias("particle_id"), "units").groupBy(*KEY).agg(F.sum("units").alias("all_units"))
-    out = tree.select(*KEY).join(direct, KEY, "left").join(sent, KEY, "left")
-    return out.select(*KEY, (F.coalesce("units", F.lit(0)) / F.lit(1e6)).alias("direct_energy"), (F.coalesce("all_units", F.lit(0)) / F.lit(1e6)).alias("inclusive_energy"))
+    sums = hierarchy.subtree_sums(particles, deposits(calo_hits))
+    return sums.select(*KEY, (F.col("own") / F.lit(1e6)).alias("direct_energy"), (F.col("total") / F.lit(1e6)).alias("inclusive_energy"))
 
 
 def deposits(calo_hits: DataFrame) -> DataFrame:

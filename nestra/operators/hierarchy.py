@@ -5,12 +5,13 @@ every node takes root and depth from its parent and a place in one shared pre-or
 descendant list is sent upwards as the bounds of that slice and copied out once.
 
 Events are independent, so whole events are hashed into buckets of bounded size and each bucket is peeled by vectorised rounds. An event with more particles than ``MOST_NODES`` never meets
-in one task: it is peeled by DataFrame rounds (one join per round), with the same results.
+in one task: it is peeled by DataFrame rounds, with the same results. There a round peels all leaves and then also takes out single children in between (of a chain about every fourth node), so the number of
+rounds grows with the logarithm of the particles, not with the depth; on a cycle that ends with a link of one node to itself.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ MOST_NODES = 1 << 20  # particles of an event that are peeled in one task
 LIST_MOST = 100_000  # descendants in one row; a node with more has several rows (parts)
 
 LINEAGE = "event_id bigint, particle_id bigint, parent_id bigint, root_id bigint, depth int, on_cycle boolean, n_descendants bigint, path array<bigint>, part int, descendants array<bigint>"
+PATHS = "event_id bigint, particle_id bigint, parent_id bigint, root_id bigint, depth int, on_cycle boolean, n_descendants bigint, path array<bigint>"
 SLIM = "event_id bigint, particle_id bigint, parent_id bigint, root_id bigint, depth int, on_cycle boolean, n_descendants bigint"
 
 
@@ -146,6 +148,15 @@ def _peel_slim(t: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(_slim(_forest(t)), _NAMES[:7])
 
 
+def _list(lengths: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int64)), pa.array(values)).cast(pa.list_(pa.int64()))
+
+
+def _peel_paths(t: pa.Table) -> pa.Table:
+    f = _forest(t)
+    return pa.Table.from_arrays([*_slim(f), _list(*f.paths())], _NAMES[:8])
+
+
 def _peel_full(list_most: int, t: pa.Table) -> pa.Table:
     f = _forest(t)
     length, flat = f.paths()
@@ -158,9 +169,8 @@ def _peel_full(list_most: int, t: pa.Table) -> pa.Table:
     owner = np.repeat(np.arange(f.n), below)
     at = f.preorder[np.repeat(f.place + 1 - (np.cumsum(below) - below), below) + np.arange(len(owner))]
     at = at[np.lexsort((at, owner))]
-    lists = lambda n, v: pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int64)), pa.array(v)).cast(pa.list_(pa.int64()))
     take = pa.array(row)
-    out = [c.take(take) for c in _slim(f)] + [lists(length, flat).take(take), pa.array(part.astype(np.int32)), lists(size, f.ident[at])]
+    out = [c.take(take) for c in _slim(f)] + [_list(length, flat).take(take), pa.array(part.astype(np.int32)), _list(size, f.ident[at])]
     return pa.Table.from_arrays(out, _NAMES)
 
 
@@ -172,10 +182,30 @@ def _blocks(particles: DataFrame) -> DataFrame:
     return rows.where("size(links) > 0")
 
 
-def lineage(particles: DataFrame, descendants: bool = True, bucket_bytes: int = BUCKET_BYTES, most_nodes: int = MOST_NODES, list_most: int = LIST_MOST) -> DataFrame:
+class _Events:
+    """Blocks of particles, whole events in buckets or, beyond ``most_nodes``, apart."""
+
+    def __init__(self, particles: DataFrame, bucket_bytes: int, most_nodes: int):
+        blocks = _blocks(particles)
+        self.n = pieces(particles.select("event_id", "particle_id", "parent_id"), bucket_bytes, 8)
+        # Only one number per oversize event is kept; there are at most (all particles) / most_nodes of them.
+        large = blocks.groupBy("event_id").agg(F.sum(F.size("links")).alias("n")).where(F.col("n") > most_nodes).select("event_id")
+        self.oversize = Workspace(particles.sparkSession).write(large)
+        self.any_large = not self.oversize.isEmpty()
+        self.small = self.in_buckets(self.of_small(blocks))
+        self.large = blocks.join(self.oversize, "event_id", "left_semi") if self.any_large else None
+
+    def of_small(self, df: DataFrame) -> DataFrame:
+        return df.join(self.oversize, "event_id", "left_anti") if self.any_large else df
+
+    def in_buckets(self, df: DataFrame):
+        return df.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(self.n)).cast("int")).repartition(self.n, "bucket").groupBy("bucket")
+
+
+def lineage(particles: DataFrame, descendants: bool = True, paths: bool = True, bucket_bytes: int = BUCKET_BYTES, most_nodes: int = MOST_NODES, list_most: int = LIST_MOST) -> DataFrame:
     """Root, depth, path and descendants of every particle.
 
-    ``event_id, particle_id, parent_id, root_id, depth, on_cycle, n_descendants, path, part, descendants``; without ``descendants`` the last three are left out. parent_id is null unless it is a
+    ``event_id, particle_id, parent_id, root_id, depth, on_cycle, n_descendants, path, part, descendants``; without ``descendants`` the last two are left out, without ``paths`` as well path. parent_id is null unless it is a
     parent: not null, not 0, not the particle's own id, and a particle of the event. path goes from the root to the particle itself. If the parents never end, depth is -1, path is
     empty, root_id is the smallest id of the cycle they come back to, and on_cycle tells its members. Descendants are those below a node, in the order of id, over all parts; for a
     member of a cycle only what hangs below it outside the cycle. A node with more than ``list_most`` descendants has several rows, numbered by ``part``.
@@ -183,83 +213,98 @@ def lineage(particles: DataFrame, descendants: bool = True, bucket_bytes: int =
     Copies of a block count once; null particle ids are no particles; a pair (event_id, particle_id) named twice counts as its first; lists of different length are padded with nulls;
     rows without event_id are left out; empty tables give no rows.
     """
-    blocks = _blocks(particles)
-    schema = LINEAGE if descendants else SLIM
-    kernel = partial(_peel_full, list_most) if descendants else _peel_slim
-    n = pieces(particles.select("event_id", "particle_id", "parent_id"), bucket_bytes, 8)
-    # How many nodes an event has at most. Only one number per oversize event is kept; there are at most (all particles) / most_nodes of them.
-    large = blocks.groupBy("event_id").agg(F.sum(F.size("links")).alias("n")).where(F.col("n") > most_nodes).select("event_id")
-    large = Workspace(particles.sparkSession).write(large)
-    if large.isEmpty():
-        small = blocks
-    else:
-        small = blocks.join(large, "event_id", "left_anti")
-    small = small.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(n)).cast("int"))
-    out = small.groupBy("bucket").applyInArrow(lambda t: kernel(t), schema)
-    if not large.isEmpty():
-        out = out.unionByName(_lineage_by_rounds(blocks.join(large, "event_id", "left_semi"), descendants, list_most))
-    return out
-
-
-def _lineage_by_rounds(blocks: DataFrame, descendants: bool, list_most: int) -> DataFrame:
-    """The same for events that are too large for a task: every round is a join over particles spread by (event_id, particle_id)."""
+    schema, kernel = (LINEAGE, partial(_peel_full, list_most)) if descendants else (PATHS, _peel_paths) if paths else (SLIM, _peel_slim)
+    e = _Events(particles, bucket_bytes, most_nodes)
+    out = e.small.applyInArrow(lambda t: kernel(t), schema)
+    return out.unionByName(_lineage_by_rounds(e.large, descendants, paths, list_most)) if e.any_large else out
+
+
+_KEY = ["event_id", "particle_id"]
+_IDS = "array<bigint>"
+
+
+def _contract(nodes: DataFrame, ws: Workspace) -> tuple[list[tuple[DataFrame, DataFrame | None]], list[DataFrame]]:
+    """Peel ``event_id, particle_id, parent_id`` (a parent is there or null) until nothing is left; returns (peeled leaves, taken out) of each round.
+
+    A node that is left has ``up``, what it hangs on now, over ``dist`` links with the nodes ``via`` in between (from above) and the least of them, ``low``; ``acc`` is its own size as far as it has been sent, ``off`` what the nodes
+    in between add to it on the way up. ``busy`` counts what still hangs on a node. A link of a node to itself is all that is left of a cycle.
+    """
+    left = nodes.select(*_KEY, F.col("parent_id").alias("up"), F.lit(1).cast("bigint").alias("acc"), F.lit(0).cast("bigint").alias("off"), F.lit(1).alias("dist"), F.lit(None).cast("bigint").alias("low"), F.array().cast(_IDS).alias("via"))
+    state, hangs = ["up", "acc", "off", "dist", "low", "via"], (F.col("up").isNotNull()) & (F.col("up") != F.col("particle_id"))
+    below = lambda df, *aggs: df.where(hangs).groupBy("event_id", F.col("up").alias("particle_id")).agg(*aggs)
+    coin = lambda c, r: F.pmod(F.xxhash64("event_id", c, F.lit(r)), F.lit(2))
+    rounds, r = [], 0
+    while True:
+        marked, n_left = ws.count(left.select(*_KEY, *state).join(below(left, F.count(F.lit(1)).alias("busy")), _KEY, "left"), "busy is not null")
+        leaves = marked.where("busy is null")
+        if not n_left:
+            rounds.append((leaves, None))
+            return rounds
+        stay = marked.where("busy is not null").drop("busy")
+        sent = below(leaves, F.sum(F.col("acc") + F.col("off")).alias("sent"))
+        only = below(stay, F.count(F.lit(1)).alias("children"), F.min("particle_id").alias("child"))
+        rest = stay.join(sent, _KEY, "left").join(only, _KEY, "left").withColumn("acc", F.col("acc") + F.coalesce("sent", F.lit(0)))
+        out = hangs & (F.col("children") == 1) & (coin("particle_id", r) == 1) & (coin("up", r) == 0)
+        rest = ws.write(rest.drop("sent").withColumn("out", F.coalesce(out, F.lit(False))))
+        between = rest.where("out").select("event_id", F.col("child").alias("particle_id"), F.struct(F.col("particle_id").alias("id"), *state).alias("b"))
+        kept = rest.where("not out").select(*_KEY, *state).join(between, _KEY, "left")
+        new = {
+            "up": F.col("b.up"), "acc": F.col("acc"), "off": F.col("off") + F.col("b.acc") + F.col("b.off"), "dist": F.col("dist") + F.col("b.dist"), "low": F.least("low", "b.id", "b.low"),
+            "via": F.concat("b.via", F.array("b.id"), "via"),
+        }
+        kept = kept.select(*_KEY, F.col("off").alias("off_before"), "b", *[F.when(F.col("b").isNotNull(), v).otherwise(F.col(k)).alias(k) for k, v in new.items()])
+        left, n_out = ws.count(kept, "b is not null")
+        ws.drop(rest)
+        taken = left.where("b is not null").select("event_id", F.col("b.id").alias("particle_id"), *[F.col(f"b.{k}").alias(k) for k in state], F.col("particle_id").alias("child"), "off_before")
+        rounds.append((leaves, taken if n_out else None))
+        r += 1
+
+
+def _lineage_by_rounds(blocks: DataFrame, descendants: bool, paths: bool, list_most: int) -> DataFrame:
+    """The same for events that are too large for a task: every round is a few joins over particles spread by (event_id, particle_id)."""
     ws = Workspace(blocks.sparkSession)
     first = blocks.groupBy("event_id", "block_no").agg(F.min_by("links", "arrival").alias("links"))
     nodes = first.select("event_id", "block_no", F.posexplode("links").alias("pos", "l")).groupBy("event_id", F.col("l.id").alias("particle_id")).agg(F.min_by("l.parent", F.struct("block_no", "pos")).alias("named"))
     ids = nodes.select("event_id", F.col("particle_id").alias("named"), F.lit(True).alias("there"))
     nodes = nodes.where("true").join(ids, ["event_id", "named"], "left")
     nodes = ws.write(nodes.select("event_id", "particle_id", F.when(F.col("there") & (F.col("named") != 0) & (F.col("named") != F.col("particle_id")), F.col("named")).alias("parent_id")))
-    key = ["event_id", "particle_id"]
-    # Bottom-up: `left` has the nodes not peeled yet, with the subtree sizes sent to them so far.
-    left, peeled, r = ws.write(nodes.withColumn("size", F.lit(1).cast("bigint"))), [], 0
-    while True:
-        busy = left.where("parent_id is not null").groupBy("event_id", F.col("parent_id").alias("particle_id")).agg(F.count(F.lit(1)).alias("busy"))
-        marked = ws.write(left.join(busy, key, "left"))
-        leaves = marked.where("busy is null").drop("busy")
-        if leaves.isEmpty():
-            break
-        peeled.append(leaves.withColumn("round", F.lit(r)))
-        sent = leaves.where("parent_id is not null").groupBy("event_id", F.col("parent_id").alias("particle_id")).agg(F.sum("size").alias("sent"))
-        old = left
-        left = ws.write(marked.where("busy is not null").drop("busy").join(sent, key, "left").select(*key, "parent_id", (F.col("size") + F.coalesce("sent", F.lit(0))).alias("size")))
-        ws.drop(old)
-        r += 1
-    # Residual nodes are cycles: the smallest id by doubling the step.
-    done = ws.write(left.select(*key, "parent_id", "size", F.col("particle_id").alias("root_id"), F.lit(-1).alias("depth"), F.lit(True).alias("on_cycle"), F.array().cast("array<bigint>").alias("path")))
-    longest = done.groupBy("event_id").count().agg(F.max("count")).first()[0] or 0
-    step = done.select("event_id", "particle_id", F.col("parent_id").alias("to"), F.col("root_id").alias("low"))
-    reach = 1
-    while reach < 2 * longest:
-        ahead = step.select("event_id", F.col("particle_id").alias("to"), F.col("to").alias("to2"), F.col("low").alias("low2"))
-        step = ws.write(step.join(ahead, ["event_id", "to"]).select("event_id", "particle_id", F.col("to2").alias("to"), F.least("low", "low2").alias("low")))
-        reach *= 2
-    done = done.join(step.select("event_id", "particle_id", "low"), key).withColumn("root_id", F.col("low")).drop("low")
-    # Top-down in reverse peel order.
-    cols = [*key, "parent_id", "size", "root_id", "depth", "on_cycle", "path"]
-    tops = [p.where("parent_id is null").select(*key, "parent_id", "size", F.col("particle_id").alias("root_id"), F.lit(0).alias("depth"), F.lit(False).alias("on_cycle"), F.array("particle_id").alias("path")) for p in peeled]
-    for t in tops:
-        done = done.unionByName(t)
-    done = ws.write(done.select(*cols))
-    for p in reversed(peeled):
-        up = done.select("event_id", F.col("particle_id").alias("parent_id"), F.col("root_id").alias("r"), F.col("depth").alias("d"), F.col("path").alias("above"))
-        below = p.where("parent_id is not null").join(up, ["event_id", "parent_id"]).select(
-            *key, "parent_id", "size", F.col("r").alias("root_id"), F.when(F.col("d") < 0, -1).otherwise(F.col("d") + 1).alias("depth"), F.lit(False).alias("on_cycle"),
-            F.when(F.col("d") < 0, F.array().cast("array<bigint>")).otherwise(F.concat("above", F.array("particle_id"))).alias("path"),
-        )
-        done = ws.write(done.unionByName(below))
-    slim = done.select(*key, "parent_id", "root_id", "depth", "on_cycle", (F.col("size") - 1).alias("n_descendants"), "path")
+    rounds = _contract(nodes, ws)
+    # In reverse order every node takes root, depth and the chain of nodes above it from what it hung on.
+    cols = [*_KEY, "size", "root_id", "depth", "on_cycle", "chain"]
+    tops = [
+        leaves.where("up is null or up = particle_id").select(
+            *_KEY, F.col("acc").alias("size"), F.when(F.col("up").isNull(), F.col("particle_id")).otherwise(F.least("particle_id", "low")).alias("root_id"), F.when(F.col("up").isNull(), 0).otherwise(-1).alias("depth"),
+            F.col("up").isNotNull().alias("on_cycle"), F.array("particle_id").alias("chain"),
+        )
+        for leaves, _ in rounds
+    ]
+    done = [ws.write(reduce(DataFrame.unionByName, tops))]
+    depth = F.when(F.col("p.depth") < 0, -1).otherwise(F.col("p.depth") + F.col("dist"))
+    chain = F.concat("p.chain", "via", F.array("particle_id"))
+
+    def with_parent(df: DataFrame, every: DataFrame) -> DataFrame:
+        return df.join(every.select("event_id", F.col("particle_id").alias("up"), F.struct("root_id", "depth", "chain").alias("p")), ["event_id", "up"])
+
+    for leaves, taken in reversed(rounds):
+        if taken is not None:
+            every = reduce(DataFrame.unionByName, done)
+            child = every.select("event_id", F.col("particle_id").alias("child"), F.col("size").alias("child_size"), "on_cycle")
+            size = F.when(F.col("on_cycle"), F.col("acc")).otherwise(F.col("child_size") + F.col("off_before") + F.col("acc"))
+            own = F.when(F.col("on_cycle"), F.array("particle_id")).otherwise(chain)
+            done.append(ws.write(with_parent(taken, every).join(child, ["event_id", "child"]).select(*_KEY, size.alias("size"), F.col("p.root_id").alias("root_id"), depth.alias("depth"), "on_cycle", own.alias("chain"))))
+        hung = leaves.where("up is not null and up <> particle_id")
+        done.append(ws.write(with_parent(hung, reduce(DataFrame.unionByName, done)).select(*_KEY, F.col("acc").alias("size"), F.col("p.root_id").alias("root_id"), depth.alias("depth"), F.lit(False).alias("on_cycle"), chain.alias("chain"))))
+        if len(done) > 8:  # many small tables become one
+            old, done = done, [ws.write(reduce(DataFrame.unionByName, done).select(*cols))]
+            ws.drop(*old)
+    every = reduce(DataFrame.unionByName, done)
+    path = F.when(F.col("depth") < 0, F.array().cast(_IDS)).otherwise(F.col("chain")).alias("path")
+    slim = nodes.join(every, _KEY).select(*_KEY, "parent_id", "root_id", "depth", "on_cycle", (F.col("size") - 1).alias("n_descendants"), path)
     if not descendants:
-        return slim.drop("path")
-    # Pairs climb one link a round, so a descendant reaches each of its ancestors; lists form from parts of bounded size.
-    tree = done.where("not on_cycle").select("event_id", F.col("particle_id").alias("descendant"), F.col("parent_id").alias("above")).where("above is not null")
-    up = done.where("not on_cycle and parent_id is not null").select("event_id", F.col("particle_id").alias("above"), F.col("parent_id").alias("next"))
-    pairs, now = None, ws.write(tree)
-    while not now.isEmpty():
-        pairs = now if pairs is None else pairs.unionByName(now)
-        now = ws.write(now.join(up, ["event_id", "above"]).select("event_id", "descendant", F.col("next").alias("above")))
+        return slim if paths else slim.drop("path")
+    # A chain names all that a node is a descendant of.
+    pairs = every.select("event_id", F.col("particle_id").alias("descendant"), F.explode(F.slice("chain", F.lit(1), F.size("chain") - 1)).alias("above"))
     n_parts = F.greatest(F.lit(1), F.ceil(F.col("n_descendants") / list_most)).cast("int")
-    if pairs is None:
-        return slim.withColumn("part", F.lit(0)).withColumn("descendants", F.array().cast("array<bigint>"))
     # Parts by rank of id: ranks form within bands of ids, counts of bands are summed before, so no node's descendants are sorted in one task.
     banded = pairs.withColumn("band", F.shiftright("descendant", 16))
     node = ["event_id", "above"]
@@ -268,8 +313,49 @@ def _lineage_by_rounds(blocks: DataFrame, descendants: bool, list_most: int) ->
     rank = F.col("before") + F.row_number().over(Window.partitionBy(*node, "band").orderBy("descendant")) - 1
     parted = banded.join(before, [*node, "band"]).select(*node, "descendant", F.floor(rank / list_most).cast("int").alias("part"))
     lists = parted.groupBy("event_id", F.col("above").alias("particle_id"), "part").agg(F.array_sort(F.collect_list("descendant")).alias("descendants"))
-    every = slim.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
-    return every.join(lists, [*key, "part"], "left").select(*[c for c in _NAMES if c != "descendants"], F.coalesce("descendants", F.array().cast("array<bigint>")).alias("descendants"))
+    each = slim.withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
+    return each.join(lists, [*_KEY, "part"], "left").select(*[c for c in _NAMES if c != "descendants"], F.coalesce("descendants", F.array().cast(_IDS)).alias("descendants"))
+
+
+def _sums(t: pa.Table, values: pa.Table) -> pa.Table:
+    names = ["event_id", "particle_id", "own", "total"]
+    if not t.num_rows:
+        return pa.Table.from_arrays([pa.array([], pa.int64())] * 4, names)
+    f = _forest(t)
+    own = np.zeros(f.n, np.int64)
+    e, i, v = (values.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("event_id", "particle_id", "units"))
+    lo, hi = np.searchsorted(f.event, e, "left"), np.searchsorted(f.event, e, "right")
+    end = hi.copy()
+    while (k := np.flatnonzero(lo < hi)).size:
+        mid = (lo[k] + hi[k]) // 2
+        low = f.ident[mid] < i[k]
+        lo[k], hi[k] = np.where(low, mid + 1, lo[k]), np.where(low, hi[k], mid)
+    there = lo < end
+    there[there] = f.ident[lo[there]] == i[there]
+    np.add.at(own, lo[there], v[there])
+    total = own.copy()
+    for level in f.rounds:  # leaves first
+        up = level[f.parent[level] >= 0]
+        np.add.at(total, f.parent[up], total[up])
+    ends = f.depth >= 0
+    return pa.Table.from_arrays([pa.array(c[ends]) for c in (f.event, f.ident, own, total)], names)
+
+
+def subtree_sums(particles: DataFrame, values: DataFrame, bucket_bytes: int = BUCKET_BYTES, most_nodes: int = MOST_NODES) -> DataFrame:
+    """``event_id, particle_id, own, total`` of particles whose parents end: the sum of ``units`` (of ``event_id, particle_id, units``) of each particle, and with all its descendants, sent upwards while leaves are peeled.
+
+    Units of what is no particle count nowhere, null units as 0; particles whose parents never end have no row. Other rules are those of lineage.
+    """
+    values = values.where("event_id is not null and particle_id is not null and units is not null").select(*_KEY, "units")
+    e = _Events(particles, bucket_bytes, most_nodes)
+    out = e.small.cogroup(e.in_buckets(e.of_small(values))).applyInArrow(lambda a, b: _sums(a, b), "event_id bigint, particle_id bigint, own bigint, total bigint")
+    if not e.any_large:
+        return out
+    tree = Workspace(particles.sparkSession).write(_lineage_by_rounds(e.large, False, True, LIST_MOST).where("depth >= 0").select(*_KEY, "path"))
+    summed = values.groupBy(*_KEY).agg(F.sum("units").alias("own"))
+    sent = tree.join(summed, _KEY).select("event_id", F.explode("path").alias("particle_id"), "own").groupBy(*_KEY).agg(F.sum("own").alias("total"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return out.unionByName(tree.select(*_KEY).join(summed, _KEY, "left").join(sent, _KEY, "left").select(*_KEY, zero("own"), zero("total")))
 
 
 def descendant_pairs(particles: DataFrame, cycles: bool = False, **tuning) -> DataFrame:
@@ -280,4 +366,4 @@ def descendant_pairs(particles: DataFrame, cycles: bool = False, **tuning) -> Da
 
 def found(particles: DataFrame, **tuning) -> DataFrame:
     """``event_id, particle_id, root_id, depth`` of each particle that has a parent."""
-    return lineage(particles, descendants=False, **tuning).where("parent_id is not null").select("event_id", "particle_id", "root_id", "depth")
+    return lineage(particles, descendants=False, paths=False, **tuning).where("parent_id is not null").select("event_id", "particle_id", "root_id", "depth")

@@ -118,7 +118,7 @@ def test_random_forests(make, events):
 def test_both_ways_of_peeling_agree(make, rows):
     nodes = [(1, None, 0), (2, 1, 0), (3, 2, 0), (4, 2, 0), (5, 4, 0), (6, 7, 0), (7, 8, 0), (8, 6, 0), (9, 8, 0), (10, 9, 0), (11, 11, 0), (12, 0, 0)]
     p = make.particles(make.forest(1, *nodes), make.forest(1, *nodes, ingested_at=at(4)), make.forest(2, (1, 2, 0)), make.forest(None, (1, 2, 0)), {"event_id": 3, "particle_id": None, "parent_id": [1]}, {"event_id": 4, "particle_id": [1, None], "parent_id": None}, more=CLASH)
-    form = lambda df: sorted((r.event_id, r.particle_id, r.parent_id or 0, r.root_id, r.depth, r.on_cycle, r.n_descendants, tuple(r.path), r.part, tuple(sorted(r.descendants))) for r in df.collect())
+    form = lambda df: sorted((r.event_id, r.particle_id, r.parent_id or 0, r.root_id, r.depth, r.on_cycle, r.n_descendants, tuple(r.path), r.part, tuple(r.descendants)) for r in df.collect())
     a = form(hierarchy.lineage(p))
     assert a == form(hierarchy.lineage(p, most_nodes=3))
     cut = hierarchy.lineage(p, list_most=2).where("event_id = 1 and particle_id = 1").collect()
@@ -134,6 +134,33 @@ def test_parts_of_both_ways_are_the_same(make):
     assert [x[2:] for x in a if x[1] == 1] == [(0, (2, 3)), (1, (4, 9)), (2, (70000,))] and [x[2:] for x in a if x[1] == 7] == [(0, (5, 8))]
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 14), min_size=3, max_size=14))
+def test_random_forests_by_rounds(make, par):
+    p = make.particles({"event_id": 1, "particle_id": list(range(1, len(par) + 1)), "parent_id": [x or None for x in par]})
+    form = lambda **tuning: sorted((r.particle_id, r.parent_id or 0, r.root_id, r.depth, r.on_cycle, r.n_descendants, tuple(r.path), r.part, tuple(r.descendants)) for r in hierarchy.lineage(p, **tuning).collect())
+    assert form() == form(most_nodes=2)
+
+
+def test_deep_chains_and_long_cycles_end_in_few_rounds(make):
+    from nestra.runtime import Workspace
+
+    n = 3000
+    ids, parents = list(range(1, n + 401)), [k or None for k in range(n)] + [n + 1 + (k + 1) % 400 for k in range(400)]
+    p = make.particles({"event_id": 1, "particle_id": ids, "parent_id": parents})
+    e = hierarchy._Events(p, 1 << 20, 2)
+    nodes = e.large.select("event_id", hierarchy.F.explode("links").alias("l")).select("event_id", hierarchy.F.col("l.id").alias("particle_id"), hierarchy.F.col("l.parent").alias("parent_id"))
+    assert len(hierarchy._contract(nodes, Workspace(p.sparkSession))) <= 45
+
+
+def test_sums_over_subtrees(make, spark, rows):
+    p = make.particles(make.forest(1, (1, None, 0), (2, 1, 0), (3, 2, 0), (4, 2, 0), (6, 7, 0), (7, 6, 0), (8, 7, 0), (9, 8, 0)), make.forest(2, (1, 5, 0)))
+    v = spark.createDataFrame([(1, 3, 10), (1, 4, 5), (1, 1, 1), (1, 9, 2), (1, 6, 3), (1, 77, 9), (1, 3, None), (2, 1, 4), (3, 1, 1), (None, 1, 1)], "event_id bigint, particle_id bigint, units bigint")
+    for tuning in ({}, {"most_nodes": 1}):
+        assert rows(hierarchy.subtree_sums(p, v, **tuning)) == [(1, 1, 1, 16), (1, 2, 0, 15), (1, 3, 10, 10), (1, 4, 5, 5), (2, 1, 4, 4)]
+    assert rows(hierarchy.subtree_sums(make.particles(), v)) == []
+
+
 def test_descendants_below_cycles(make, rows):
     p = make.particles(make.forest(1, (1, None, 0), (2, 1, 0), (6, 7, 0), (7, 6, 0), (8, 7, 0), (9, 8, 0)))
     assert rows(hierarchy.descendant_pairs(p, cycles=True)) == [(1, 1, 2), (1, 7, 8), (1, 7, 9), (1, 8, 9)]
