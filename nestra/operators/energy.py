@@ -90,6 +90,13 @@ def cluster_contributions(labelled: DataFrame) -> DataFrame:
     return rows.select("event_id", "cluster_id", "block_no", "pos", F.col("_r.i").alias("particle_id"), F.col("_r.e").alias("energy")).where("particle_id is not null")
 
 
+def with_labels(calo_hits: DataFrame, labels: DataFrame) -> DataFrame:
+    """Flat hits with the ``cluster_id`` of any clustering (``event_id, block_no, pos, cluster_id``), as all cluster reports take them; a hit without a label is noise (-1)."""
+    hits = hits_flat(calo_hits, ("x", "y", "z", "total_energy", "contrib_particle_ids", "contrib_energies"))
+    at = ["event_id", "block_no", "pos"]
+    return hits.join(labels.select(*at, "cluster_id"), at, "left").withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1)).cast("bigint"))
+
+
 def cluster_purity(labelled: DataFrame, lineage: DataFrame) -> DataFrame:
     """``event_id, cluster_id, ultimate_ancestor_id, total_energy_deps_in_cluster, total_energy_deps, purity``: an ancestor's energy in a cluster over its energy in all clusters of the event."""
     parts = cluster_contributions(labelled).groupBy("event_id", "cluster_id", "particle_id").agg(F.coalesce(F.sum(units("energy")), F.lit(0).cast("bigint")).alias("u"))

@@ -222,6 +222,19 @@ def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float
     return points.groupBy("event_id").applyInArrow(lambda t: one(t), out)
 
 
+def not_nearest(labelled: DataFrame, coordinates: tuple[str, ...]) -> DataFrame:
+    """``event_id, block_no, pos`` of the points of mean_shift in space that are nearer to another centre of their event than to their own. A right clustering gives no rows.
+
+    The centres of an event are gathered (they are few: no two within a bandwidth), its points are not.
+    """
+    own = [f"c_{c}" for c in coordinates]
+    centres = labelled.where("cluster_id >= 0").select("event_id", F.struct(*own).alias("c")).distinct().groupBy("event_id").agg(F.collect_list("c").alias("centres"))
+    d2 = lambda c: sum(((F.col(x) - c[f"c_{x}"]) * (F.col(x) - c[f"c_{x}"]) for x in coordinates), F.lit(0.0))
+    mine = sum(((F.col(x) - F.col(f"c_{x}")) * (F.col(x) - F.col(f"c_{x}")) for x in coordinates), F.lit(0.0))
+    far = F.exists("centres", lambda c: d2(c) < F.col("mine") * (1 - 1e-9) - 1e-9)
+    return labelled.where("cluster_id >= 0").withColumn("mine", mine).join(centres, "event_id").where(far).select("event_id", "block_no", "pos")
+
+
 def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large: int = 2000, top_percent: float = 4.0) -> DataFrame:
     """Two-level clustering in (eta, phi): seeded by the hits of highest energy; clusters with more than ``large`` hits are divided again, all members together, seeded by the top ``top_percent`` percent of their hits. Adds ``cluster_id, sub_id``.
 

@@ -230,6 +230,11 @@ def _occurrences(nested: DataFrame) -> DataFrame:
     return once.select("event_id", F.when(~F.col("no_block"), F.shiftright("at", 32).cast("int")).alias("block_no"), "run_no", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos"), "hi", "lo")
 
 
+def linked_blocks(nested: DataFrame) -> DataFrame:
+    """The bridge block -> hit or particle by the block's own values: ``event_id, block_no, run_no, pos, hi, lo``, one row per position of a distinct block; hi and lo are the identity of the object that stands there."""
+    return _occurrences(nested)
+
+
 def _rebuilt(nested: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """Every occurrence of a child with the fields of its object, which is stored once. -0.0 comes back as 0.0, which has the same identity."""
     kinds = {f.name: f.dataType.simpleString() for f in nested.schema["children"].dataType.elementType.fields}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,17 +37,19 @@ def cluster_points(calo_hits: DataFrame, tracks: DataFrame, least_energy: float
 def _ranked(points: DataFrame, energy: str, descending: bool) -> DataFrame:
     """Adds ``_rank`` (0, 1, ... within the event; ties by block_no, pos) and ``_all`` (points of the event).
 
-    Rows are ranked within bands of similar energy only, and bands are counted per event: no event is sorted in one task.
+    Rows are ranked within bands of similar energy only, bands of one energy (zero, missing) within ranges of blocks, and bands are counted per event: no event is sorted in one task.
     """
     e = F.col(energy)
-    band = F.when(e > 0, F.floor(F.log2(e) * 64)).when(e <= 0, F.lit(-1000000)).otherwise(F.lit(-2000000)).cast("bigint")
-    banded = points.withColumn("_band", band)
-    counts = banded.groupBy("event_id", "_band").agg(F.count(F.lit(1)).alias("_n"))
+    size = F.floor(F.log2(F.abs(e)) * 64)
+    band = F.when(F.isnan(e) | e.isNull(), F.lit(-4000000)).when(e > 0, size).when(e < 0, F.lit(-2000000) - size).otherwise(F.lit(-1000000)).cast("bigint")
+    banded = points.withColumn("_band", band).withColumn("_sub", F.when(F.col("_band").isin(-1000000, -4000000), F.floor(F.col("block_no") / 64)).otherwise(F.lit(0)))
+    keys = ["event_id", "_band", "_sub"]
+    counts = banded.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("event_id")
     order = (lambda c: F.desc_nulls_last(c)) if descending else (lambda c: F.asc_nulls_first(c))
-    before = counts.select("event_id", "_band", (F.sum("_n").over(w.orderBy(order("_band"))) - F.col("_n")).alias("_before"), F.sum("_n").over(w).alias("_all"))
-    inner = F.row_number().over(Window.partitionBy("event_id", "_band").orderBy(order(energy), "block_no", "pos")) - 1
-    return banded.join(before, ["event_id", "_band"]).withColumn("_rank", F.col("_before") + inner).drop("_band", "_before")
+    before = counts.select(*keys, (F.sum("_n").over(w.orderBy(order("_band"), "_sub")) - F.col("_n")).alias("_before"), F.sum("_n").over(w).alias("_all"))
+    inner = F.row_number().over(Window.partitionBy(*keys).orderBy(order(energy), "block_no", "pos")) - 1
+    return banded.join(before, keys).withColumn("_rank", F.col("_before") + inner).drop("_band", "_sub", "_before")
 
 
 def percentile_mask(points: DataFrame, percent: float, energy: str = "energy") -> DataFrame:
@@ -69,12 +72,16 @@ def percentile_clip(points: DataFrame, energy: str = "energy", low: float = 0.05
     return points.join(bounds, "event_id", "left").withColumn("clipped", F.when(F.col(energy).isNotNull(), F.greatest(F.least(F.col(energy), F.col("_high")), F.col("_low")))).drop("_low", "_high")
 
 
-def split_events(points: DataFrame, bandwidth: float) -> DataFrame:
-    """``event_id, cluster_id, n_calo, n_tracks, calo, tracks``: each event divided by clusters in (eta, phi), with the positions (block_no, pos) of its hits and tracks. Events without points have no row; a negative bandwidth keeps events whole."""
+def split_events(points: DataFrame, bandwidth: float, decorate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``event_id, cluster_id, n_calo, n_tracks, calo, tracks``: each event divided by clusters in (eta, phi), with the positions (block_no, pos) of its hits and tracks. Events without points have no row; a negative bandwidth keeps events whole.
+
+    ``decorate`` is the place for one's own work on every part of an event: it gets the result as a frame and returns what takes its place.
+    """
     labelled = mean_shift(points.select("event_id", "block_no", "pos", "eta", "phi", "is_calo"), ("eta", "phi"), bandwidth, angular=True)
     member = F.struct("block_no", "pos")
     lists = [F.array_sort(F.collect_list(F.when(cond, member))).alias(n) for n, cond in (("calo", F.col("is_calo")), ("tracks", ~F.col("is_calo")))]
-    return labelled.groupBy("event_id", "cluster_id").agg(*lists).select("event_id", "cluster_id", F.size("calo").alias("n_calo"), F.size("tracks").alias("n_tracks"), "calo", "tracks")
+    parts = labelled.groupBy("event_id", "cluster_id").agg(*lists).select("event_id", "cluster_id", F.size("calo").alias("n_calo"), F.size("tracks").alias("n_tracks"), "calo", "tracks")
+    return decorate(parts) if decorate else parts
 
 
 def large_clusters(labelled: DataFrame, least: int) -> DataFrame:
@@ -83,18 +90,43 @@ def large_clusters(labelled: DataFrame, least: int) -> DataFrame:
     return labelled.join(sizes, ["event_id", "cluster_id"])
 
 
-def cardinality(labelled: DataFrame) -> DataFrame:
-    """``event_id, cluster_id, n_hits``; noise (-1) is left out."""
-    return labelled.where("cluster_id <> -1").groupBy("event_id", "cluster_id").agg(F.count(F.lit(1)).alias("n_hits"))
+def cardinality(labelled: DataFrame, keep_noise: bool = False) -> DataFrame:
+    """``event_id, cluster_id, n_hits``; noise (-1) is left out unless it is to be kept."""
+    return (labelled if keep_noise else labelled.where("cluster_id <> -1")).groupBy("event_id", "cluster_id").agg(F.count(F.lit(1)).alias("n_hits"))
+
+
+def cardinality_of_events(labelled: DataFrame, mask: DataFrame | None = None, keep_noise: bool = False) -> DataFrame:
+    """``event_id, cluster_id, n_hits, index``: the clusters of all events, numbered through in the order of (event_id, cluster_id).
+
+    ``labelled`` has ``event_id, block_no, pos, cluster_id``; ``mask`` has ``event_id, block_no, pos, is_on`` for exactly the same points, of which those that are on count. A point that is in one of the two only is an error.
+    Events of which no point counts have no row.
+    """
+    if mask is not None:
+        at = ["event_id", "block_no", "pos"]
+        both = labelled.select(*at, "cluster_id", F.lit(True).alias("_l")).join(mask.select(*at, "is_on", F.lit(True).alias("_m")), at, "full")
+        fits = F.assert_true(F.col("_l").isNotNull() & F.col("_m").isNotNull(), F.lit("the mask and the labels are not of the same points"))
+        labelled = both.where(fits.isNull()).where("is_on")
+    return with_global_index(cardinality(labelled, keep_noise))
+
+
+RANGES = 4096
 
 
-def with_global_index(per_cluster: DataFrame, width: int = 4096) -> DataFrame:
-    """Adds ``index``: 0, 1, ... over all clusters in the order of (event_id, cluster_id). Counts are summed over ranges of event_ids first, so only one row per range meets in one task."""
-    ranged = per_cluster.withColumn("_range", F.floor(F.col("event_id") / width))
-    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    starts = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_start"))
-    inner = F.row_number().over(Window.partitionBy("_range").orderBy("event_id", "cluster_id")) - 1
-    return ranged.join(starts, "_range").withColumn("index", F.col("_start") + inner).drop("_range", "_start")
+def with_global_index(per_cluster: DataFrame) -> DataFrame:
+    """Adds ``index``: 0, 1, ... over all clusters in the order of (event_id, cluster_id).
+
+    Counts are summed over at most RANGES ranges of event_ids, within a range over bands of cluster_ids, and clusters are sorted within a band only, so neither many events nor an event of many clusters meet in one task.
+    """
+    edges = per_cluster.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    lo, width = edges.lo or 0, max(1, -(-((edges.hi or 0) - (edges.lo or 0) + 1) // RANGES))
+    banded = per_cluster.withColumn("_range", F.floor((F.col("event_id") - lo) / width)).withColumn("_band", F.shiftright("cluster_id", 16))
+    keys = ["_range", "event_id", "_band"]
+    counts = banded.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = lambda w: F.sum("_n").over(w) - F.col("_n")
+    starts = counts.groupBy("_range").agg(F.sum("_n").alias("_n")).select("_range", before(Window.orderBy("_range")).alias("_start"))
+    within = counts.select(*keys, before(Window.partitionBy("_range").orderBy("event_id", "_band")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("cluster_id")) - 1
+    return banded.join(within, keys).join(starts, "_range").withColumn("index", F.col("_start") + F.col("_before") + place).drop("_range", "_band", "_start", "_before")
 
 
 def cluster_summary(labelled: DataFrame) -> DataFrame:

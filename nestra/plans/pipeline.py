@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from nestra.operators import hierarchy, merkle, orphan_refs, tree_aggregate
 from nestra.runtime import table
 
@@ -10,6 +12,11 @@ def _orphans(spark, d):
     return orphan_refs.orphan_references(*(table(spark, d, t) for t in ("particles", "calo_hits", "withdrawn_particles")))
 
 
+def _as_text(lineage):
+    """Paths as 1/2/3 and descendants as 4,5."""
+    return lineage.withColumns({"path": F.array_join("path", "/"), "descendants": F.array_join("descendants", ",")})
+
+
 QUERIES = {
     "p1_found": lambda s, d: tree_aggregate.hot_keys(table(s, d, "calo_hits")),
     "p1_key_sums": lambda s, d: tree_aggregate.key_sums(table(s, d, "calo_hits")),
@@ -18,12 +25,14 @@ QUERIES = {
     "p4_found": lambda s, d: hierarchy.found(table(s, d, "particles")),
     "p4_descendants": lambda s, d: hierarchy.descendant_pairs(table(s, d, "particles")),
     "p4_all_descendants": lambda s, d: hierarchy.descendant_pairs(table(s, d, "particles"), cycles=True),
-    "p4_lineage": lambda s, d: hierarchy.lineage(table(s, d, "particles")),
+    "p4_lineage": lambda s, d: _as_text(hierarchy.lineage(table(s, d, "particles"))),
     "p6_found": lambda s, d: merkle.unmatched(table(s, d, "calo_hits"), table(s, d, "particles")),
     "p6_contributions": lambda s, d: merkle.flat_contributions(table(s, d, "calo_hits")),
     "p6_hits": lambda s, d: merkle.flat_hits(table(s, d, "calo_hits")),
     "p6_particles": lambda s, d: merkle.flat_particles(table(s, d, "particles")),
     "p6_linked_contributions": lambda s, d: merkle.linked_contributions(table(s, d, "calo_hits")),
+    "p6_hit_links": lambda s, d: merkle.linked_blocks(merkle.nested_hits(table(s, d, "calo_hits"))),
+    "p6_particle_links": lambda s, d: merkle.linked_blocks(merkle.nested_particles(table(s, d, "particles"))),
     "p6_object_counts": lambda s, d: merkle.object_counts(table(s, d, "calo_hits"), table(s, d, "particles")),
 }
 
@@ -46,11 +55,15 @@ o as (select r.ref_table, r.run_no, r.event_id, r.holder_id, r.ref_id, case when
 
 _FOREST = """n as (select distinct on (event_id, id) event_id, id, parent from (select event_id, block_no, unnest(particle_id) as id, unnest(parent_id) as parent from particles) where id is not null order by event_id, id, block_no),
 e as (select n.event_id, n.id, p.id as up from n left join n p on p.event_id = n.event_id and p.id = n.parent and n.parent <> 0 and n.parent <> n.id),
-walk as (select event_id, id, id as cur, up as nxt, 0 as depth from e union all select w.event_id, w.id, e.id, e.up, w.depth + 1 from walk w join e on e.event_id = w.event_id and e.id = w.nxt where w.depth < 200),
-ends as (select event_id, id, cur as root_id, depth from walk where nxt is null),
-loops as (select event_id, id, min(cur) as root_id from walk where depth > 100 group by 1, 2),
+walk as (select event_id, id, id as cur from e union select w.event_id, w.id, e.up from walk w join e on e.event_id = w.event_id and e.id = w.cur where e.up is not null),
+cyc as (select distinct w.event_id, w.id from walk w join e on e.event_id = w.event_id and e.id = w.cur where e.up = w.id),
+ends as (select w.event_id, w.id, max(w.cur) filter (e.up is null) as root_id, count(*) - 1 as depth from walk w join e on e.event_id = w.event_id and e.id = w.cur group by 1, 2 having count(*) filter (e.up is null) > 0),
+loops as (select w.event_id, w.id, min(w.cur) as root_id from walk w join cyc on cyc.event_id = w.event_id and cyc.id = w.cur group by 1, 2),
 f as (select e.event_id, e.id as particle_id, e.up as parent_id, coalesce(ends.root_id, loops.root_id) as root_id, coalesce(ends.depth, -1)::int as depth
-  from e left join ends on ends.event_id = e.event_id and ends.id = e.id left join loops on loops.event_id = e.event_id and loops.id = e.id)"""
+  from e left join ends on ends.event_id = e.event_id and ends.id = e.id left join loops on loops.event_id = e.event_id and loops.id = e.id),
+tree as (select * from walk w anti join cyc on cyc.event_id = w.event_id and cyc.id = w.id),
+below as (select w.event_id, w.cur as particle_id, w.id as descendant_id from tree w anti join cyc on cyc.event_id = w.event_id and cyc.id = w.cur where w.cur <> w.id
+  union select w.event_id, e.up, w.id from tree w join e on e.event_id = w.event_id and e.id = w.cur join cyc on cyc.event_id = e.event_id and cyc.id = e.up anti join cyc c2 on c2.event_id = w.event_id and c2.id = w.cur)"""
 
 SQL = {
     "p1_found": f"""with {_HIT_BLOCKS}, i as (select unnest(flatten(ids)) as id from b)
@@ -64,7 +77,13 @@ union all select 'contributor', i[child_pos + 1], null, null, count(*), coalesce
     "p3_found": f"with {_ORPHANS} select * from o",
     "p3_report": f"with {_ORPHANS} select ref_table, run_no, status, count(*) as n_refs from o group by 1, 2, 3",
     "p4_found": f"with recursive {_FOREST} select event_id, particle_id, root_id, depth from f where parent_id is not null",
-    "p4_descendants": f"with recursive {_FOREST} select w.event_id, w.cur as particle_id, w.id as descendant_id from walk w semi join ends on ends.event_id = w.event_id and ends.id = w.id where w.depth > 0",
+    "p4_descendants": f"with recursive {_FOREST} select b.event_id, b.particle_id, b.descendant_id from below b semi join ends on ends.event_id = b.event_id and ends.id = b.descendant_id",
+    "p4_all_descendants": f"with recursive {_FOREST} select event_id, particle_id, descendant_id from below",
+    "p4_lineage": f"""with recursive {_FOREST},
+way as (select w.event_id, w.id, string_agg(w.cur::varchar, '/' order by c.depth) as path from walk w semi join ends on ends.event_id = w.event_id and ends.id = w.id join ends c on c.event_id = w.event_id and c.id = w.cur group by 1, 2),
+under as (select event_id, particle_id, count(*) as n, string_agg(descendant_id::varchar, ',' order by descendant_id) as descendants from below group by 1, 2)
+select f.event_id, f.particle_id, f.parent_id, f.root_id, f.depth, cyc.id is not null as on_cycle, coalesce(under.n, 0) as n_descendants, coalesce(way.path, '') as path, 0 as part, coalesce(under.descendants, '') as descendants
+from f left join cyc on cyc.event_id = f.event_id and cyc.id = f.particle_id left join way on way.event_id = f.event_id and way.id = f.particle_id left join under on under.event_id = f.event_id and under.particle_id = f.particle_id""",
     "p6_found": f"""with {_HIT_BLOCKS}, {_CONTRIBS},
 p as (select event_id, block_no, arg_min(px, ingested_at) as px, unnest(range(coalesce(len(arg_min(particle_id, ingested_at)), 0))) as pos from particles group by 1, 2)
 select 'contribution' as kind, event_id, block_no, pos::int as pos, child_pos::int as child_pos from c where (i[child_pos + 1] is null) <> (e[child_pos + 1] is null)

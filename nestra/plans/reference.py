@@ -8,7 +8,8 @@ from nestra import schema
 
 from nestra.operators import ancestry, energy, masks, meanshift, nested, points, reports
 from nestra.operators.masks import KEY
-from nestra.runtime import table
+from nestra.runtime import Workspace, table
+from nestra.sources import readers, writers
 
 
 def _t(*names):
@@ -85,6 +86,34 @@ def _meanshift_angles(h, t):
     return meanshift.mean_shift(points.cluster_points(h, t).select("event_id", "block_no", "pos", "is_calo", "eta", "phi"), ("eta", "phi"), 0.2, angular=True, cluster_all=False)
 
 
+_cloud = points.cluster_points
+
+
+def _members(p):
+    """The particles of the first ancestor of the first event."""
+    lineage = ancestry.ultimate(p)
+    first = lineage.where("ultimate_ancestor_id is not null").agg(F.min(F.struct("event_id", "ultimate_ancestor_id")).alias("f")).first().f
+    return ancestry.members_of(lineage, *(first or (-1, -1))).select(*KEY, "ultimate_ancestor_id")
+
+
+def _picked(p):
+    ids = [r.event_id for r in p.where("event_id is not null").select("event_id").distinct().orderBy("event_id").limit(3).collect()]
+    return nested.particles_flat(nested.pick_events(p, *ids), ()).select("event_id", "block_no", "pos", "particle_id")
+
+
+def _written_and_read(s, d):
+    """Tracks through the narrowing sink and back."""
+    path = f"{Workspace(s).root}/sink"
+    writers.write_jagged(nested.distinct_blocks(table(s, d, T).select("event_id", "block_no", *nested.TRACK_LISTS)), path)
+    return nested.flatten(readers.read_table(s, path), nested.TRACK_LISTS).withColumns({"majority_particle_id": F.col("majority_particle_id").cast("bigint"), "phi": F.col("phi").cast("double"), "theta": F.col("theta").cast("double")})
+
+
+def _catalogue(s, d):
+    tables = readers.read_catalogue(s, d, (P, H, T), n_events=5)
+    counts = [df.groupBy("event_id").agg(reports.count_rows().alias("n")).select(F.lit(name).alias("table_name"), "event_id", "n") for name, df in tables.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 QUERIES = {
     # Flattening and lists.
     "flatten_particles": _t(P)(lambda p: nested.particles_flat(p).drop("vx", "vy", "vz").withColumns({c: F.col(c) + 0.0 for c in ("px", "py", "pz")})),
@@ -157,6 +186,11 @@ QUERIES = {
     "all_pdg_names": lambda s, d: reports.named(nested.particles_flat(table(s, d, P), ("pdg_id",)).select("pdg_id").distinct(), schema.pdg_names(s)),
     "pdg_code_of_name": _t(N)(lambda n: reports.code_of(n, "muon-", "muon+", "photon")),
     "class_counts": _t(P)(_classes_of),
+    "members_of_ancestor": _t(P)(_members),
+    "picked_events": _t(P)(_picked),
+    "written_and_read": _written_and_read,
+    "catalogue_counts": _catalogue,
+    "cardinality_of_events": _t(H)(lambda h: points.cardinality_of_events(energy.with_grid_clusters(h).select("event_id", "block_no", "pos", "cluster_id"), nested.hits_flat(h, ("total_energy",)).select("event_id", "block_no", "pos", F.coalesce(F.col("total_energy") > 0.01, F.lit(False)).alias("is_on")))),
     # Points.
     "percentile_threshold_mask": _t(H)(_top),
     "percentile_clip": _t(H)(_clip),
@@ -167,6 +201,15 @@ QUERIES = {
     "union_distinct_flags": _t(P, T)(lambda p, t: nested.particles_flat(p, ()).select(*KEY).unionByName(nested.tracks_flat(t).where("majority_particle_id is not null").select("event_id", F.col("majority_particle_id").alias("particle_id"))).distinct()),
     # Clustering, which SQL cannot express.
     "meanshift_xyz": _t(H)(_meanshift_xyz),
+    "meanshift_etaphi_weighted": _t(H, T)(lambda h, t: meanshift.mean_shift(_cloud(h, t).select("event_id", "block_no", "pos", "is_calo", "eta", "phi", "energy"), ("eta", "phi"), 0.2, angular=True, weight="energy")),
+    "meanshift_not_nearest": _t(H)(lambda h: meanshift.not_nearest(_meanshift_xyz(h), ("x", "y", "z"))),
+    "meanshift_coverage": _t(H, T)(lambda h, t: _meanshift_angles(h, t).groupBy("event_id").agg(reports.count_rows().alias("n"), F.count_if(F.col("cluster_id") < -1).alias("n_wrong"))),
+    "meanshift_cluster_cardinality": _t(H)(lambda h: points.cardinality_of_events(_meanshift_xyz(h).select("event_id", "block_no", "pos", "cluster_id"), points.hit_points(h).select("event_id", "block_no", "pos", (F.col("energy") > 0.01).alias("is_on")))),
+    "meanshift_cluster_purity": _t(H, P)(lambda h, p: energy.cluster_purity(energy.with_labels(h, _meanshift_xyz(h)), ancestry.ultimate(p))),
+    "meanshift_completeness": _t(H)(lambda h: energy.particle_completeness(energy.with_labels(h, _meanshift_xyz(h)))),
+    "meanshift_purity_totals": _t(H, P)(lambda h, p: energy.cluster_purity(energy.with_labels(h, _meanshift_xyz(h)), ancestry.ultimate(p)).groupBy("event_id", "ultimate_ancestor_id").agg(F.max("total_energy_deps").alias("total_energy_deps"), F.round(F.sum("purity"), 6).alias("all_purity"))),
+    "event_split_coverage": _t(H, T)(lambda h, t: points.split_events(_cloud(h, t), 0.4, decorate=lambda parts: parts.groupBy("event_id").agg(F.sum("n_calo").alias("n_calo"), F.sum("n_tracks").alias("n_tracks")))),
+    "hierarchical_coverage": _t(H, T)(lambda h, t: meanshift.two_level(_cloud(h, t).select("event_id", "block_no", "pos", "is_calo", "eta", "phi", "energy")).groupBy("event_id").agg(F.count_if("is_calo").alias("n_calo"), F.count_if(~F.col("is_calo")).alias("n_tracks"))),
     "meanshift_etaphi": _t(H, T)(_meanshift_angles),
     "hierarchical_meanshift": _t(H, T)(lambda h, t: meanshift.two_level(points.cluster_points(h, t).select("event_id", "block_no", "pos", "is_calo", "eta", "phi", "energy"))),
     "event_split": _t(H, T)(lambda h, t: points.split_events(points.cluster_points(h, t), 0.4)),
@@ -178,7 +221,8 @@ QUERIES = {
 
 _P = """pb as (select distinct on (event_id, block_no) * from particles),
 p as (select * from (select event_id, block_no, unnest(range(len(particle_id)))::int as pos, unnest(particle_id) as particle_id, unnest(parent_id) as parent_id, unnest(pdg_id) as pdg_id, unnest(is_primary) as is_primary,
-  unnest(energy) as energy, unnest(time_ns) as time_ns, unnest(vx) as vx, unnest(vy) as vy, unnest(vz) as vz, unnest(px) as px, unnest(py) as py, unnest(pz) as pz from pb) where particle_id is not null)"""
+  unnest(energy) as energy, unnest(time_ns) as time_ns, unnest(vx) as vx, unnest(vy) as vy, unnest(vz) as vz, unnest(px) as px, unnest(py) as py, unnest(pz) as pz from pb) where particle_id is not null),
+longest as (select max(n) as m from (select count(*) as n from p group by event_id))"""
 _H = """hb as (select distinct on (event_id, block_no) * from calo_hits),
 hp as (select *, unnest(range(coalesce(len(x), 0)))::int as pos from hb),
 h as (select event_id, block_no, pos, detector[pos + 1] as detector, x[pos + 1] as x, y[pos + 1] as y, z[pos + 1] as z, total_energy[pos + 1] as total_energy, contrib_particle_ids[pos + 1] as i, contrib_energies[pos + 1] as e from hp)"""
@@ -197,7 +241,7 @@ _F = f"""{_O}, {_T}, {_TRACKED}, f as (select o.*, tr.particle_id is not null as
 def _walk(name: str, stop: str, dead: str, of: str) -> str:
     """``name(event_id, particle_id, target)``: the first particle on the way up (itself included) for which ``stop`` holds; none beyond ``dead``."""
     return f"""{name}_w as (select event_id, particle_id, particle_id as cur, 0 as d from {of}
-  union all select w.event_id, w.particle_id, f.parent_id, w.d + 1 from {name}_w w join {of} f on f.event_id = w.event_id and f.particle_id = w.cur where not ({stop}) and not ({dead}) and w.d < 100),
+  union all select w.event_id, w.particle_id, f.parent_id, w.d + 1 from {name}_w w join {of} f on f.event_id = w.event_id and f.particle_id = w.cur where not ({stop}) and not ({dead}) and w.d < (select m from longest)),
 {name} as (select w.event_id, w.particle_id, w.cur as target, w.d from {name}_w w join {of} f on f.event_id = w.event_id and f.particle_id = w.cur where {stop})"""
 
 
@@ -329,5 +373,16 @@ select event_id, block_a, pos_a, block_b, pos_b, round(dr, 6) as delta_r from d
     "bin_seed_counts": f"with {_H} select event_id, round_even(x / 100, 0)::bigint as bin_x, round_even(y / 100, 0)::bigint as bin_y, round_even(z / 100, 0)::bigint as bin_z, count(*) as n from h where {_XYZ} group by 1, 2, 3, 4",
     "track_eta": f"with {_T} select event_id, block_no, pos, round({_TRACK_ETA}, 6) as eta, phi from t where phi is not null and theta is not null",
     "hit_eta_phi": f"with {_H} select event_id, block_no, pos, round({_HIT_ETA}, 6) as eta, round(atan2(y, x), 6) as phi from h where {_XYZ}",
+    "members_of_ancestor": f"with recursive {_ULT} select event_id, particle_id, target as ultimate_ancestor_id from u where (event_id, target) = (select (event_id, target) from u order by event_id, target limit 1)",
+    "picked_events": f"with {_P} select event_id, block_no, pos, particle_id from p where event_id in (select distinct event_id from particles where event_id is not null order by event_id limit 3)",
+    "written_and_read": f"with {_T} select event_id, block_no, pos, majority_particle_id, phi::float::double as phi, theta::float::double as theta from t",
+    "catalogue_counts": " union all ".join(f"select '{t}' as table_name, event_id, count(*) as n from {t} where event_id in (select distinct event_id from {t} order by event_id limit 5) group by 2" for t in (P, H, T)),
+    "cardinality_of_events": f"with {_L}, n as (select event_id, cluster_id, count(*) as n_hits from l where cluster_id <> -1 and total_energy > 0.01 group by 1, 2) select *, row_number() over (order by event_id, cluster_id) - 1 as index from n",
+    # What any right clustering must give.
+    "meanshift_not_nearest": "select event_id, block_no, 0 as pos from calo_hits where false",
+    "meanshift_coverage": f"with {_H}, {_T}, a as (select event_id, {_HIT_ETA} as eta from h where {_XYZ} union all select event_id, {_TRACK_ETA} from t where phi is not null and theta is not null) select event_id, count(*) as n, 0::bigint as n_wrong from a where abs(eta) < 'inf'::double group by 1",
+    "meanshift_purity_totals": f"with recursive {_ULT}, {_C}, a as (select c.event_id, u.target, coalesce(sum(floor(energy * 1e6 + 0.5)), 0)::bigint as t from c join u on u.event_id = c.event_id and u.particle_id = c.particle_id group by 1, 2) select event_id, target as ultimate_ancestor_id, t / 1e6 as total_energy_deps, case when t <> 0 then 1.0::double end as all_purity from a",
+    "event_split_coverage": f"with {_H}, {_T}, a as (select event_id, true as is_calo, {_HIT_ETA} as eta from h where {_XYZ} union all select event_id, false, {_TRACK_ETA} from t where phi is not null and theta is not null) select event_id, count(*) filter (is_calo) as n_calo, count(*) filter (not is_calo) as n_tracks from a where abs(eta) < 'inf'::double group by 1",
+    "hierarchical_coverage": f"with {_H}, {_T}, a as (select event_id, true as is_calo, {_HIT_ETA} as eta from h where {_XYZ} union all select event_id, false, {_TRACK_ETA} from t where phi is not null and theta is not null) select event_id, count(*) filter (is_calo) as n_calo, count(*) filter (not is_calo) as n_tracks from a where abs(eta) < 'inf'::double group by 1",
     "union_distinct_flags": f"with {_P}, {_T} select event_id, particle_id from p union select event_id, majority_particle_id from t where majority_particle_id is not null",
 }
