@@ -1,23 +1,30 @@
 """Mean-shift per event, in space or in (eta, phi), on NumPy inside grouped Arrow functions.
 
 All seeds of an event climb at once. Neighbours are looked up through a grid of cells as wide as the radius, so a step compares a seed with the points of the cells around it, in blocks of bounded size.
+
+An event with more points than ``MOST_POINTS`` does not meet in one task: its points are divided into chunks, each step sums up what every chunk has around the seeds that still climb (a table of at most one row per bin), and labels
+are found chunk by chunk. Only centres, at most one per bin, are gathered. Sums are added in another order then, so positions agree to rounding.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nestra.runtime import Workspace
+
 PAIRS = 1 << 21
 # Steps at most, the shift (as a part of the bandwidth) at which a climb ends, and the share of points that counts as neighbours when a bandwidth is estimated.
 MAX_ITER = 300
 STOP = 1e-3
 QUANTILE = 0.3
 TURN = 2 * math.pi
+MOST_POINTS = 1 << 18  # of an event, or of a chunk of one, in a task
 
 
 def wrap(a: np.ndarray) -> np.ndarray:
@@ -141,46 +148,39 @@ def estimate_bandwidth(p: np.ndarray, angular: bool = True, quantile: float = QU
     return total / n
 
 
-def fit(p: np.ndarray, bandwidth: float, angular: bool, seeds: np.ndarray | None = None, weights: np.ndarray | None = None, cluster_all: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(label of each point, centres). NaN counts as 0; centres are in descending order of support; without ``cluster_all`` a point beyond the bandwidth of every centre is labelled -1. Without ``seeds`` climbs start at the centres of bins."""
-    p = np.nan_to_num(np.asarray(p, float), nan=0.0)
-    if not len(p):
-        return np.zeros(0, np.int64), np.zeros((0, p.shape[1]))
-    at = bin_seeds(p, bandwidth) if seeds is None else np.array(seeds, float)
-    w = np.ones(len(p)) if weights is None else weights
-    grid = _Grid(p, bandwidth, angular)
-    count, live = np.zeros(len(at), np.int64), np.arange(len(at))
-    for _ in range(MAX_ITER):
-        if not live.size:
-            break
-        q = at[live]
-        sums, mass, n = np.zeros((len(q), p.shape[1] + 1)), np.zeros(len(q)), np.zeros(len(q), np.int64)
-        for s, i in grid.near(q):
-            x = p[i]
-            terms = [x[:, 0], np.sin(x[:, 1]), np.cos(x[:, 1])] if angular else [*x.T]
-            for c, t in enumerate(terms):
-                sums[:, c] += np.bincount(s, t * w[i], len(q))
-            mass += np.bincount(s, w[i], len(q))
-            n += np.bincount(s, minlength=len(q))
-        has = mass > 0
-        new = q.copy()
+def _around(grid: _Grid, p: np.ndarray, w: np.ndarray, q: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What lies around each q: weighted sums (of an angle's sine and cosine), mass and number of points."""
+    sums, mass, n = np.zeros((len(q), 3)), np.zeros(len(q)), np.zeros(len(q), np.int64)
+    for s, i in grid.near(q):
+        x = p[i]
+        terms = [x[:, 0], np.sin(x[:, 1]), np.cos(x[:, 1])] if angular else [*x.T]
+        for c, t in enumerate(terms):
+            sums[:, c] += np.bincount(s, t * w[i], len(q))
+        mass += np.bincount(s, w[i], len(q))
+        n += np.bincount(s, minlength=len(q))
+    return sums, mass, n
+
+
+def _moved(q: np.ndarray, sums: np.ndarray, mass: np.ndarray, angular: bool) -> np.ndarray:
+    """Where seeds go; one without mass around it stays."""
+    new, has = q.copy(), mass > 0
+    if angular:
         new[has, 0] = sums[has, 0] / mass[has]
-        if angular:
-            new[has, 1] = np.arctan2(sums[has, 1], sums[has, 2])
-        else:
-            new[has] = sums[has, : p.shape[1]] / mass[has, None]
-        count[live] = n
-        at[live] = new
-        live = live[has & (_delta(new, q, angular) >= STOP * bandwidth)]
-    found = count > 0
-    at, count = at[found], count[found]
+        new[has, 1] = np.arctan2(sums[has, 1], sums[has, 2])
+    else:
+        new[has] = sums[has, : q.shape[1]] / mass[has, None]
+    return new
+
+
+def _winners(at: np.ndarray, count: np.ndarray, bandwidth: float, angular: bool) -> np.ndarray:
+    """The centres among ends of climbs, in descending order of support: each silences those behind it within the bandwidth."""
+    at, count = at[count > 0], count[count > 0]
     if not len(at):
         raise ValueError("no point lies within the bandwidth of any seed")
     order = np.lexsort((*[-at[:, k] for k in reversed(range(at.shape[1]))], -count))
-    at, count = at[order], count[order]
-    keep = np.ones(len(at), bool)  # a centre silences those behind it within the bandwidth
-    centre_grid = _Grid(at, bandwidth, angular)
-    pairs = [np.stack(x) for x in centre_grid.near(at)]
+    at = at[order]
+    keep = np.ones(len(at), bool)
+    pairs = [np.stack(x) for x in _Grid(at, bandwidth, angular).near(at)]
     a, b = np.concatenate(pairs, 1)
     behind = b > a
     a, b = a[behind], b[behind]
@@ -190,7 +190,26 @@ def fit(p: np.ndarray, bandwidth: float, angular: bool, seeds: np.ndarray | None
     for i in range(len(at)):
         if keep[i]:
             keep[b[first[i] : first[i + 1]]] = False
-    centres = at[keep]
+    return at[keep]
+
+
+def fit(p: np.ndarray, bandwidth: float, angular: bool, seeds: np.ndarray | None = None, weights: np.ndarray | None = None, cluster_all: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(label of each point, centres). NaN counts as 0; centres are in descending order of support; without ``cluster_all`` a point beyond the bandwidth of every centre is labelled -1. Without ``seeds`` climbs start at the centres of bins."""
+    p = np.nan_to_num(np.asarray(p, float), nan=0.0)
+    if not len(p):
+        return np.zeros(0, np.int64), np.zeros((0, p.shape[1]))
+    at = bin_seeds(p, bandwidth) if seeds is None else np.array(seeds, float)
+    w = np.ones(len(p)) if weights is None else weights
+    grid = _Grid(p, bandwidth, angular)
+    count, live = np.zeros(len(at), np.int64), np.arange(len(at))
+    for _ in range(MAX_ITER):
+        if not live.size:
+            break
+        q = at[live]
+        sums, mass, count[live] = _around(grid, p, w, q, angular)
+        at[live] = new = _moved(q, sums, mass, angular)
+        live = live[(mass > 0) & (_delta(new, q, angular) >= STOP * bandwidth)]
+    centres = _winners(at, count, bandwidth, angular)
     label, best = _nearest(p, centres, angular)
     if not cluster_all:
         label[best > bandwidth] = -1
@@ -201,25 +220,122 @@ def _column(t: pa.Table, c: str) -> np.ndarray:
     return t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool = False, weight: str | None = None, cluster_all: bool = True) -> DataFrame:
+def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool = False, weight: str | None = None, cluster_all: bool = True, most_points: int = MOST_POINTS) -> DataFrame:
     """Labels of the points of each event: the input's columns, then ``cluster_id`` and the centre's coordinates as ``c_<name>``.
 
     An event with one point has one cluster; a negative bandwidth puts all points of an event into cluster 0. Climbs start at the centres of bins, with ``angular`` at angular_seeds. Points with a null coordinate should be filtered before.
     """
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields) + ", cluster_id int, " + ", ".join(f"c_{c} double" for c in coordinates)
 
-    def one(t: pa.Table) -> pa.Table:
-        p = np.stack([_column(t, c) for c in coordinates], 1).astype(float)
-        if bandwidth < 0:
-            label, centres = np.zeros(len(p), np.int64), p.mean(0, keepdims=True)
-        else:
-            label, centres = fit(p, bandwidth, angular, seeds=angular_seeds(p, bandwidth) if angular else None, weights=_column(t, weight) if weight else None, cluster_all=cluster_all)
+    def labelled(t: pa.Table, label: np.ndarray, centres: np.ndarray) -> pa.Table:
         t = t.append_column("cluster_id", pa.array(label.astype(np.int32)))
         for k, c in enumerate(coordinates):
             t = t.append_column(f"c_{c}", pa.array(np.where(label >= 0, centres[label, k], np.nan)))
         return t
 
-    return points.groupBy("event_id").applyInArrow(lambda t: one(t), out)
+    def one(t: pa.Table) -> pa.Table:
+        p = np.stack([_column(t, c) for c in coordinates], 1).astype(float)
+        if bandwidth < 0:
+            return labelled(t, np.zeros(len(p), np.int64), p.mean(0, keepdims=True))
+        return labelled(t, *fit(p, bandwidth, angular, seeds=angular_seeds(p, bandwidth) if angular else None, weights=_column(t, weight) if weight else None, cluster_all=cluster_all))
+
+    ws = Workspace(points.sparkSession)
+    sizes = ws.write(points.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most_points))  # at most (all points) / most_points rows
+    if sizes.isEmpty():
+        return points.groupBy("event_id").applyInArrow(lambda t: one(t), out)
+    small = points.join(sizes, "event_id", "left_anti").groupBy("event_id").applyInArrow(lambda t: one(t), out)
+    chunks = sizes.select("event_id", F.ceil(F.col("_n") / most_points).cast("int").alias("_chunks"))
+    # Chunks by position, so that equal points, which sums do not tell apart, are all that a hash may leave together.
+    divided = points.join(chunks, "event_id").withColumn("_chunk", F.pmod(F.xxhash64(*[c for c in points.columns if c != "event_id"]), "_chunks").cast("int")).drop("_chunks")
+    if bandwidth < 0:
+        means = divided.groupBy("event_id").agg(*[F.avg(c).alias(f"c_{c}") for c in coordinates])
+        return small.unionByName(divided.drop("_chunk").withColumn("cluster_id", F.lit(0)).join(means, "event_id").select(*small.columns))
+    centres = _large_centres(divided, chunks, coordinates, bandwidth, angular, weight, ws)
+
+    def chunk(t: pa.Table, c: pa.Table) -> pa.Table:
+        order = np.argsort(_column(c, "place"))
+        at = np.stack([_column(c, f"c_{x}") for x in coordinates], 1)[order]
+        p = np.nan_to_num(np.stack([_column(t, x) for x in coordinates], 1).astype(float), nan=0.0)
+        label, best = _nearest(p, at, angular) if len(p) else (np.zeros(0, np.int64), np.zeros(0))
+        if not cluster_all:
+            label[best > bandwidth] = -1
+        return labelled(t.drop_columns(["_chunk"]), label, at)
+
+    each = centres.join(chunks, "event_id").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
+    return small.unionByName(divided.groupBy("event_id", "_chunk").cogroup(each.groupBy("event_id", "_chunk")).applyInArrow(lambda t, c: chunk(t, c), out))
+
+
+def _large_centres(divided: DataFrame, chunks: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool, weight: str | None, ws: Workspace) -> DataFrame:
+    """``event_id, place`` and ``c_<name>``: the centres of events whose points lie in chunks."""
+    names = [f"c_{c}" for c in coordinates]
+    key = ["event_id", "_chunk"]
+    num = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in coordinates]
+    slim = ws.write(divided.select(*key, *num, (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("_w")))
+    bins = slim.select("event_id", *[F.rint(F.col(c) / bandwidth).alias(c) for c in coordinates]).distinct()
+    full = slim.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).join(bins.groupBy("event_id").agg(F.count(F.lit(1)).alias("b")), "event_id")
+    alone = full.where("n = b").select("event_id")  # each point is alone in its bin
+    start = bins.join(alone, "event_id", "left_anti").select("event_id", *[(F.col(c) * bandwidth).alias(f"c_{c}") for c in coordinates]).unionByName(slim.join(alone, "event_id", "left_semi").select("event_id", *[F.col(c).alias(f"c_{c}") for c in coordinates]))
+    seeds = ws.write(start.withColumn("seed", F.xxhash64(*names)))
+    spread = lambda df: df.join(chunks, "event_id").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks").groupBy(*key)
+    fields = ["event_id", "seed", "s0", "s1", "s2", "mass", "n"]
+    ddl = "event_id bigint, seed bigint, s0 double, s1 double, s2 double, mass double, n bigint"
+
+    def table(t: pa.Table, q: pa.Table, sums: np.ndarray, mass: np.ndarray, n: np.ndarray) -> pa.Table:
+        there = np.flatnonzero(n)
+        cols = [q.column("event_id").take(pa.array(there)), q.column("seed").take(pa.array(there)), *(pa.array(sums[there, k]) for k in range(3)), pa.array(mass[there]), pa.array(n[there])]
+        return pa.Table.from_arrays(cols, fields)
+
+    def read(t: pa.Table, q: pa.Table):
+        return np.stack([_column(t, c) for c in coordinates], 1), np.stack([_column(q, c) for c in names], 1)
+
+    def nearest(t: pa.Table, q: pa.Table) -> pa.Table:
+        p, at = read(t, q)
+        sums, n = np.zeros((len(at), 3)), np.zeros(len(at), np.int64)
+        if len(p) and len(at):
+            label, _ = _nearest(p, at, True)
+            n = np.bincount(label, minlength=len(at))
+            for k in range(p.shape[1]):
+                sums[:, k] = np.bincount(label, p[:, k], len(at))
+        return table(t, q, sums, n.astype(float), n)
+
+    def climb(t: pa.Table, q: pa.Table) -> pa.Table:
+        p, at = read(t, q)
+        if not len(p) or not len(at):
+            return table(t, q, np.zeros((len(at), 3)), np.zeros(len(at)), np.zeros(len(at), np.int64))
+        return table(t, q, *_around(_Grid(p, bandwidth, angular), p, _column(t, "_w"), at, angular))
+
+    def step(seeds: DataFrame, kernel) -> DataFrame:
+        parts = slim.groupBy(*key).cogroup(spread(seeds)).applyInArrow(lambda t, q: kernel(t, q), ddl)
+        return seeds.select("event_id", "seed", *names).join(parts.groupBy("event_id", "seed").agg(*[F.sum(c).alias(c) for c in fields[2:]]), ["event_id", "seed"], "left")
+
+    has = F.coalesce(F.col("mass") > 0, F.lit(False))
+    if angular:  # the seeds that are not points move to the plain mean of their nearest points
+        several = step(seeds.join(alone, "event_id", "left_anti"), nearest)
+        mean = [F.when(has, F.col(f"s{k}") / F.col("mass")).otherwise(F.col(c)).alias(c) for k, c in enumerate(names)]
+        seeds = ws.write(several.select("event_id", "seed", *mean).unionByName(seeds.join(alone, "event_id", "left_semi").select("event_id", "seed", *names)))
+    ends, live = [], seeds
+    for k in range(MAX_ITER):
+        if angular:
+            new = [F.col("s0") / F.col("mass"), F.atan2("s1", "s2")]
+            d = F.abs(new[1] - F.col(names[1]))
+            far = F.sqrt((new[0] - F.col(names[0])) ** 2 + F.least(F.pmod(d, F.lit(TURN)), TURN - F.pmod(d, F.lit(TURN))) ** 2)
+        else:
+            new = [F.col(f"s{k}") / F.col("mass") for k in range(len(names))]
+            far = F.sqrt(sum(((v - F.col(c)) ** 2 for v, c in zip(new, names, strict=True)), F.lit(0.0)))
+        goes = has & (far >= STOP * bandwidth) if k < MAX_ITER - 1 else F.lit(False)
+        moved = step(live, climb).select("event_id", "seed", *[F.when(has, v).otherwise(F.col(c)).alias(c) for v, c in zip(new, names, strict=True)], F.coalesce("n", F.lit(0)).alias("n"), F.coalesce(goes, F.lit(False)).alias("goes"))
+        moved, n_live = ws.count(moved, "goes")
+        ends.append(moved.where("not goes").select("event_id", *names, "n"))
+        live = moved.where("goes").select("event_id", "seed", *names)
+        if not n_live:
+            break
+    ddl = "event_id bigint, place int, " + ", ".join(f"{c} double" for c in names)
+
+    def choose(t: pa.Table) -> pa.Table:
+        at = _winners(np.stack([_column(t, c) for c in names], 1), _column(t, "n"), bandwidth, angular)
+        return pa.Table.from_arrays([pa.array(np.full(len(at), t.column("event_id")[0].as_py())), pa.array(np.arange(len(at), dtype=np.int32)), *(pa.array(at[:, k]) for k in range(len(names)))], ["event_id", "place", *names])
+
+    return ws.write(reduce(DataFrame.unionByName, ends).groupBy("event_id").applyInArrow(lambda t: choose(t), ddl))
 
 
 def not_nearest(labelled: DataFrame, coordinates: tuple[str, ...]) -> DataFrame:

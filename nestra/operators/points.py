@@ -103,9 +103,12 @@ def cardinality_of_events(labelled: DataFrame, mask: DataFrame | None = None, ke
     """
     if mask is not None:
         at = ["event_id", "block_no", "pos"]
-        both = labelled.select(*at, "cluster_id", F.lit(True).alias("_l")).join(mask.select(*at, "is_on", F.lit(True).alias("_m")), at, "full")
-        fits = F.assert_true(F.col("_l").isNotNull() & F.col("_m").isNotNull(), F.lit("the mask and the labels are not of the same points"))
-        labelled = both.where(fits.isNull()).where("is_on")
+        # Both sides meet by aggregating them together: a later filter cannot take a point out before it has been checked.
+        sides = labelled.select(*at, "cluster_id", F.lit(None).cast("boolean").alias("is_on"), F.lit(1).alias("_l"), F.lit(0).alias("_m"))
+        sides = sides.unionByName(mask.select(*at, F.lit(None).cast("int").alias("cluster_id"), "is_on", F.lit(0).alias("_l"), F.lit(1).alias("_m")))
+        both = sides.groupBy(*at).agg(F.max("cluster_id").alias("cluster_id"), F.max("is_on").alias("is_on"), F.sum("_l").alias("_l"), F.sum("_m").alias("_m"))
+        fits = F.assert_true((F.col("_l") == 1) & (F.col("_m") == 1), F.lit("the mask and the labels are not of the same points"))
+        labelled = both.where(fits.isNull() & F.col("is_on")).drop("_l", "_m")
     return with_global_index(cardinality(labelled, keep_noise))
 
 

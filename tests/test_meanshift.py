@@ -107,3 +107,34 @@ def test_two_levels_of_hits_and_tracks(make, spark):
     assert {r.event_id: r.n_points for r in reference.QUERIES["bandwidth_estimate"](spark, d).collect()} == n
     two = reference.QUERIES["hierarchical_meanshift"](spark, d).groupBy("event_id").count().collect()
     assert {r["event_id"]: r["count"] for r in two} == n
+
+
+@pytest.mark.parametrize(("angular", "weight", "bandwidth"), [(True, None, 0.5), (True, "w", 0.5), (False, None, 0.7), (False, "w", -1.0)])
+def test_large_events_in_chunks(spark, angular, weight, bandwidth):
+    r = np.random.default_rng(8)
+    p = np.c_[r.normal(0, 1, 120), r.uniform(-math.pi, math.pi, 120)]
+    rows = [(e, k, float(a), float(b), float(w)) for e in (1, 2) for k, ((a, b), w) in enumerate(zip(p[: 120 if e == 1 else 15], r.uniform(0.1, 2, 120)))]
+    df = spark.createDataFrame(rows, "event_id bigint, pos int, eta double, phi double, w double")
+    run = lambda **kw: {(x.event_id, x.pos): (x.cluster_id, round(x.c_eta, 6), round(x.c_phi, 6)) for x in M.mean_shift(df, ("eta", "phi"), bandwidth, angular=angular, weight=weight, cluster_all=weight is not None, **kw).collect()}
+    whole, divided = run(), run(most_points=40)
+    assert len(whole) == 135 and str(whole) == str({k: divided[k] for k in whole})
+
+
+def test_reports_over_any_labels(make, spark, rows):
+    h = make.hits({"event_id": 1, "x": [0.0, 1.0, 500.0], "y": [0.0] * 3, "z": [0.0] * 3, "total_energy": [1.0, 2.0, 3.0], "contrib_particle_ids": [[1], [1, 2], [1]], "contrib_energies": [[1.0], [1.0, 1.0], [2.0]]}, {"event_id": 2, "x": [0.0], "y": [0.0], "z": [0.0]})
+    labels = M.mean_shift(points.hit_points(h).select("event_id", "block_no", "pos", "x", "y", "z"), ("x", "y", "z"), 100.0)
+    assert M.not_nearest(labels, ("x", "y", "z")).count() == 0
+    from pyspark.sql import functions as F
+
+    assert M.not_nearest(labels.withColumn("c_x", F.when(F.col("pos") == 2, 0.0).otherwise(F.col("c_x") + F.col("pos"))), ("x", "y", "z")).count() > 0
+    on = labels.select("event_id", "block_no", "pos", (F.col("pos") != 1).alias("is_on"))
+    assert rows(points.cardinality_of_events(labels)) == [(1, 0, 2, 0), (1, 1, 1, 1), (2, 0, 1, 2)]
+    assert rows(points.cardinality_of_events(labels, on)) == [(1, 0, 1, 0), (1, 1, 1, 1), (2, 0, 1, 2)]
+    noisy = labels.withColumn("cluster_id", F.lit(-1))
+    assert rows(points.cardinality_of_events(noisy)) == [] and rows(points.cardinality_of_events(noisy, keep_noise=True)) == [(1, -1, 3, 0), (2, -1, 1, 1)]
+    with pytest.raises(Exception, match="not of the same points"):
+        points.cardinality_of_events(labels, on.where("pos < 2")).collect()
+    from nestra.operators import energy
+
+    got = rows(energy.particle_completeness(energy.with_labels(h, labels.where("event_id = 1"))))
+    assert got == [(1, 1, 0.5, False), (1, 2, 1.0, True)]
