@@ -1,78 +1,80 @@
 """Ancestry maps over the per-event forest of parent links.
 
-The three closures (ultimate, nearest with a track, first outside) are one operator with different seeds: follow ``next`` until a fixed point. Events are hashed into buckets of bounded size and solved there
-by pointer doubling on arrays, one shuffle in all; events above ``MOST_NODES`` particles are doubled by DataFrame joins, one per round. Chains that never end give null in both.
+The three closures (ultimate, nearest with a track, first outside) are one operator with different seeds: follow ``next`` until a fixed point. Whole events are hashed into buckets of bounded size, their blocks as they are, and
+solved there by pointer doubling on arrays: one shuffle in all. Events above ``MOST_NODES`` particles are flattened and doubled by DataFrame joins, one per round. Chains that never end give null in both.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestra.arrow import numpy
 from nestra.functions.kinematics import inside_calo
 from nestra.operators import hierarchy
 from nestra.operators.masks import KEY, orphans, tracked
 from nestra.operators.nested import contributions_flat, particles_flat
-from nestra.runtime import Workspace, pieces
+from nestra.runtime import Workspace
 
 MOST_NODES = 1 << 20
 BUCKET_BYTES = 4 << 20
 
 
-def _double(t: pa.Table) -> pa.Table:
-    e, i = (t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in KEY)
-    nxt = t.column("next").combine_chunks()
-    has, nxt = nxt.is_valid().to_numpy(zero_copy_only=False), nxt.fill_null(0).to_numpy(zero_copy_only=False)
-    order = np.lexsort((i, e))
-    e, i, has, nxt = e[order], i[order], has[order], nxt[order]
-    keep = np.r_[True, (e[1:] != e[:-1]) | (i[1:] != i[:-1])][: len(e)]
-    e, i, has, nxt = e[keep], i[keep], has[keep], nxt[keep]
-    n = len(e)
-    lo, hi = np.searchsorted(e, e, "left"), np.searchsorted(e, e, "right")
-    end = hi.copy()
-    while (k := np.flatnonzero(lo < hi)).size:
-        mid = (lo[k] + hi[k]) // 2
-        low = i[mid] < nxt[k]
-        lo[k], hi[k] = np.where(low, mid + 1, lo[k]), np.where(low, hi[k], mid)
-    ok = has & (lo < end)
-    ok[ok] = i[lo[ok]] == nxt[ok]
-    to = np.r_[np.where(ok, lo, n), n]  # n: nothing
+_ENDS = "event_id bigint, particle_id bigint, target bigint, target_mark boolean"
+
+
+def _ends(to_marked: bool, t: pa.Table, marked: pa.Table | None = None) -> pa.Table:
+    """Blocks of whole events -> where the way up from each particle ends: at the first marked one, itself included, or at the top. Marks come with the blocks or as (event_id, id)."""
+    if not t.num_rows:
+        return pa.Table.from_arrays([pa.array([], pa.int64())] * 3 + [pa.array([], pa.bool_())], ["event_id", "particle_id", "target", "target_mark"])
+    f = hierarchy._forest(t, peel=False)
+    n, mark = f.n, f.mark
+    if marked is not None:
+        at = f.find(numpy(marked.column("event_id")), numpy(marked.column("id")))
+        mark = np.zeros(n, np.int8)
+        mark[at[at >= 0]] = 1
+    self_ = np.arange(n)
+    up = np.where(f.parent >= 0, f.parent, n)
+    stop = mark == 1 if to_marked else f.parent < 0
+    to = np.r_[np.where(stop, self_, up), n]  # n: nothing
     fixed = to == np.arange(n + 1)
     for _ in range(max(1, int(n).bit_length() + 1)):
         to = to[to]
     to = to[:n]
     there = fixed[to] & (to < n)
-    target = pa.array(np.where(there, i[np.minimum(to, n - 1)] if n else 0, 0), mask=~there)
-    return pa.Table.from_arrays([pa.array(e), pa.array(i), target], [*KEY, "target"])
+    safe = np.where(there, to, 0)
+    target_mark = pa.array(mark[safe] == 1, mask=~there | (mark[safe] < 0))
+    return pa.Table.from_arrays([pa.array(f.event), pa.array(f.ident), pa.array(f.ident[safe], mask=~there), target_mark], ["event_id", "particle_id", "target", "target_mark"])
 
 
-def closure(pointers: DataFrame, n_buckets: int, most_nodes: int = MOST_NODES) -> DataFrame:
-    """``event_id, particle_id, target`` from ``event_id, particle_id, next``: next = itself is a fixed point, null a dead end; target is null where no fixed point is reached (dead ends and cycles)."""
+def closure(pointers: DataFrame) -> DataFrame:
+    """``event_id, particle_id, target`` from ``event_id, particle_id, next``, by joins: next = itself is a fixed point, null a dead end; target is null where no fixed point is reached (dead ends and cycles)."""
     ws = Workspace(pointers.sparkSession)
-    nodes = ws.write(pointers.select(*KEY, "next"))
-    large = ws.write(nodes.groupBy("event_id").count().where(F.col("count") > most_nodes).select("event_id"))
-    any_large = not large.isEmpty()
-    small = nodes.join(large, "event_id", "left_anti") if any_large else nodes
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(n_buckets)).cast("int").alias("bucket")
-    out = small.select(bucket, *KEY, "next").repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _double(t), "event_id bigint, particle_id bigint, target bigint")
-    if not any_large:
-        return out
-    now = ws.write(nodes.join(large, "event_id", "left_semi").groupBy(*KEY).agg(F.min("next").alias("next")))
+    now = ws.write(pointers.groupBy(*KEY).agg(F.min("next").alias("next")))
     fixed = now.where("next = particle_id").select(*KEY, F.lit(True).alias("_fixed"))
     longest = now.groupBy("event_id").count().agg(F.max("count")).first()[0] or 1
     for _ in range(int(longest).bit_length() + 1):
         ahead = now.select("event_id", F.col("particle_id").alias("next"), F.col("next").alias("_next2"))
-        old, now = now, ws.write(now.join(ahead, ["event_id", "next"], "left").select(*KEY, F.col("_next2").alias("next")))
-        if old.join(now.withColumnRenamed("next", "_n"), KEY).where("not (next <=> _n)").isEmpty():
+        moved = now.join(ahead, ["event_id", "next"], "left").select(*KEY, F.col("_next2").alias("next"), (~F.col("next").eqNullSafe(F.col("_next2"))).alias("_moved"))
+        now, n = ws.count(moved, "_moved")
+        if not n:
             break
     ends = now.join(fixed.select("event_id", F.col("particle_id").alias("next"), "_fixed"), ["event_id", "next"], "left")
-    return out.unionByName(ends.select(*KEY, F.when(F.col("_fixed"), F.col("next")).alias("target")))
+    return ends.select(*KEY, F.when(F.col("_fixed"), F.col("next")).alias("target"))
+
 
+def _events(particles: DataFrame, mark: Column, most_nodes: int = MOST_NODES) -> tuple[hierarchy._Events, DataFrame | None]:
+    """Events in buckets, and the particles of those that are too large for a task."""
+    e = hierarchy._Events(particles, BUCKET_BYTES, most_nodes, mark)
+    return e, particles.join(e.oversize, "event_id", "left_semi") if e.any_large else None
 
-def _buckets(particles: DataFrame) -> int:
-    return pieces(particles.select("event_id", "particle_id", "parent_id"), BUCKET_BYTES, 8)
+
+def _flag_list(flag) -> Column:
+    """A list of flags from the vertices of a block's particles."""
+    own = lambda c: F.coalesce(F.col(c), F.array()).alias(c)
+    return F.transform(F.arrays_zip(own("vx"), own("vy"), own("vz")), lambda v: flag(v["vx"], v["vy"], v["vz"]))
 
 
 def _goes_up():
@@ -82,26 +84,41 @@ def _goes_up():
 
 def ultimate(particles: DataFrame, **tuning) -> DataFrame:
     """``event_id, particle_id, ultimate_ancestor_id, ancestor_created_inside_calo``: the orphan at the end of the parents (a particle that is its own parent ends there too); null if they never end."""
-    flat = orphans(particles_flat(particles, ("parent_id", "vx", "vy", "vz")))
+    names = [*KEY, "ultimate_ancestor_id", "ancestor_created_inside_calo"]
+    e, large = _events(particles, _flag_list(lambda x, y, z: inside_calo(x, y, z, "legacy")), **tuning)
+    out = e.small.applyInArrow(lambda t: _ends(False, t), _ENDS).toDF(*names)
+    if large is None:
+        return out
+    flat = orphans(particles_flat(large, ("parent_id", "vx", "vy", "vz")))
     nxt = F.when(F.col("is_parent_missing"), F.col("particle_id")).otherwise(F.col("parent_id")).alias("next")
-    ends = closure(flat.select(*KEY, nxt), _buckets(particles), **tuning).withColumnRenamed("target", "ultimate_ancestor_id")
+    ends = closure(flat.select(*KEY, nxt)).withColumnRenamed("target", "ultimate_ancestor_id")
     of = flat.select("event_id", F.col("particle_id").alias("ultimate_ancestor_id"), inside_calo("vx", "vy", "vz", "legacy").alias("ancestor_created_inside_calo"))
-    return ends.join(of, ["event_id", "ultimate_ancestor_id"], "left").select(*KEY, "ultimate_ancestor_id", "ancestor_created_inside_calo")
+    return out.unionByName(ends.join(of, ["event_id", "ultimate_ancestor_id"], "left").select(*names))
 
 
 def nearest_tracked(particles: DataFrame, tracks: DataFrame, **tuning) -> DataFrame:
     """``event_id, particle_id, ancestor_with_track_id``: the particle itself or its nearest ancestor with a track; particles without one have no row."""
-    flat = tracked(orphans(particles_flat(particles, ("parent_id",))), tracks)
+    names = [*KEY, "ancestor_with_track_id"]
+    e, large = _events(particles, F.array().cast("array<boolean>"), **tuning)
+    ids = tracks.where("event_id is not null").select("event_id", F.explode("majority_particle_id").alias("id")).where("id is not null").distinct()
+    with_tracks = e.in_buckets(e.of_small(ids))
+    out = e.small.cogroup(with_tracks).applyInArrow(lambda a, b: _ends(True, a, b), _ENDS).where("target is not null").select(*KEY, "target").toDF(*names)
+    if large is None:
+        return out
+    flat = tracked(orphans(particles_flat(large, ("parent_id",))), tracks)
     nxt = F.when(F.col("has_track"), F.col("particle_id")).when(_goes_up(), F.col("parent_id")).alias("next")
-    out = closure(flat.select(*KEY, nxt), _buckets(particles), **tuning)
-    return out.where("target is not null").withColumnRenamed("target", "ancestor_with_track_id")
+    return out.unionByName(closure(flat.select(*KEY, nxt)).where("target is not null").toDF(*names))
 
 
 def first_outside(particles: DataFrame, calo_hits: DataFrame, **tuning) -> DataFrame:
     """``event_id, particle_id, ancestor_outside_calo_id`` of the particles that contributed to hits: the first ancestor (itself included) created outside; null if the way up ends inside."""
-    flat = orphans(particles_flat(particles, ("parent_id", "vx", "vy", "vz"))).withColumn("inside", inside_calo("vx", "vy", "vz"))
-    nxt = F.when(~F.col("inside"), F.col("particle_id")).when(_goes_up(), F.col("parent_id")).alias("next")
-    out = closure(flat.select(*KEY, nxt), _buckets(particles), **tuning).withColumnRenamed("target", "ancestor_outside_calo_id")
+    names = [*KEY, "ancestor_outside_calo_id"]
+    e, large = _events(particles, _flag_list(lambda x, y, z: ~inside_calo(x, y, z)), **tuning)
+    out = e.small.applyInArrow(lambda t: _ends(True, t), _ENDS).select(*KEY, "target").toDF(*names)
+    if large is not None:
+        flat = orphans(particles_flat(large, ("parent_id", "vx", "vy", "vz"))).withColumn("inside", inside_calo("vx", "vy", "vz"))
+        nxt = F.when(~F.col("inside"), F.col("particle_id")).when(_goes_up(), F.col("parent_id")).alias("next")
+        out = out.unionByName(closure(flat.select(*KEY, nxt)).toDF(*names))
     return out.join(contributions_flat(calo_hits, ()).select(*KEY).distinct(), KEY, "left_semi")
 
 

@@ -15,7 +15,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nestra.runtime import Workspace, pieces
@@ -32,10 +32,11 @@ SLIM = "event_id bigint, particle_id bigint, parent_id bigint, root_id bigint, d
 class Forest:
     """Nodes of any number of events, peeled. Arrays are in the order of (event, id); ``parent`` is an index or -1."""
 
-    def __init__(self, event: np.ndarray, ident: np.ndarray, parent_id: np.ndarray, has_parent: np.ndarray):
+    def __init__(self, event: np.ndarray, ident: np.ndarray, parent_id: np.ndarray, has_parent: np.ndarray, mark: np.ndarray | None = None, peel: bool = True):
         order = np.lexsort((ident, event))
         event, ident, parent_id, has_parent = event[order], ident[order], parent_id[order], has_parent[order]
         keep = np.r_[True, (event[1:] != event[:-1]) | (ident[1:] != ident[:-1])][: len(event)]
+        self.mark = None if mark is None else mark[order][keep]
         self.event, self.ident = event[keep], ident[keep]
         parent_id, has_parent = parent_id[keep], has_parent[keep]
         n = self.n = len(self.event)
@@ -48,8 +49,21 @@ class Forest:
         ok = has_parent & (parent_id != 0) & (parent_id != self.ident) & (lo < end)
         ok[ok] = self.ident[lo[ok]] == parent_id[ok]
         self.parent = np.where(ok, lo, -1)
-        self._peel()
-        self._descend()
+        if peel:
+            self._peel()
+            self._descend()
+
+    def find(self, event: np.ndarray, ident: np.ndarray) -> np.ndarray:
+        """The index of each (event, id), -1 if it is no node."""
+        lo, hi = np.searchsorted(self.event, event, "left"), np.searchsorted(self.event, event, "right")
+        end = hi.copy()
+        while (k := np.flatnonzero(lo < hi)).size:
+            mid = (lo[k] + hi[k]) // 2
+            low = self.ident[mid] < ident[k]
+            lo[k], hi[k] = np.where(low, mid + 1, lo[k]), np.where(low, hi[k], mid)
+        there = lo < end
+        there[there] = self.ident[lo[there]] == ident[there]
+        return np.where(there, lo, -1)
 
     def _peel(self) -> None:
         n, parent = self.n, self.parent
@@ -120,8 +134,8 @@ class Forest:
         return length, flat
 
 
-def _forest(t: pa.Table) -> Forest:
-    """Blocks (copies among them) of whole events -> their forest; of a pair named twice the first by block_no counts."""
+def _forest(t: pa.Table, peel: bool = True) -> Forest:
+    """Blocks (copies among them) of whole events -> their forest; of a pair named twice the first by block_no counts. Marks are 1, 0 and -1 for true, false and null."""
     e, b, a = (t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("event_id", "block_no", "arrival"))
     order = np.lexsort((a, b, e))
     ee, bb = e[order], b[order]
@@ -132,7 +146,8 @@ def _forest(t: pa.Table) -> Forest:
     flat = links.flatten()
     ident, parent = flat.field("id").to_numpy(zero_copy_only=False), flat.field("parent")
     event = np.repeat(t.column("event_id").combine_chunks().to_numpy(zero_copy_only=False), n)
-    return Forest(event, ident, parent.fill_null(0).to_numpy(zero_copy_only=False), parent.is_valid().to_numpy(zero_copy_only=False))
+    mark = flat.field("mark").cast(pa.int8()).fill_null(-1).to_numpy(zero_copy_only=False) if flat.type.get_field_index("mark") >= 0 else None
+    return Forest(event, ident, parent.fill_null(0).to_numpy(zero_copy_only=False), parent.is_valid().to_numpy(zero_copy_only=False), mark, peel)
 
 
 def _slim(f: Forest) -> list[pa.Array]:
@@ -174,9 +189,10 @@ def _peel_full(list_most: int, t: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(out, _NAMES)
 
 
-def _blocks(particles: DataFrame) -> DataFrame:
-    own = F.filter(F.arrays_zip(F.col("particle_id").alias("id"), F.col("parent_id").alias("parent")), lambda p: p["id"].isNotNull())
-    own = F.when(F.col("parent_id").isNull(), F.transform(F.filter("particle_id", lambda i: i.isNotNull()), lambda i: F.struct(i.alias("id"), F.lit(None).cast("bigint").alias("parent")))).otherwise(own)
+def _blocks(particles: DataFrame, mark: Column | None = None) -> DataFrame:
+    """``event_id, block_no, arrival, links``: id and parent of each particle, with a list of flags as their ``mark``."""
+    lists = [F.coalesce("particle_id", F.array()).alias("id"), F.coalesce("parent_id", F.array()).alias("parent"), *([mark.alias("mark")] if mark is not None else [])]
+    own = F.filter(F.arrays_zip(*lists), lambda p: p["id"].isNotNull())
     arrival = F.coalesce(F.unix_micros("ingested_at"), F.lit(2**63 - 1)).alias("arrival")
     rows = particles.where("event_id is not null").select("event_id", F.coalesce("block_no", F.lit(-(2**31))).alias("block_no"), arrival, own.alias("links"))
     return rows.where("size(links) > 0")
@@ -185,8 +201,8 @@ def _blocks(particles: DataFrame) -> DataFrame:
 class _Events:
     """Blocks of particles, whole events in buckets or, beyond ``most_nodes``, apart."""
 
-    def __init__(self, particles: DataFrame, bucket_bytes: int, most_nodes: int):
-        blocks = _blocks(particles)
+    def __init__(self, particles: DataFrame, bucket_bytes: int, most_nodes: int, mark: Column | None = None):
+        blocks = _blocks(particles, mark)
         self.n = pieces(particles.select("event_id", "particle_id", "parent_id"), bucket_bytes, 8)
         # Only one number per oversize event is kept; there are at most (all particles) / most_nodes of them.
         large = blocks.groupBy("event_id").agg(F.sum(F.size("links")).alias("n")).where(F.col("n") > most_nodes).select("event_id")
@@ -324,15 +340,8 @@ def _sums(t: pa.Table, values: pa.Table) -> pa.Table:
     f = _forest(t)
     own = np.zeros(f.n, np.int64)
     e, i, v = (values.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("event_id", "particle_id", "units"))
-    lo, hi = np.searchsorted(f.event, e, "left"), np.searchsorted(f.event, e, "right")
-    end = hi.copy()
-    while (k := np.flatnonzero(lo < hi)).size:
-        mid = (lo[k] + hi[k]) // 2
-        low = f.ident[mid] < i[k]
-        lo[k], hi[k] = np.where(low, mid + 1, lo[k]), np.where(low, hi[k], mid)
-    there = lo < end
-    there[there] = f.ident[lo[there]] == i[there]
-    np.add.at(own, lo[there], v[there])
+    at = f.find(e, i)
+    np.add.at(own, at[at >= 0], v[at >= 0])
     total = own.copy()
     for level in f.rounds:  # leaves first
         up = level[f.parent[level] >= 0]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nestra.functions import kinematics as K
 from nestra.operators.nested import attach, contributions_flat, flatten, particles_flat, tracks_flat
+from nestra.runtime import Workspace
 
 KEY = ["event_id", "particle_id"]
 
@@ -65,7 +66,8 @@ def targets(particles: DataFrame, tracks: DataFrame, calo_hits: DataFrame, cols:
     """Flat particles with all masks and ``is_target_particle``: (enter_calo or has_track) and (no tracked ancestor or has_track)."""
     from nestra.operators.ancestry import nearest_tracked
 
-    flat = particles_flat(particles, ("parent_id", "vx", "vy", "vz", *cols))
+    # Flattened once: the table is read for the particles, for their ids and for the parents of inside ones.
+    flat = Workspace(particles.sparkSession).write(particles_flat(particles, ("parent_id", "vx", "vy", "vz", *cols)))
     flagged = entering(tracked(orphans(flat), tracks), calo_hits)
     up = nearest_tracked(particles, tracks).select(*KEY, F.lit(True).alias("_above"))
     want = (F.col("enter_calo") | F.col("has_track")) & (F.col("_above").isNull() | F.col("has_track"))
