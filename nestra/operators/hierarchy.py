@@ -136,10 +136,10 @@ class Forest:
 
 def _forest(t: pa.Table, peel: bool = True) -> Forest:
     """Blocks (copies among them) of whole events -> their forest; of a pair named twice the first by block_no counts. Marks are 1, 0 and -1 for true, false and null."""
-    e, b, a = (t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("event_id", "block_no", "arrival"))
-    order = np.lexsort((a, b, e))
-    ee, bb = e[order], b[order]
-    order = order[np.r_[True, (ee[1:] != ee[:-1]) | (bb[1:] != bb[:-1])][: len(order)]]
+    e, b, o, a = (t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("event_id", "block_no", "own", "arrival"))
+    order = np.lexsort((a, o, b, e))
+    ee, bb, oo = e[order], b[order], o[order]
+    order = order[np.r_[True, (ee[1:] != ee[:-1]) | (bb[1:] != bb[:-1]) | (oo[1:] != oo[:-1])][: len(order)]]
     t = t.take(pa.array(order))
     links = t.column("links").combine_chunks()
     n = links.value_lengths().to_numpy(zero_copy_only=False)
@@ -190,12 +190,13 @@ def _peel_full(list_most: int, t: pa.Table) -> pa.Table:
 
 
 def _blocks(particles: DataFrame, mark: Column | None = None) -> DataFrame:
-    """``event_id, block_no, arrival, links``: id and parent of each particle, with a list of flags as their ``mark``."""
+    """``event_id, block_no, own, arrival, links``: id and parent of each particle, with a list of flags as their ``mark``; rows without block_no are told apart by ``own``, a hash of their links."""
     lists = [F.coalesce("particle_id", F.array()).alias("id"), F.coalesce("parent_id", F.array()).alias("parent"), *([mark.alias("mark")] if mark is not None else [])]
     own = F.filter(F.arrays_zip(*lists), lambda p: p["id"].isNotNull())
     arrival = F.coalesce(F.unix_micros("ingested_at"), F.lit(2**63 - 1)).alias("arrival")
-    rows = particles.where("event_id is not null").select("event_id", F.coalesce("block_no", F.lit(-(2**31))).alias("block_no"), arrival, own.alias("links"))
-    return rows.where("size(links) > 0")
+    rows = particles.where("event_id is not null").select("event_id", "block_no", arrival, own.alias("links")).where("size(links) > 0")
+    apart = F.when(F.col("block_no").isNull(), F.xxhash64("links")).otherwise(F.lit(0)).alias("own")
+    return rows.select("event_id", F.coalesce("block_no", F.lit(-(2**31))).alias("block_no"), apart, "arrival", "links")
 
 
 class _Events:
@@ -226,7 +227,7 @@ def lineage(particles: DataFrame, descendants: bool = True, paths: bool = True,
     empty, root_id is the smallest id of the cycle they come back to, and on_cycle tells its members. Descendants are those below a node, in the order of id, over all parts; for a
     member of a cycle only what hangs below it outside the cycle. A node with more than ``list_most`` descendants has several rows, numbered by ``part``.
 
-    Copies of a block count once; null particle ids are no particles; a pair (event_id, particle_id) named twice counts as its first; lists of different length are padded with nulls;
+    Copies of a block count once; rows without block_no are blocks of their own, first in order; null particle ids are no particles; a pair (event_id, particle_id) named twice counts as its first; lists of different length are padded with nulls;
     rows without event_id are left out; empty tables give no rows.
     """
     schema, kernel = (LINEAGE, partial(_peel_full, list_most)) if descendants else (PATHS, _peel_paths) if paths else (SLIM, _peel_slim)
@@ -279,8 +280,8 @@ def _contract(nodes: DataFrame, ws: Workspace) -> tuple[list[tuple[DataFrame, Da
 def _lineage_by_rounds(blocks: DataFrame, descendants: bool, paths: bool, list_most: int) -> DataFrame:
     """The same for events that are too large for a task: every round is a few joins over particles spread by (event_id, particle_id)."""
     ws = Workspace(blocks.sparkSession)
-    first = blocks.groupBy("event_id", "block_no").agg(F.min_by("links", "arrival").alias("links"))
-    nodes = first.select("event_id", "block_no", F.posexplode("links").alias("pos", "l")).groupBy("event_id", F.col("l.id").alias("particle_id")).agg(F.min_by("l.parent", F.struct("block_no", "pos")).alias("named"))
+    first = blocks.groupBy("event_id", "block_no", "own").agg(F.min_by("links", "arrival").alias("links"))
+    nodes = first.select("event_id", "block_no", "own", F.posexplode("links").alias("pos", "l")).groupBy("event_id", F.col("l.id").alias("particle_id")).agg(F.min_by("l.parent", F.struct("block_no", "own", "pos")).alias("named"))
     ids = nodes.select("event_id", F.col("particle_id").alias("named"), F.lit(True).alias("there"))
     nodes = nodes.where("true").join(ids, ["event_id", "named"], "left")
     nodes = ws.write(nodes.select("event_id", "particle_id", F.when(F.col("there") & (F.col("named") != 0) & (F.col("named") != F.col("particle_id")), F.col("named")).alias("parent_id")))

@@ -136,15 +136,57 @@ def angular_seeds(p: np.ndarray, size: float) -> np.ndarray:
     return seeds
 
 
+def _kth_brute(q: np.ndarray, p: np.ndarray, k: int, angular: bool) -> float:
+    """The sum, over q, of the distance to the k-th nearest of p."""
+    total, step = 0.0, max(1, PAIRS // max(1, len(p)))
+    for i in range(0, len(q), step):
+        d = _delta(q[i : i + step, None], p[None], angular)
+        total += np.partition(d, k - 1, axis=1)[:, k - 1].sum()
+    return total
+
+
+CELL_POINTS = 64  # in a cell of the grid by which bandwidths are estimated, about
+
+
 def estimate_bandwidth(p: np.ndarray, angular: bool = True, quantile: float = QUANTILE) -> float:
-    """The mean distance to the k-th nearest point (itself included), k = max(1, floor(n * quantile)); 0 without points."""
+    """The mean distance to the k-th nearest point (itself included), k = max(1, floor(n * quantile)); 0 without points.
+
+    Points are put into cells. For all points of a cell the k-th nearest lies between two bounds that the other cells' boxes give; cells wholly nearer are only counted, cells wholly farther are left out, and distances are computed to
+    the points of the ring in between. The result is that of all pairs.
+    """
     n = len(p)
     if not n:
         return 0.0
-    k, total = max(1, int(n * quantile)), 0.0
-    for i in range(0, n, max(1, PAIRS // n)):
-        d = _delta(p[i : i + max(1, PAIRS // n), None], p[None], angular)
-        total += np.partition(d, k - 1, axis=1)[:, k - 1].sum()
+    k = max(1, int(n * quantile))
+    if n < 32 * CELL_POINTS:
+        return _kth_brute(p, p, k, angular) / n
+    lo, hi = p.min(0), p.max(0)
+    side = max(1, int(math.sqrt(n / CELL_POINTS)))
+    width = np.maximum(hi - lo, 1e-12) / side
+    cell = np.minimum(((p - lo) / width).astype(np.int64), side - 1)
+    order = np.argsort(cell[:, 0] * side + cell[:, 1], kind="stable")
+    p, code = p[order], (cell[:, 0] * side + cell[:, 1])[order]
+    start = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    size = np.diff(np.r_[start, n])
+    low, high = np.minimum.reduceat(p, start), np.maximum.reduceat(p, start)
+    mid, half = (low + high) / 2, (high - low) / 2 * (1 + 1e-9) + 1e-12
+    of, total = np.repeat(np.arange(len(start)), size), 0.0
+    for c in range(len(start)):
+        d = np.abs(mid - mid[c])
+        if angular:
+            d[:, 1] = np.abs(wrap(mid[:, 1] - mid[c, 1]))
+        reach = half + half[c]
+        near, far = np.maximum(d - reach, 0), d + reach
+        if angular:
+            far[:, 1] = np.minimum(far[:, 1], math.pi)
+        near, far = np.sqrt((near * near).sum(1)), np.sqrt((far * far).sum(1))
+        by = np.argsort(near)
+        least = near[by[np.searchsorted(np.cumsum(size[by]), k)]]
+        by = np.argsort(far)
+        most = far[by[np.searchsorted(np.cumsum(size[by]), k)]]
+        inside = far < least
+        ring = ~inside & (near <= most)
+        total += _kth_brute(p[start[c] : start[c] + size[c]], p[ring[of]], k - int(size[inside].sum()), angular)
     return total / n
 
 

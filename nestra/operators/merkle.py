@@ -2,7 +2,7 @@
 
 Every object gets an identity from its own canonical values and the identities of its children, bottom-up: contribution -> hit -> block, particle -> block. Equal objects have equal identities and
 are stored once; every occurrence is a bridge row (parent, ordinal, child). A redelivered block is the same object as its first delivery, so copies vanish without a comparison of their
-own. An identity has 128 bits (two independently seeded 64-bit chains over kind, presence and value of each field): among 10^14 objects a collision has a chance of about 10^-11.
+own. An identity has 128 bits (two independently seeded 64-bit chains over kind, presence and value of each field): among 10^14 objects a collision has a chance of about 10^-11. The chains are no cryptographic hash: whoever wants to can make up two objects of one identity, so they do not serve against hostile input.
 Identities form batch by batch from flat Arrow columns, without any shuffle; nested SQL lambdas over the same arrays were measured to be far slower.
 
 A `shape` stands beside each identity in the bridges: what the object lacks. It is a function of the object, so rows that lack something are found before anything is shuffled.

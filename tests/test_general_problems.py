@@ -161,6 +161,12 @@ def test_sums_over_subtrees(make, spark, rows):
     assert rows(hierarchy.subtree_sums(make.particles(), v)) == []
 
 
+def test_particles_of_rows_without_a_block_number(make, rows):
+    p = make.particles(*[{"event_id": 1, "block_no": None, "particle_id": ids, "parent_id": parents} for ids, parents in (([1], [None]), ([2, 3], [1, 2]), ([2, 3], [1, 2]))], {"event_id": 1, "particle_id": [4], "parent_id": [3]})
+    for tuning in ({}, {"most_nodes": 1}):
+        assert rows(hierarchy.found(p, **tuning)) == [(1, 2, 1, 1), (1, 3, 1, 2), (1, 4, 1, 3)]
+
+
 def test_descendants_below_cycles(make, rows):
     p = make.particles(make.forest(1, (1, None, 0), (2, 1, 0), (6, 7, 0), (7, 6, 0), (8, 7, 0), (9, 8, 0)))
     assert rows(hierarchy.descendant_pairs(p, cycles=True)) == [(1, 1, 2), (1, 7, 8), (1, 7, 9), (1, 8, 9)]
