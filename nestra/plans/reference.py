@@ -213,7 +213,7 @@ QUERIES = {
     "meanshift_etaphi": _t(H, T)(_meanshift_angles),
     "hierarchical_meanshift": _t(H, T)(lambda h, t: meanshift.two_level(points.cluster_points(h, t).select("event_id", "block_no", "pos", "is_calo", "eta", "phi", "energy"))),
     "event_split": _t(H, T)(lambda h, t: points.split_events(points.cluster_points(h, t), 0.4)),
-    "bandwidth_estimate": _t(H, T)(lambda h, t: meanshift.bandwidths(points.cluster_points(h, t).select("event_id", "eta", "phi"))),
+    "bandwidth_estimate": _t(H, T)(lambda h, t: meanshift.bandwidths(_cloud(h, t).select("event_id", "eta", "phi")).withColumn("bandwidth", F.round("bandwidth", 6))),
 }
 
 
@@ -382,6 +382,10 @@ select event_id, block_a, pos_a, block_b, pos_b, round(dr, 6) as delta_r from d
     "meanshift_not_nearest": "select event_id, block_no, 0 as pos from calo_hits where false",
     "meanshift_coverage": f"with {_H}, {_T}, a as (select event_id, {_HIT_ETA} as eta from h where {_XYZ} union all select event_id, {_TRACK_ETA} from t where phi is not null and theta is not null) select event_id, count(*) as n, 0::bigint as n_wrong from a where abs(eta) < 'inf'::double group by 1",
     "meanshift_purity_totals": f"with recursive {_ULT}, {_C}, a as (select c.event_id, u.target, coalesce(sum(floor(energy * 1e6 + 0.5)), 0)::bigint as t from c join u on u.event_id = c.event_id and u.particle_id = c.particle_id group by 1, 2) select event_id, target as ultimate_ancestor_id, t / 1e6 as total_energy_deps, case when t <> 0 then 1.0::double end as all_purity from a",
+    "bandwidth_estimate": f"""with {_H}, {_T}, a as (select event_id, {_HIT_ETA} as eta, atan2(y, x) as phi from h where {_XYZ} union all select event_id, {_TRACK_ETA}, phi from t where phi is not null and theta is not null),
+q as (select *, row_number() over () as i, count(*) over (partition by event_id) as n from a where abs(eta) < 'inf'::double),
+d as (select a.event_id, a.i, a.n, list_sort(list(sqrt((a.eta - b.eta) ** 2 + least(abs(a.phi - b.phi), 2 * pi() - abs(a.phi - b.phi)) ** 2))) as ds from q a join q b on b.event_id = a.event_id group by 1, 2, 3)
+select event_id, n as n_points, round(avg(ds[greatest(1, floor(n * 0.3))::int]), 6) as bandwidth from d group by 1, 2""",
     "event_split_coverage": f"with {_H}, {_T}, a as (select event_id, true as is_calo, {_HIT_ETA} as eta from h where {_XYZ} union all select event_id, false, {_TRACK_ETA} from t where phi is not null and theta is not null) select event_id, count(*) filter (is_calo) as n_calo, count(*) filter (not is_calo) as n_tracks from a where abs(eta) < 'inf'::double group by 1",
     "hierarchical_coverage": f"with {_H}, {_T}, a as (select event_id, true as is_calo, {_HIT_ETA} as eta from h where {_XYZ} union all select event_id, false, {_TRACK_ETA} from t where phi is not null and theta is not null) select event_id, count(*) filter (is_calo) as n_calo, count(*) filter (not is_calo) as n_tracks from a where abs(eta) < 'inf'::double group by 1",
     "union_distinct_flags": f"with {_P}, {_T} select event_id, particle_id from p union select event_id, majority_particle_id from t where majority_particle_id is not null",

@@ -138,3 +138,11 @@ def test_reports_over_any_labels(make, spark, rows):
 
     got = rows(energy.particle_completeness(energy.with_labels(h, labels.where("event_id = 1"))))
     assert got == [(1, 1, 0.5, False), (1, 2, 1.0, True)]
+
+
+@pytest.mark.parametrize(("angular", "quantile"), [(True, 0.3), (False, 0.3), (True, 0.0), (True, 1.0)])
+def test_bandwidth_by_rings_is_that_of_all_pairs(angular, quantile):
+    r = np.random.default_rng(4)
+    p = np.r_[np.c_[r.normal(0, 1, 1500), r.uniform(-math.pi, math.pi, 1500)], np.c_[r.normal(2, 0.05, 1500), np.asarray(M.wrap(r.normal(math.pi, 0.05, 1500)))], np.zeros((20, 2))]
+    k = max(1, int(len(p) * quantile))
+    assert M.estimate_bandwidth(p, angular, quantile) == pytest.approx(M._kth_brute(p, p, k, angular) / len(p), rel=1e-12, abs=1e-12)
