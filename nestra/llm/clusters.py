@@ -410,14 +410,14 @@ def _recall_row(near: int, candidates: int, banded: np.ndarray, final: np.ndarra
 def _hit_recall(limit: float, event: np.ndarray, key: np.ndarray, p: np.ndarray, own: np.ndarray) -> pa.Table:
     sets, group = _hit_groups(event, p, limit)
     ask = np.unique(sets.of[own & (((key >> 32) + (key & 0xFFFFFFFF)) % 100 == 0)])
-    near = candidates = 0
+    near = []
     for a, b in sets.around(ask, FINE + 1):
         d = p[sets.first[a]] - p[sets.first[b]]
         close = np.einsum("ij,ij->i", d, d) < limit * limit
-        near += int(close.sum())
-        candidates += int(sets.share_a_bucket(a[close], b[close]).sum())
+        near.append(np.stack([a[close], b[close]]))
+    a, b = np.concatenate(near, 1) if near else np.zeros((2, 0), np.int64)
     order, cell, root = cell_components(event, p, limit)
-    return _recall_row(near, candidates, group[sets.of][order], root[cell])
+    return _recall_row(len(a), int(sets.share_a_bucket(a, b).sum()), group[sets.of][order], root[cell])
 
 
 def _track_recall(limit: float, t: pa.Table) -> pa.Table:

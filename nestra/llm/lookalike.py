@@ -208,6 +208,18 @@ def normalize(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(_normalize, "doc_id bigint, text string, changed boolean, n_mixed int")
 
 
+def unstable(documents: DataFrame) -> DataFrame:
+    """``doc_id`` of the texts whose consistent form has another consistent form or another look than the text; there are none if forms are right."""
+
+    def find(batches):
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            bad = [t is not None and ((form := consistent(t)) != consistent(form) or shape(form) != shape(t)) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").filter(pa.array(bad, pa.bool_()))], ["doc_id"])
+
+    return documents.select("doc_id", "text").mapInArrow(find, "doc_id bigint")
+
+
 def _sign(batches):
     for b in batches:
         ids, cols = [], [[], [], [], []]
@@ -250,13 +262,14 @@ def lookalike_pairs(documents: DataFrame, block: int = 1000) -> DataFrame:
     """``doc_id_a, doc_id_b``: all pairs of documents (smaller id first) whose texts look the same but are not the same code points.
 
     Null and empty texts and null doc_ids are in no pair; copies of one text pair with every lookalike of it but not with each other; repeated rows pair as often as they occur. Texts are compared whole, by 128-bit digests of the
-    consistent form and of the text. Different texts pair first; their documents come in through blocks of about ``block``, so a text that is posted very often is no hot key: every join is by text and block.
+    consistent form and of the text. Different texts pair first; their documents come in through blocks of about ``block``, so a text that is posted very often is no hot key: every join is by text and block. A class of very many different texts is divided by salts.
     """
     ws = Workspace(documents.sparkSession)
     texts, signs = _classes_of(documents, ws)
-    sized = texts.select(*LOOK, *TEXT, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    side = lambda x: sized.select(*LOOK, *[F.col(c).alias(f"{c}{x}") for c in (*TEXT, "blocks")])
-    pairs = side("a").join(side("b"), LOOK).where("text1a < text1b or (text1a = text1b and text2a < text2b)")
+    sized = texts.select(*LOOK, *TEXT, F.ceil(F.col("n") / block).cast("int").alias("blocks"), F.ceil(F.col("n_texts") / block).cast("int").alias("salts"))
+    side = lambda x, salt: sized.select(*LOOK, *[F.col(c).alias(f"{c}{x}") for c in (*TEXT, "blocks")], salt.alias("salt"))
+    left, right = side("a", F.pmod(F.xxhash64(*TEXT), "salts").cast("int")), side("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    pairs = left.join(right, [*LOOK, "salt"]).where("text1a < text1b or (text1a = text1b and text2a < text2b)").drop("salt")
     for x in "ab":
         pairs = pairs.withColumn(f"block{x}", F.explode(F.sequence(F.lit(0), F.col(f"blocks{x}") - 1)))
     members = signs.join(sized.select(*TEXT, "blocks"), TEXT).select(*TEXT, "doc_id", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("block"))

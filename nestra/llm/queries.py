@@ -27,6 +27,7 @@ QUERIES = {
     "p5_track_clusters": lambda s, d: clusters.track_clusters(table(s, d, "tracks")),
     "p5_typical_tracks": lambda s, d: clusters.typical_tracks(table(s, d, "tracks")),
     "p7_ids": lambda s, d: tokenizer.encode(table(s, d, "documents")),
+    "p7_empty": lambda s, d: tokenizer.encode(table(s, d, "documents")).where("size(ids) = 0").select("doc_id"),
     "p8_pack": lambda s, d: packing.pack(table(s, d, "documents")),
     "p8_pack_bounded": lambda s, d: packing.pack(table(s, d, "documents"), **_BOUNDED),
     "p8_violations": lambda s, d: packing.violations(packing.pack(table(s, d, "documents")), table(s, d, "documents")),
@@ -34,6 +35,7 @@ QUERIES = {
     "p8_report_bounded": lambda s, d: packing.pack_report(packing.pack(table(s, d, "documents"), **_BOUNDED)),
     "p8_report": lambda s, d: packing.pack_report(packing.pack(table(s, d, "documents"))),
     "p9_found": lambda s, d: lookalike.lookalike_pairs(table(s, d, "documents")),
+    "p9_unstable": lambda s, d: lookalike.unstable(table(s, d, "documents")),
     "p9_classes": lambda s, d: lookalike.lookalike_classes(table(s, d, "documents")),
     "p9_normalized": lambda s, d: lookalike.normalize(table(s, d, "documents")),
 }
@@ -63,6 +65,8 @@ g as (select r.v as event_id, min(r.src) as first_event_id from r where r.v in (
 select first_event_id, event_id from g where first_event_id <> event_id""",
     "p2_crossing": "select event_id, 2::bigint as n_splits from event_origins where false",
     "p2_shares": "select * from (values ('train', true), ('validation', true), ('test', true)) v(split, is_met)",
+    "p7_empty": "select doc_id from documents where coalesce(text, '') = ''",
+    "p9_unstable": "select doc_id from documents where false",
     "p8_violations": "select 'document' as kind, doc_id as id from documents where false",
     "p8_violations_bounded": "select 'document' as kind, doc_id as id from documents where false",
     "p5_found": f"with recursive {_HITS}, {_TRACKS} select 'hit' as record_kind, h.event_id, f.block_no as first_block_no, f.pos as first_pos, h.block_no, h.pos from g join h on h.i = g.i join h f on f.i = g.first union all select 'track', event_id, first_block_no, first_pos, block_no, pos from ts",

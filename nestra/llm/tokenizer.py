@@ -145,6 +145,9 @@ class Encoder:
             cls._open[name] = cls(SparkFiles.get(name), pattern)
         return cls._open[name]
 
+    def _words_of(self, piece: bytes) -> list[bytes]:
+        return [w.encode() for w in self.words.findall(piece.decode())]
+
     def _number(self, raw: list[bytes]) -> np.ndarray:
         """The entry of each piece among start and size; new ones are looked up, or divided and merged."""
         out = [self.seen.get(piece, -1) for piece in raw]
@@ -155,8 +158,7 @@ class Encoder:
             if rank >= 0:
                 self.pool.extend(ids[id_at[rank] : id_at[rank + 1]].tolist())
             else:
-                for w in self.words.findall(piece.decode()):
-                    w = w.encode()
+                for w in self._words_of(piece):
                     self.pool.extend(self.word(w) if len(w) <= LONGEST_WORD else merge(w, self.lexicon.ranks))
             out[k] = len(self.start)
             self.start.append(begin)

@@ -222,6 +222,10 @@ def test_pairs(spark, rows):
     assert rows(lookalike.lookalike_classes(d)) == [(0, 0, 0, 3, 4), (0, 1, 1, 3, 4), (0, 2, 0, 3, 4), (0, 8, 8, 3, 4), (5, 5, 5, 2, 2), (5, 6, 6, 2, 2)]
 
 
+def test_stable_forms(spark):
+    assert lookalike.unstable(docs(spark, [*TRICKY, "сооp", "мы с вами", "ꓐꓲ", "x²", "e\u0301"])).count() == 0
+
+
 def test_reposts_pair_in_blocks(spark):
     d = docs(spark, ["sаme"] + ["same"] * 5000)
     assert lookalike.lookalike_pairs(d).count() == 5000 and lookalike.lookalike_classes(d).where("n_docs = 5001 and n_texts = 2").count() == 5001
