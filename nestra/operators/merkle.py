@@ -1,8 +1,8 @@
 """Deeply nested blocks to flat tables, by Merkle subtree identities.
 
 Every object gets an identity from its own canonical values and the identities of its children, bottom-up: contribution -> hit -> block, particle -> block. Equal objects have equal identities and
-are stored once; every occurrence is a bridge row (parent, ordinal, child). A redelivered block is the same object as its first delivery, so copies vanish without a comparison of their
-own. An identity has 128 bits (two independently seeded 64-bit chains over kind, presence and value of each field): among 10^14 objects a collision has a chance of about 10^-11. The chains are no cryptographic hash: whoever wants to can make up two objects of one identity, so they do not serve against hostile input.
+are stored once; every occurrence is a bridge row (parent, ordinal, child). A redelivered block is the same object as its first delivery, so copies vanish where bridges are made distinct; the flat tables of all rows leave them out
+before, by their narrow keys, so that an object that stands in very many places is no hot group: objects are picked in every task before they meet, and occurrences only meet them in a join, which Spark divides where it is skewed. An identity has 128 bits (two independently seeded 64-bit chains over kind, presence and value of each field): among 10^14 objects a collision has a chance of about 10^-11. The chains are no cryptographic hash: whoever wants to can make up two objects of one identity, so they do not serve against hostile input.
 Identities form batch by batch from flat Arrow columns, without any shuffle; nested SQL lambdas over the same arrays were measured to be far slower.
 
 A `shape` stands beside each identity in the bridges: what the object lacks. It is a function of the object, so rows that lack something are found before anything is shuffled.
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestra.arrow import array, list_lengths, zip_lists
+from nestra.operators.nested import single_and_repeated
 from nestra.runtime import Workspace
 
 #: Shapes. A contribution: both parts, id only, energy only, neither. A hit: sound, with unpaired contributions, without any. A particle: sound, without px.
@@ -216,31 +217,39 @@ def flat_contributions(calo_hits: DataFrame) -> DataFrame:
     return parts.select("event_id", "block_no", "pos", "child_pos", "p.particle_id", "p.energy")
 
 
-def _occurrences(nested: DataFrame) -> DataFrame:
-    """Bridge block -> hit or particle with the block's own values: ``hi, lo`` of the child, ``event_id, block_no, run_no, pos``; one row per position of a distinct block.
-
-    Copies of a row name the same child, so rows meet by child: dropping copies and joining the objects take one shuffle. A block is told apart by (event_id, block_no), by its identity where one of them is null;
-    block_no and pos travel in one word, as the shuffle is what this costs.
-    """
+def _delivered_once(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Each block once: by (event_id, block_no), of rows that lack one of them each different row."""
+    rows = df.select("event_id", "block_no", "run_no", *cols)
     named = F.col("event_id").isNotNull() & F.col("block_no").isNotNull()
-    rows = nested.select("event_id", "block_no", "run_no", *[F.when(~named, F.col(f"oid.{h}")).alias(f"block_{h}") for h in ("hi", "lo")], F.explode(F.transform("children", lambda c: F.struct(c["oid"].alias("oid"), c["pos"].alias("pos")))).alias("c"))
-    at = F.shiftleft(F.coalesce("block_no", F.lit(0)).cast("bigint"), 32).bitwiseOR(F.col("c.pos").cast("bigint"))
-    rows = rows.select("block_hi", "block_lo", "event_id", F.col("block_no").isNull().alias("no_block"), "run_no", at.alias("at"), F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"))
-    once = rows.repartition("hi", "lo").dropDuplicates()
-    return once.select("event_id", F.when(~F.col("no_block"), F.shiftright("at", 32).cast("int")).alias("block_no"), "run_no", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos"), "hi", "lo")
+    once, one_each = single_and_repeated(rows.where(named), Workspace(df.sparkSession))
+    return once.unionByName(one_each).unionByName(rows.where(~named).dropDuplicates())
 
 
-def linked_blocks(nested: DataFrame) -> DataFrame:
-    """The bridge block -> hit or particle by the block's own values: ``event_id, block_no, run_no, pos, hi, lo``, one row per position of a distinct block; hi and lo are the identity of the object that stands there."""
-    return _occurrences(nested)
+def _occurrences(nested: DataFrame) -> DataFrame:
+    """Bridge block -> hit or particle with the block's own values: ``event_id, block_no, run_no, pos`` and the child's ``hi, lo``, one row per position."""
+    rows = nested.select("event_id", "block_no", "run_no", F.explode(F.transform("children", lambda c: F.struct(c["oid"].alias("oid"), c["pos"].alias("pos")))).alias("c"))
+    return rows.select("event_id", "block_no", "run_no", F.col("c.pos").alias("pos"), F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"))
 
 
-def _rebuilt(nested: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """Every occurrence of a child with the fields of its object, which is stored once. -0.0 comes back as 0.0, which has the same identity."""
+def _objects(nested: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """``hi, lo`` and fields of every distinct child. -0.0 comes back as 0.0, which has the same identity."""
     kinds = {f.name: f.dataType.simpleString() for f in nested.schema["children"].dataType.elementType.fields}
     own = [(F.col(f"c.{f}") + 0.0 if kinds[f] == "double" else F.col(f"c.{f}")).alias(f) for f in fields]
-    objects = nested.select(F.explode("children").alias("c")).select(F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"), *own).dropDuplicates(["hi", "lo"])
-    return _occurrences(nested).join(objects, ["hi", "lo"]).select("event_id", "block_no", "run_no", "pos", *fields)
+    return nested.select(F.explode("children").alias("c")).select(F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"), *own).dropDuplicates(["hi", "lo"])
+
+
+def _hits_once(calo_hits: DataFrame) -> DataFrame:
+    return nested_hits(_delivered_once(calo_hits, [*HIT_FIELDS, "contrib_particle_ids", "contrib_energies"]))
+
+
+def hit_links(calo_hits: DataFrame) -> DataFrame:
+    """The bridge block -> hit by the block's own values: ``event_id, block_no, run_no, pos, hi, lo``, one row per position of a distinct block; hi and lo are the identity of the object that stands there."""
+    return _occurrences(_hits_once(calo_hits))
+
+
+def particle_links(particles: DataFrame) -> DataFrame:
+    """The bridge block -> particle; as hit_links."""
+    return _occurrences(nested_particles(_delivered_once(particles, list(PARTICLE_FIELDS))))
 
 
 def flat_hits(calo_hits: DataFrame) -> DataFrame:
@@ -249,23 +258,26 @@ def flat_hits(calo_hits: DataFrame) -> DataFrame:
     Positions are those of the longest of the block's lists, values beyond the end of a shorter list are null; hits without contributions are there. n_ids and n_energies are the lengths of the contribution lists,
     -1 for a list that is null; (event_id, block_no, pos) links to flat_contributions.
     """
-    return _rebuilt(nested_hits(calo_hits), (*HIT_FIELDS, "n_ids", "n_energies"))
+    nested, fields = _hits_once(calo_hits), (*HIT_FIELDS, "n_ids", "n_energies")
+    return _occurrences(nested).join(_objects(nested, fields), ["hi", "lo"]).select("event_id", "block_no", "run_no", "pos", *fields)
 
 
 def flat_particles(particles: DataFrame) -> DataFrame:
     """Every particle, rebuilt through the bridge from its object: ``event_id, block_no, run_no, pos`` and PARTICLE_FIELDS; as flat_hits. parent_id links to particle_id of the event."""
-    return _rebuilt(nested_particles(particles), PARTICLE_FIELDS)
+    nested = nested_particles(_delivered_once(particles, list(PARTICLE_FIELDS)))
+    return _occurrences(nested).join(_objects(nested, PARTICLE_FIELDS), ["hi", "lo"]).select("event_id", "block_no", "run_no", "pos", *PARTICLE_FIELDS)
 
 
 def linked_contributions(calo_hits: DataFrame) -> DataFrame:
-    """flat_contributions rebuilt through both bridges: block -> hit -> contribution -> the object that each distinct pair is stored as."""
-    nested = nested_hits(calo_hits)
-    parts = nested.select(F.explode("children").alias("c")).select(F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"), F.posexplode("c.parts").alias("child_pos", "p"))
-    # Equal hits have the same parts, so the bridge drops copies by (hit, ordinal), which are already together by hit.
-    bridge = parts.select("hi", "lo", "child_pos", F.col("p.oid.hi").alias("part_hi"), F.col("p.oid.lo").alias("part_lo")).repartition("hi", "lo").dropDuplicates(["hi", "lo", "child_pos"])
-    objects = nested.select(F.explode(F.flatten(F.transform("children", lambda c: c["parts"]))).alias("p")).select(F.col("p.oid.hi").alias("part_hi"), F.col("p.oid.lo").alias("part_lo"), "p.particle_id", (F.col("p.energy") + 0.0).alias("energy")).dropDuplicates(["part_hi", "part_lo"])
-    rows = _occurrences(nested).join(bridge, ["hi", "lo"]).join(objects, ["part_hi", "part_lo"])
-    return rows.select("event_id", "block_no", "pos", "child_pos", "particle_id", "energy")
+    """flat_contributions rebuilt through both bridges: block -> hit -> contribution -> the object that each distinct pair is stored as. A hit object holds its bridge rows as one list."""
+    nested = _hits_once(calo_hits)
+    hits = nested.select(F.explode(F.transform("children", lambda c: F.struct(c["oid"].alias("oid"), F.transform(c["parts"], lambda p: p["oid"]).alias("parts")))).alias("c"))
+    hits = hits.select(F.col("c.oid.hi").alias("hi"), F.col("c.oid.lo").alias("lo"), "c.parts").where("size(parts) > 0").dropDuplicates(["hi", "lo"])
+    parts = nested.select(F.explode(F.flatten(F.transform("children", lambda c: c["parts"]))).alias("p"))
+    objects = parts.select(F.col("p.oid.hi").alias("part_hi"), F.col("p.oid.lo").alias("part_lo"), "p.particle_id", (F.col("p.energy") + 0.0).alias("energy")).dropDuplicates(["part_hi", "part_lo"])
+    rows = _occurrences(nested).join(hits, ["hi", "lo"]).select("event_id", "block_no", "pos", F.posexplode("parts").alias("child_pos", "o"))
+    rows = rows.select("event_id", "block_no", "pos", "child_pos", F.col("o.hi").alias("part_hi"), F.col("o.lo").alias("part_lo"))
+    return rows.join(objects, ["part_hi", "part_lo"]).select("event_id", "block_no", "pos", "child_pos", "particle_id", "energy")
 
 
 def unmatched(calo_hits: DataFrame, particles: DataFrame) -> DataFrame:

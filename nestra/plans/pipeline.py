@@ -31,8 +31,8 @@ QUERIES = {
     "p6_hits": lambda s, d: merkle.flat_hits(table(s, d, "calo_hits")),
     "p6_particles": lambda s, d: merkle.flat_particles(table(s, d, "particles")),
     "p6_linked_contributions": lambda s, d: merkle.linked_contributions(table(s, d, "calo_hits")),
-    "p6_hit_links": lambda s, d: merkle.linked_blocks(merkle.nested_hits(table(s, d, "calo_hits"))),
-    "p6_particle_links": lambda s, d: merkle.linked_blocks(merkle.nested_particles(table(s, d, "particles"))),
+    "p6_hit_links": lambda s, d: merkle.hit_links(table(s, d, "calo_hits")),
+    "p6_particle_links": lambda s, d: merkle.particle_links(table(s, d, "particles")),
     "p6_object_counts": lambda s, d: merkle.object_counts(table(s, d, "calo_hits"), table(s, d, "particles")),
 }
 

@@ -221,6 +221,15 @@ def test_flat_tables_lose_nothing(make, rows):
     assert rows(merkle.flat_hits(make.hits())) == [] and rows(merkle.flat_particles(make.particles())) == []
 
 
+def test_links_name_equal_objects_alike(make, rows):
+    block = {"x": [1.0, 1.0, 2.0], "contrib_particle_ids": [[1], [1], [1]], "contrib_energies": [[0.5], [0.5], [0.5]]}
+    h = make.hits({"event_id": 1} | block, {"event_id": 1, "ingested_at": at(3)} | block, {"event_id": 2} | block, {"event_id": 3, "block_no": None, "x": [1.0]}, {"event_id": 3, "block_no": None, "x": [1.0]}, more=CLASH)
+    got = {(r.event_id, r.pos): (r.hi, r.lo) for r in merkle.hit_links(h).collect()}
+    assert merkle.hit_links(h).count() == 7 and got[1, 0] == got[1, 1] == got[2, 0] != got[1, 2] == got[2, 2] != got[3, 0]
+    p = make.particles({"event_id": 1, "particle_id": [1, 2]}, {"event_id": 1, "particle_id": [1, 2], "ingested_at": at(1)}, more=CLASH)
+    assert [r[:4] for r in rows(merkle.particle_links(p))] == [(1, 0, 1, 0), (1, 0, 1, 1)]
+
+
 def test_null_and_missing_are_other_objects(make):
     one = lambda i, e: {"event_id": 1, "x": [1.0], "contrib_particle_ids": [i], "contrib_energies": [e]}
     h = make.hits(one([1], [0.5]), one([1, None], [0.5, None]), one([1, None], [0.5]), one(None, None), one([], []), one(None, []))
