@@ -2,8 +2,9 @@
 
 All seeds of an event climb at once. Neighbours are looked up through a grid of cells as wide as the radius, so a step compares a seed with the points of the cells around it, in blocks of bounded size.
 
-An event with more points than ``MOST_POINTS`` does not meet in one task: its points are divided into chunks, each step sums up what every chunk has around the seeds that still climb (a table of at most one row per bin), and labels
-are found chunk by chunk. Only centres, at most one per bin, are gathered. Sums are added in another order then, so positions agree to rounding.
+Many small events share a task. The rows of an event with more points than ``MOST_POINTS`` do not meet in one task: its points are divided into chunks whose labels are found chunk by chunk. Its centres come from the bare coordinates
+of its points in one task; with more than ``MOST_GATHERED`` points not even those meet, and each step sums up what every chunk has around the seeds that still climb (a table of at most one row per bin). Only centres, at most one per
+bin, are gathered then. Sums are added in another order, so positions agree to rounding.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from nestra.runtime import Workspace
@@ -25,6 +26,8 @@ STOP = 1e-3
 QUANTILE = 0.3
 TURN = 2 * math.pi
 MOST_POINTS = 1 << 18  # of an event, or of a chunk of one, in a task
+MOST_GATHERED = 1 << 22  # of an event whose bare coordinates meet in a task
+BUCKET_POINTS = 1 << 15  # of small events that share a task, about
 
 
 def wrap(a: np.ndarray) -> np.ndarray:
@@ -39,6 +42,20 @@ def _delta(a: np.ndarray, b: np.ndarray, angular: bool) -> np.ndarray:
     return np.sqrt((d * d).sum(-1))
 
 
+def _unique_rows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique over rows of whole numbers (rows in order, inverse, counts), by one number a row where that has room."""
+    low = a.min(0)
+    span = a.max(0) - low + 1
+    if not np.isfinite(span).all() or np.prod(span.astype(float)) >= 2.0**62 or np.abs(a).max() >= 2.0**52:
+        rows, inverse, n = np.unique(a, axis=0, return_inverse=True, return_counts=True)
+        return rows, inverse.ravel(), n
+    code = np.zeros(len(a), np.int64)
+    for k in range(a.shape[1]):
+        code = code * int(span[k]) + (a[:, k] - low[k]).astype(np.int64)
+    _, first, inverse, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+    return a[first], inverse.ravel(), n
+
+
 class _Grid:
     """Points in cells of the radius; an angle's cells close on themselves."""
 
@@ -47,10 +64,8 @@ class _Grid:
         self.low = p.min(0)
         self.n_phi = max(1, int(TURN // radius)) if angular else 0
         cells = self._cell(p)
-        self.keys, inverse = np.unique(cells, axis=0, return_inverse=True)
-        inverse = inverse.ravel()
+        self.keys, inverse, self.size = _unique_rows(cells)
         self.order = np.argsort(inverse, kind="stable")
-        self.size = np.bincount(inverse, minlength=len(self.keys))
         self.start = np.cumsum(self.size) - self.size
         self.span = self.keys.max(0) + 4
         self.code = self._code(self.keys)
@@ -105,20 +120,74 @@ class _Grid:
                 j = k
 
 
+class _Few:
+    """As _Grid, of so few points that a grid does not pay."""
+
+    MOST = 256
+
+    def __init__(self, p: np.ndarray, radius: float, angular: bool):
+        self.p, self.radius, self.angular = p, radius, angular
+
+    def near(self, q: np.ndarray):
+        step = max(1, PAIRS // len(self.p))
+        for i in range(0, len(q), step):
+            seed, point = np.nonzero(_delta(q[i : i + step, None], self.p[None], self.angular) <= self.radius)
+            yield seed + i, point
+
+
+def _lookup(p: np.ndarray, radius: float, angular: bool) -> _Few | _Grid:
+    return (_Few if len(p) <= _Few.MOST else _Grid)(p, radius, angular)
+
+
+BOX_POINTS = 1024  # points that are held together against the centres that may be nearest to one of them
+
+
+def _boxes(p: np.ndarray):
+    """Indices of the points in boxes of at most BOX_POINTS, halved along the longest side."""
+    left = [np.arange(len(p))]
+    while left:
+        at = left.pop()
+        if len(at) <= BOX_POINTS:
+            yield at
+            continue
+        x = p[at]
+        by = np.argpartition(x[:, (x.max(0) - x.min(0)).argmax()], len(at) // 2)
+        left += [at[by[: len(at) // 2]], at[by[len(at) // 2 :]]]
+
+
 def _nearest(p: np.ndarray, centres: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(nearest centre of each point, its distance), in blocks of bounded size; of equally near centres the first."""
+    """(nearest centre of each point, its distance), in blocks of bounded size; of equally near centres the first.
+
+    Points are put into boxes; a centre farther from a box than another one's farthest corner is nearest to none of its points.
+    """
     label, best = np.zeros(len(p), np.int64), np.full(len(p), np.inf)
-    step = max(1, PAIRS // len(centres))
-    for i in range(0, len(p), step):
-        d = _delta(p[i : i + step, None], centres[None], angular)
-        label[i : i + step] = d.argmin(1)
-        best[i : i + step] = d.min(1)
+    few = len(p) * len(centres) <= 1 << 14
+    for box in [np.arange(len(p))] if few else _boxes(p):
+        near = np.arange(len(centres))
+        if not few:
+            low, high = p[box].min(0), p[box].max(0)
+            half = (high - low) / 2 * (1 + 1e-9) + 1e-12
+            d = np.abs(low + (high - low) / 2 - centres)
+            if angular:
+                d[:, 1] = np.abs(wrap(d[:, 1]))
+            to = d + half
+            if angular:
+                to[:, 1] = np.minimum(to[:, 1], math.pi)
+            far = np.sqrt((to * to).sum(1)).min() * (1 + 1e-9) + 1e-12
+            d = np.maximum(d - half, 0)
+            near = np.flatnonzero(~(np.sqrt((d * d).sum(1)) > far))
+        step = max(1, PAIRS // len(near))
+        for i in range(0, len(box), step):
+            at = box[i : i + step]
+            d = _delta(p[at, None], centres[near][None], angular)
+            k = d.argmin(1)
+            label[at], best[at] = near[k], d[np.arange(len(at)), k]
     return label, best
 
 
 def bin_seeds(p: np.ndarray, size: float, least: int = 1) -> np.ndarray:
     """Centres of the occupied bins (rounded half to even); all points if each is alone in its bin."""
-    bins, n = np.unique(np.rint(p / size), axis=0, return_counts=True)
+    bins, _, n = _unique_rows(np.rint(p / size))
     return p.copy() if len(bins) == len(p) else bins[n >= least] * size
 
 
@@ -190,7 +259,109 @@ def estimate_bandwidth(p: np.ndarray, angular: bool = True, quantile: float = QU
     return total / n
 
 
-def _around(grid: _Grid, p: np.ndarray, w: np.ndarray, q: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class _Strips:
+    """Sums over discs in (eta, phi) without looking at each of their points.
+
+    Points lie in strips of eta, in a strip by phi. Of a strip's cells those that are wholly within a disc are summed by differences of running totals; only points of cells on the rim are held against the radius. Totals are whole
+    numbers (coordinates times a power of two), so discs around the same points have the same sums to the bit, and climbs that meet go on as one.
+    """
+
+    def __init__(self, p: np.ndarray, radius: float):
+        self.p, self.radius = p, radius
+        phi = wrap(p[:, 1])
+        # What lies near the seam is listed on its other side too; a disc is narrower than the circle and meets one of the two.
+        edge = radius * (1 + 1e-6) + 1e-6
+        low, high = np.flatnonzero(phi < edge - math.pi), np.flatnonzero(phi > math.pi - edge)
+        self.at = np.concatenate([np.arange(len(p)), low, high])
+        phi = np.concatenate([phi, phi[low] + TURN, phi[high] - TURN])
+        eta = p[self.at, 0]
+        self.low, self.left = eta.min(), phi.min()
+        span = max(eta.max() - self.low, 1e-9), max(phi.max() - self.left, 1e-9)
+        m = min(128.0, max(4.0, 0.7 * math.sqrt(len(p)) / 4))  # cells along the radius
+        m = min(m, math.sqrt((1 << 22) / max(1.0, (span[0] / radius + 1) * (span[1] / radius + 1))))
+        self.side = max(radius / m, span[0] / (1 << 20), span[1] / (1 << 20))
+        self.n = int(span[0] / self.side) + 1, int(span[1] / self.side) + 1
+        strip = np.minimum(((eta - self.low) / self.side).astype(np.int64), self.n[0] - 1)
+        cell = np.minimum(((phi - self.left) / self.side).astype(np.int64), self.n[1] - 1)
+        code = strip * self.n[1] + cell
+        order = np.argsort(code, kind="stable")
+        self.at, code = self.at[order], code[order]
+        self.start = np.searchsorted(code, np.arange(self.n[0] * self.n[1] + 1))
+        bound = max(1.0, float(np.abs(p[:, 0]).max())) * len(p)
+        self.scale = 2.0 ** (61 - math.ceil(math.log2(bound)))
+        x = p[self.at]
+        terms = (x[:, 0], np.sin(x[:, 1]), np.cos(x[:, 1]))
+        self.totals = np.zeros((len(x) + 1, 3), np.int64)
+        for k, t in enumerate(terms):
+            np.cumsum(np.rint(t * self.scale).astype(np.int64), out=self.totals[1:, k])  # may run over; differences do not
+
+    def sums(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As _around, without weights."""
+        out, n = np.zeros((len(q), 3), np.int64), np.zeros(len(q), np.int64)
+        reach = int(self.radius / self.side) + 2
+        step = max(1, (1 << 19) // (2 * reach + 1))
+        for i in range(0, len(q), step):
+            self._block(q[i : i + step], np.arange(-reach, reach + 1), out[i : i + step], n[i : i + step])
+        return out / self.scale, n.astype(float), n
+
+    def _block(self, q: np.ndarray, around: np.ndarray, out: np.ndarray, n: np.ndarray) -> None:
+        r, side, (rows, cols) = self.radius, self.side, self.n
+        tiny = 1e-9 * side  # rounding of cell borders: such cells count as rim
+        eta, phi = q[:, 0], wrap(q[:, 1])
+        strip = np.floor((np.clip(eta, self.low - 2 * r, self.low + rows * side + 2 * r) - self.low) / side).astype(np.int64)[:, None] + around
+        below = self.low + strip * side - eta[:, None]
+        least = np.maximum(np.maximum(below, -below - side) - tiny, 0)
+        most = np.maximum(np.abs(below), np.abs(below + side)) + tiny
+        seed, k = np.nonzero((strip >= 0) & (strip < rows) & (least <= r))
+        least, most, base, phi = least[seed, k], most[seed, k], strip[seed, k] * cols, phi[seed] - self.left
+        outer = np.sqrt(r * r - least * least) + tiny + 1e-12
+        inner = np.sqrt(np.maximum(r * r - most * most, 0)) - tiny - 1e-12
+        a = np.clip(np.floor((phi - outer) / side - 1e-9), 0, cols).astype(np.int64)
+        d = np.clip(np.floor((phi + outer) / side + 1e-9) + 1, 0, cols).astype(np.int64)
+        d = np.maximum(a, d)
+        b = np.clip(np.ceil((phi - inner) / side + 1e-9).astype(np.int64), a, d)
+        c = np.clip(np.floor((phi + inner) / side - 1e-9).astype(np.int64), b, d)
+        # No point lies outside the cells, and the last one along each side is cut off by the points' own bounds.
+        whole = inner > 0
+        b, c = np.where(whole, b, d), np.where(whole, c, d)
+        a, b, c, d = (self.start[base + v] for v in (a, b, c, d))
+        full = np.flatnonzero(c > b)
+        for t in range(3):
+            x = self.totals[:, t]
+            self._add(out[:, t], seed[full], x[c[full]] - x[b[full]])
+        self._add(n, seed[full], c[full] - b[full])
+        owner, first, size = np.concatenate([seed, seed]), np.concatenate([a, c]), np.concatenate([b - a, d - c])
+        some = np.flatnonzero(size)
+        owner, first, size = owner[some], first[some], size[some]
+        total, j = np.cumsum(size), 0
+        while j < len(size):
+            done = total[j - 1] if j else 0
+            e = max(j + 1, int(np.searchsorted(total, done + PAIRS, "right")))
+            m = size[j:e]
+            s = np.repeat(owner[j:e], m)
+            i = np.arange(int(m.sum())) + np.repeat(first[j:e] - (np.cumsum(m) - m), m)
+            close = np.flatnonzero(_delta(q[s], self.p[self.at[i]], True) <= r)
+            s, i = s[close], i[close]
+            for t in range(3):
+                x = self.totals[:, t]
+                self._add(out[:, t], s, x[i + 1] - x[i])
+            self._add(n, s, np.ones(len(s), np.int64))
+            j = e
+
+    @staticmethod
+    def _add(to: np.ndarray, s: np.ndarray, x: np.ndarray) -> None:
+        """Whole numbers are added where they belong, without going through floats."""
+        if len(s):
+            by = np.argsort(s, kind="stable")
+            s, x = s[by], x[by]
+            first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+            to[s[first]] += np.add.reduceat(x, first)
+
+
+STRIPS_FROM = 4096  # points from which strips pay
+
+
+def _around(grid: _Few | _Grid, p: np.ndarray, w: np.ndarray, q: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What lies around each q: weighted sums (of an angle's sine and cosine), mass and number of points."""
     sums, mass, n = np.zeros((len(q), 3)), np.zeros(len(q)), np.zeros(len(q), np.int64)
     for s, i in grid.near(q):
@@ -222,7 +393,14 @@ def _winners(at: np.ndarray, count: np.ndarray, bandwidth: float, angular: bool)
     order = np.lexsort((*[-at[:, k] for k in reversed(range(at.shape[1]))], -count))
     at = at[order]
     keep = np.ones(len(at), bool)
-    pairs = [np.stack(x) for x in _Grid(at, bandwidth, angular).near(at)]
+    if len(at) > 1024:  # only what lies around centres is looked at: pairs of many ends of one climb would be too many
+        grid = _Grid(at, bandwidth, angular)
+        for i in range(len(at)):
+            if keep[i]:
+                for _, b in grid.near(at[i : i + 1]):
+                    keep[b[b > i]] = False
+        return at[keep]
+    pairs = [np.stack(x) for x in _lookup(at, bandwidth, angular).near(at)]
     a, b = np.concatenate(pairs, 1)
     behind = b > a
     a, b = a[behind], b[behind]
@@ -241,28 +419,72 @@ def fit(p: np.ndarray, bandwidth: float, angular: bool, seeds: np.ndarray | None
     if not len(p):
         return np.zeros(0, np.int64), np.zeros((0, p.shape[1]))
     at = bin_seeds(p, bandwidth) if seeds is None else np.array(seeds, float)
-    w = np.ones(len(p)) if weights is None else weights
-    grid = _Grid(p, bandwidth, angular)
-    count, live = np.zeros(len(at), np.int64), np.arange(len(at))
-    for _ in range(MAX_ITER):
-        if not live.size:
-            break
-        q = at[live]
-        sums, mass, count[live] = _around(grid, p, w, q, angular)
-        at[live] = new = _moved(q, sums, mass, angular)
-        live = live[(mass > 0) & (_delta(new, q, angular) >= STOP * bandwidth)]
-    centres = _winners(at, count, bandwidth, angular)
+    centres = _climb(p, bandwidth, angular, at, weights)
     label, best = _nearest(p, centres, angular)
     if not cluster_all:
         label[best > bandwidth] = -1
     return label, centres
 
 
+def _climb(p: np.ndarray, bandwidth: float, angular: bool, at: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
+    """The centres to which seeds climb."""
+    if angular and weights is None and len(p) >= STRIPS_FROM and bandwidth < 3:
+        around = _Strips(p, bandwidth).sums
+    else:
+        w, grid = np.ones(len(p)) if weights is None else weights, _lookup(p, bandwidth, angular)
+        around = lambda q: _around(grid, p, w, q, angular)
+    ends, counts, q = [], [], at
+    for _ in range(MAX_ITER):
+        if not len(q):
+            break
+        q = _distinct(q)  # climbs that met end at one place, as one
+        sums, mass, n = around(q)
+        new = _moved(q, sums, mass, angular)
+        goes = (mass > 0) & (_delta(new, q, angular) >= STOP * bandwidth)
+        if _ == MAX_ITER - 1:
+            goes[:] = False
+        ends.append(new[~goes])
+        counts.append(n[~goes])
+        q = new[goes]
+    return _winners(np.concatenate(ends), np.concatenate(counts), bandwidth, angular)
+
+
+def _distinct(q: np.ndarray) -> np.ndarray:
+    if len(q) < 256:
+        return q
+    by = np.lexsort(q.T)
+    q = q[by]
+    return q[np.r_[True, (q[1:] != q[:-1]).any(1)]]
+
+
 def _column(t: pa.Table, c: str) -> np.ndarray:
     return t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool = False, weight: str | None = None, cluster_all: bool = True, most_points: int = MOST_POINTS) -> DataFrame:
+def _events(t: pa.Table):
+    """(event, row numbers) of each event of a table."""
+    code = t.column("event_id").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(code, kind="stable")
+    yield from np.split(order, np.flatnonzero(np.diff(code[order])) + 1)
+
+
+def _sized(points: DataFrame, most_points: int, ws: Workspace) -> tuple[DataFrame, DataFrame, int, int]:
+    """(points, written once as several plans read them; ``event_id, _n`` of the events with more than most_points; their number; the number of buckets of the others)."""
+    points = ws.write(points)
+    seen = Observation()
+    per_event = points.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("n"), F.count_if(F.col("_n") > most_points).alias("large"))
+    sizes = ws.write(per_event.where(F.col("event_id").isNotNull() & (F.col("_n") > most_points)))  # at most (all points) / most_points rows
+    return points, sizes, seen.get["large"] or 0, max(1, math.ceil((seen.get["n"] or 0) / BUCKET_POINTS))
+
+
+def _by_bucket(points: DataFrame, buckets: int, function, out: str) -> DataFrame:
+    """``function`` on whole events, many of them at once."""
+    kept = points.columns
+    bucketed = points.withColumn("_bucket", F.pmod(F.xxhash64("event_id"), F.lit(buckets)).cast("int")).repartition(buckets, "_bucket")
+    return bucketed.groupBy("_bucket").applyInArrow(lambda t: function(t.select(kept)), out)
+
+
+def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool = False, weight: str | None = None, cluster_all: bool = True, most_points: int = MOST_POINTS, most_gathered: int = MOST_GATHERED) -> DataFrame:
     """Labels of the points of each event: the input's columns, then ``cluster_id`` and the centre's coordinates as ``c_<name>``.
 
     An event with one point has one cluster; a negative bandwidth puts all points of an event into cluster 0. Climbs start at the centres of bins, with ``angular`` at angular_seeds. Points with a null coordinate should be filtered before.
@@ -275,24 +497,48 @@ def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float
             t = t.append_column(f"c_{c}", pa.array(np.where(label >= 0, centres[label, k], np.nan)))
         return t
 
-    def one(t: pa.Table) -> pa.Table:
+    def whole(t: pa.Table) -> pa.Table:
         p = np.stack([_column(t, c) for c in coordinates], 1).astype(float)
-        if bandwidth < 0:
-            return labelled(t, np.zeros(len(p), np.int64), p.mean(0, keepdims=True))
-        return labelled(t, *fit(p, bandwidth, angular, seeds=angular_seeds(p, bandwidth) if angular else None, weights=_column(t, weight) if weight else None, cluster_all=cluster_all))
+        w = _column(t, weight) if weight else None
+        label, at = np.zeros(len(p), np.int64), np.full(p.shape, np.nan)
+        for i in _events(t):
+            x = p[i]
+            if bandwidth < 0:
+                at[i] = x.mean(0)
+                continue
+            label[i], c = fit(x, bandwidth, angular, seeds=angular_seeds(x, bandwidth) if angular else None, weights=w[i] if weight else None, cluster_all=cluster_all)
+            has = label[i] >= 0
+            at[i[has]] = c[label[i[has]]]
+        t = t.append_column("cluster_id", pa.array(label.astype(np.int32)))
+        for k, c in enumerate(coordinates):
+            t = t.append_column(f"c_{c}", pa.array(at[:, k]))
+        return t
 
     ws = Workspace(points.sparkSession)
-    sizes = ws.write(points.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most_points))  # at most (all points) / most_points rows
-    if sizes.isEmpty():
-        return points.groupBy("event_id").applyInArrow(lambda t: one(t), out)
-    small = points.join(sizes, "event_id", "left_anti").groupBy("event_id").applyInArrow(lambda t: one(t), out)
+    points, sizes, n_large, buckets = _sized(points, most_points, ws)
+    if not n_large:
+        return _by_bucket(points, buckets, whole, out)
+    small = _by_bucket(points.join(sizes, "event_id", "left_anti"), buckets, whole, out)
     chunks = sizes.select("event_id", F.ceil(F.col("_n") / most_points).cast("int").alias("_chunks"))
     # Chunks by position, so that equal points, which sums do not tell apart, are all that a hash may leave together.
     divided = points.join(chunks, "event_id").withColumn("_chunk", F.pmod(F.xxhash64(*[c for c in points.columns if c != "event_id"]), "_chunks").cast("int")).drop("_chunks")
     if bandwidth < 0:
         means = divided.groupBy("event_id").agg(*[F.avg(c).alias(f"c_{c}") for c in coordinates])
         return small.unionByName(divided.drop("_chunk").withColumn("cluster_id", F.lit(0)).join(means, "event_id").select(*small.columns))
-    centres = _large_centres(divided, chunks, coordinates, bandwidth, angular, weight, ws)
+    coords = [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(c) for c in coordinates]
+    slim = points.select("event_id", *coords, *([F.col(weight).cast("double").alias("_w")] if weight else []))
+
+    def climbed(t: pa.Table) -> pa.Table:
+        p = np.stack([_column(t, c) for c in coordinates], 1)
+        at = _climb(p, bandwidth, angular, angular_seeds(p, bandwidth) if angular else bin_seeds(p, bandwidth), _column(t, "_w") if weight else None)
+        event = pa.array(np.full(len(at), t.column("event_id")[0].as_py()))
+        return pa.Table.from_arrays([event, pa.array(np.arange(len(at), dtype=np.int32)), *(pa.array(at[:, k]) for k in range(len(coordinates)))], ["event_id", "place", *[f"c_{c}" for c in coordinates]])
+
+    gathered = slim.join(sizes.where(F.col("_n") <= most_gathered).select("event_id"), "event_id").repartition(4 * n_large, "event_id").groupBy("event_id")
+    centres = ws.write(gathered.applyInArrow(lambda t: climbed(t), "event_id bigint, place int, " + ", ".join(f"c_{c} double" for c in coordinates)))
+    beyond = sizes.where(F.col("_n") > most_gathered).select("event_id")
+    if not beyond.isEmpty():
+        centres = centres.unionByName(_large_centres(divided.join(beyond, "event_id", "left_semi"), chunks.join(beyond, "event_id", "left_semi"), coordinates, bandwidth, angular, weight, ws))
 
     def chunk(t: pa.Table, c: pa.Table) -> pa.Table:
         order = np.argsort(_column(c, "place"))
@@ -403,9 +649,7 @@ def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large
     def top(e: np.ndarray) -> np.ndarray:
         return np.lexsort((np.arange(len(e)), -e))[: max(1, math.ceil(top_percent / 100 * len(e)))]
 
-    def one(t: pa.Table) -> pa.Table:
-        p, e = np.stack([_column(t, c) for c in ("eta", "phi")], 1), _column(t, "energy")
-        calo = _column(t, "is_calo").astype(bool) if "is_calo" in t.column_names else np.ones(len(p), bool)
+    def one(p: np.ndarray, e: np.ndarray, calo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hits = np.flatnonzero(calo)
         label, _ = fit(p, first, True, seeds=p[hits[top(e[hits])]] if hits.size else angular_seeds(p, first))
         sub = np.zeros(len(p), np.int64)
@@ -413,9 +657,22 @@ def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large
             at = np.flatnonzero(label == k)
             own = at[calo[at]]
             sub[at], _ = fit(p[at], second, True, seeds=p[own[top(e[own])]])
-        return t.append_column("cluster_id", pa.array(label.astype(np.int32))).append_column("sub_id", pa.array(sub.astype(np.int32)))
+        return label, sub
 
-    return points.groupBy("event_id").applyInArrow(lambda t: one(t), out)
+    def whole(t: pa.Table) -> pa.Table:
+        p, e = np.stack([_column(t, c) for c in ("eta", "phi")], 1), _column(t, "energy")
+        calo = _column(t, "is_calo").astype(bool) if "is_calo" in t.column_names else np.ones(len(p), bool)
+        label, sub = np.zeros(len(p), np.int32), np.zeros(len(p), np.int32)
+        for i in _events(t):
+            label[i], sub[i] = one(p[i], e[i], calo[i])
+        return t.append_column("cluster_id", pa.array(label)).append_column("sub_id", pa.array(sub))
+
+    points, sizes, n_large, buckets = _sized(points, MOST_POINTS, Workspace(points.sparkSession))
+    if not n_large:
+        return _by_bucket(points, buckets, whole, out)
+    # A large event is a task of its own.
+    large = points.join(sizes.select("event_id"), "event_id").select(*points.columns).repartition(4 * n_large, "event_id").groupBy("event_id").applyInArrow(lambda t: whole(t), out)
+    return _by_bucket(points.join(sizes, "event_id", "left_anti"), buckets, whole, out).unionByName(large)
 
 
 def bandwidths(points: DataFrame, coordinates: tuple[str, str] = ("eta", "phi")) -> DataFrame:

@@ -146,3 +146,37 @@ def test_bandwidth_by_rings_is_that_of_all_pairs(angular, quantile):
     p = np.r_[np.c_[r.normal(0, 1, 1500), r.uniform(-math.pi, math.pi, 1500)], np.c_[r.normal(2, 0.05, 1500), np.asarray(M.wrap(r.normal(math.pi, 0.05, 1500)))], np.zeros((20, 2))]
     k = max(1, int(len(p) * quantile))
     assert M.estimate_bandwidth(p, angular, quantile) == pytest.approx(M._kth_brute(p, p, k, angular) / len(p), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize(("angular", "weight", "bandwidth"), [(True, None, 0.5), (True, "w", 0.5), (False, None, 0.7)])
+def test_centres_of_a_large_event_need_rounds_only_beyond_most_gathered(spark, monkeypatch, angular, weight, bandwidth):
+    r = np.random.default_rng(8)
+    p = np.c_[r.normal(0, 1, 120), r.uniform(-math.pi, math.pi, 120)]
+    rows = [(e, k, float(a), float(b), float(w)) for e in (1, 2, None) for k, ((a, b), w) in enumerate(zip(p[: 120 if e == 1 else 15], r.uniform(0.1, 2, 120)))]
+    df = spark.createDataFrame(rows, "event_id bigint, pos int, eta double, phi double, w double")
+    run = lambda df, **kw: {(x.event_id, x.pos): (x.cluster_id, round(x.c_eta, 6), round(x.c_phi, 6)) for x in M.mean_shift(df, ("eta", "phi"), bandwidth, angular=angular, weight=weight, cluster_all=weight is not None, **kw).collect()}
+    whole, rounds, seen = run(df), M._large_centres, []
+    monkeypatch.setattr(M, "_large_centres", lambda *a: seen.append(1) or rounds(*a))
+    assert len(whole) == 150 and str(whole) == str({k: v for k, v in sorted(run(df, most_points=40).items(), key=lambda i: list(whole).index(i[0]))}) and not seen
+    divided = run(df, most_points=40, most_gathered=100)
+    assert str(whole) == str({k: divided[k] for k in whole}) and seen
+    assert run(df.where("pos < 0")) == {}
+
+
+@pytest.mark.parametrize(("angular", "n_centres"), [(True, 300), (False, 300), (True, 3)])
+def test_nearest_by_boxes_is_that_of_all_pairs(angular, n_centres):
+    r = np.random.default_rng(6)
+    p = np.r_[np.c_[r.normal(0, 1, 9000), r.uniform(-math.pi, math.pi, 9000)], np.zeros((3000, 2)), np.c_[r.integers(-3, 3, (3000, 2)) / 2]]
+    c = np.r_[r.integers(-6, 6, (n_centres, 2)) / 2, [[0.0, math.pi], [0.0, -math.pi]]]
+    label, best = M._nearest(p, c, angular)
+    d = np.stack([M._delta(p, x[None], angular) for x in c], 1)
+    assert (label == d.argmin(1)).all() and (best == d.min(1)).all()
+
+
+@pytest.mark.parametrize("radius", [0.05, 0.2, 2.9])
+def test_strips_sum_what_a_grid_sums(radius):
+    r = np.random.default_rng(9)
+    p = np.r_[np.c_[r.normal(0, 1, 4000), r.uniform(-math.pi, math.pi, 4000)], np.c_[r.normal(1, 0.05, 3000), np.asarray(M.wrap(r.normal(math.pi, 0.05, 3000)))], np.full((50, 2), 0.5), [[0.0, math.pi], [0.0, -math.pi], [9.0, 0.0]]]
+    q = np.r_[p[::20], p[-3:], r.uniform(-12, 12, (50, 2)), [[0.5, 0.5 + radius], [0.5 - radius, 0.5]]]
+    want, got = M._around(M._Grid(p, radius, True), p, np.ones(len(p)), q, True), M._Strips(p, radius).sums(q)
+    assert (got[2] == want[2]).all() and (got[1] == want[1]).all() and np.allclose(got[0], want[0], rtol=0, atol=1e-8)
