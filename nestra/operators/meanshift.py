@@ -639,10 +639,10 @@ def not_nearest(labelled: DataFrame, coordinates: tuple[str, ...]) -> DataFrame:
     return labelled.where("cluster_id >= 0").withColumn("mine", mine).join(centres, "event_id").where(far).select("event_id", "block_no", "pos")
 
 
-def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large: int = 2000, top_percent: float = 4.0) -> DataFrame:
+def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large: int = 2000, top_percent: float = 4.0, most_points: int = MOST_POINTS) -> DataFrame:
     """Two-level clustering in (eta, phi): seeded by the hits of highest energy; clusters with more than ``large`` hits are divided again, all members together, seeded by the top ``top_percent`` percent of their hits. Adds ``cluster_id, sub_id``.
 
-    With a column ``is_calo`` points without it (tracks) take part in both levels, but neither count against ``large`` nor seed; without the column all points are hits. An event without hits starts at angular_seeds.
+    With a column ``is_calo`` points without it (tracks) take part in both levels, but neither count against ``large`` nor seed; without the column all points are hits. An event without hits starts at angular_seeds. An event with more than ``most_points`` points is a task of its own.
     """
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields) + ", cluster_id int, sub_id int"
 
@@ -667,12 +667,11 @@ def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large
             label[i], sub[i] = one(p[i], e[i], calo[i])
         return t.append_column("cluster_id", pa.array(label)).append_column("sub_id", pa.array(sub))
 
-    points, sizes, n_large, buckets = _sized(points, MOST_POINTS, Workspace(points.sparkSession))
+    points, sizes, n_large, buckets = _sized(points, most_points, Workspace(points.sparkSession))
     if not n_large:
         return _by_bucket(points, buckets, whole, out)
-    # A large event is a task of its own.
-    large = points.join(sizes.select("event_id"), "event_id").select(*points.columns).repartition(4 * n_large, "event_id").groupBy("event_id").applyInArrow(lambda t: whole(t), out)
-    return _by_bucket(points.join(sizes, "event_id", "left_anti"), buckets, whole, out).unionByName(large)
+    alone = points.join(sizes.select("event_id"), "event_id").select(*points.columns).repartition(4 * n_large, "event_id").groupBy("event_id").applyInArrow(lambda t: whole(t), out)
+    return _by_bucket(points.join(sizes, "event_id", "left_anti"), buckets, whole, out).unionByName(alone)
 
 
 def bandwidths(points: DataFrame, coordinates: tuple[str, str] = ("eta", "phi")) -> DataFrame:

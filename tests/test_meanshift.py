@@ -180,3 +180,39 @@ def test_strips_sum_what_a_grid_sums(radius):
     q = np.r_[p[::20], p[-3:], r.uniform(-12, 12, (50, 2)), [[0.5, 0.5 + radius], [0.5 - radius, 0.5]]]
     want, got = M._around(M._Grid(p, radius, True), p, np.ones(len(p)), q, True), M._Strips(p, radius).sums(q)
     assert (got[2] == want[2]).all() and (got[1] == want[1]).all() and np.allclose(got[0], want[0], rtol=0, atol=1e-8)
+
+
+def test_two_levels_of_a_dense_event_look_at_few_pairs(spark, monkeypatch):
+    r = np.random.default_rng(2)
+    p = np.r_[np.c_[r.normal(0, 0.1, 12000), r.normal(math.pi, 0.1, 12000)], np.c_[r.normal(1, 0.3, 3000), r.normal(0, 0.3, 3000)]]
+    e = r.uniform(0, 1, len(p))
+    seeds = p[np.argsort(-e)[:600]]
+    pairs, delta = [0], M._delta
+
+    def counted(a, b, angular):
+        d = delta(a, b, angular)
+        pairs[0] += d.size
+        return d
+
+    monkeypatch.setattr(M, "_delta", counted)
+    label, centres = M.fit(p, 0.2, True, seeds=seeds)
+    assert pairs[0] < 6e6  # a grid of cells as wide as the radius alone looks at more than 1e7 in the first step
+    for c in centres:  # each is the mean of what lies around it
+        x = p[delta(p, c[None], True) <= 0.2]
+        mean = np.array([[x[:, 0].mean(), math.atan2(np.sin(x[:, 1]).sum(), np.cos(x[:, 1]).sum())]])
+        assert delta(mean, c[None], True)[0] < 4 * M.STOP * 0.2
+    assert (label == delta(p[:, None], centres[None], True).argmin(1)).all()
+    rows = [(k % 2, k, float(a), float(b), float(x)) for k, ((a, b), x) in enumerate(zip(p[::10], e[::10]))]
+    df = spark.createDataFrame(rows, "event_id bigint, pos int, eta double, phi double, energy double")
+    run = lambda **kw: sorted((x.event_id, x.pos, x.cluster_id, x.sub_id) for x in M.two_level(df, large=100, **kw).collect())
+    assert run() == run(most_points=100) and len({x[3] for x in run()}) > 1
+
+
+def test_many_ends_of_climbs_have_the_centres_of_all_pairs():
+    r = np.random.default_rng(1)
+    at, n = np.r_[r.normal(0, 1, (1500, 2)), r.normal(0, 1e-3, (1500, 2))], r.integers(0, 50, 3000)
+    want, left = [], sorted(((int(k), *x) for k, x in zip(n, at.tolist()) if k), reverse=True)
+    while left:
+        want.append(left[0][1:])
+        left = [x for x in left if math.hypot(x[1] - left[0][1], x[2] - left[0][2]) > 0.3]
+    assert M._winners(at, n, 0.3, False).tolist() == [list(x) for x in want]
