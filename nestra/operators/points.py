@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from nestra.functions import kinematics as K
 from nestra.operators.meanshift import mean_shift
 from nestra.operators.nested import hits_flat, tracks_flat
+from nestra.runtime import Workspace
 
 
 def hit_points(calo_hits: DataFrame, least_energy: float | None = None) -> DataFrame:
@@ -120,6 +121,7 @@ def with_global_index(per_cluster: DataFrame) -> DataFrame:
 
     Counts are summed over at most RANGES ranges of event_ids, within a range over bands of cluster_ids, and clusters are sorted within a band only, so neither many events nor an event of many clusters meet in one task.
     """
+    per_cluster = Workspace(per_cluster.sparkSession).write(per_cluster)  # read several times below; clusters are not to be found anew each time
     edges = per_cluster.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
     lo, width = edges.lo or 0, max(1, -(-((edges.hi or 0) - (edges.lo or 0) + 1) // RANGES))
     banded = per_cluster.withColumn("_range", F.floor((F.col("event_id") - lo) / width)).withColumn("_band", F.shiftright("cluster_id", 16))

@@ -216,3 +216,16 @@ def test_many_ends_of_climbs_have_the_centres_of_all_pairs():
         want.append(left[0][1:])
         left = [x for x in left if math.hypot(x[1] - left[0][1], x[2] - left[0][2]) > 0.3]
     assert M._winners(at, n, 0.3, False).tolist() == [list(x) for x in want]
+
+
+def test_clusters_are_found_once_for_their_index(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(20).selectExpr("id div 4 as event_id", "cast(0 as int) as block_no", "cast(id as int) as pos", "cast(id % 2 as int) as cluster_id")
+    got = sorted(tuple(x) for x in points.cardinality_of_events(df.mapInArrow(once, df.schema)).collect())
+    assert [x[3] for x in got] == list(range(10)) and seen.value == 20
