@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from nestra.runtime import Workspace
 
-PAIRS = 1 << 21
+PAIRS = 1 << 18
 # Steps at most, the shift (as a part of the bandwidth) at which a climb ends, and the share of points that counts as neighbours when a bandwidth is estimated.
 MAX_ITER = 300
 STOP = 1e-3
@@ -61,6 +61,7 @@ class _Grid:
 
     def __init__(self, p: np.ndarray, radius: float, angular: bool):
         self.p, self.radius, self.angular = p, radius, angular
+        self.columns = np.ascontiguousarray(p.T)
         self.low = p.min(0)
         self.n_phi = max(1, int(TURN // radius)) if angular else 0
         cells = self._cell(p)
@@ -115,7 +116,11 @@ class _Grid:
                 n = self.size[cell[j:k]]
                 seed = np.repeat(owner[j:k], n)
                 point = self.order[np.arange(int(n.sum())) + np.repeat(self.start[cell[j:k]] - (np.cumsum(n) - n), n)]
-                close = _delta(q[seed], self.p[point], self.angular) <= self.radius
+                if self.angular:
+                    close = _delta(q[seed], self.p[point], True) <= self.radius
+                else:  # as _delta, column by column
+                    d = reduce(np.add, ((np.take(a, seed) - np.take(b, point)) ** 2 for a, b in zip(q.T, self.columns, strict=True)))
+                    close = np.flatnonzero(np.sqrt(d, out=d) <= self.radius)
                 yield seed[close], point[close]
                 j = k
 
@@ -272,28 +277,31 @@ class _Strips:
         # What lies near the seam is listed on its other side too; a disc is narrower than the circle and meets one of the two.
         edge = radius * (1 + 1e-6) + 1e-6
         low, high = np.flatnonzero(phi < edge - math.pi), np.flatnonzero(phi > math.pi - edge)
-        self.at = np.concatenate([np.arange(len(p)), low, high])
+        self.at = np.concatenate([np.arange(len(p), dtype=np.int32), low.astype(np.int32), high.astype(np.int32)])
         phi = np.concatenate([phi, phi[low] + TURN, phi[high] - TURN])
-        eta = p[self.at, 0]
-        self.low, self.left = eta.min(), phi.min()
-        span = max(eta.max() - self.low, 1e-9), max(phi.max() - self.left, 1e-9)
+        self.low, self.left = p[:, 0].min(), phi.min()
+        span = max(p[:, 0].max() - self.low, 1e-9), max(phi.max() - self.left, 1e-9)
         m = min(128.0, max(4.0, 0.7 * math.sqrt(len(p)) / 4))  # cells along the radius
         m = min(m, math.sqrt((1 << 22) / max(1.0, (span[0] / radius + 1) * (span[1] / radius + 1))))
         self.side = max(radius / m, span[0] / (1 << 20), span[1] / (1 << 20))
         self.n = int(span[0] / self.side) + 1, int(span[1] / self.side) + 1
-        strip = np.minimum(((eta - self.low) / self.side).astype(np.int64), self.n[0] - 1)
-        cell = np.minimum(((phi - self.left) / self.side).astype(np.int64), self.n[1] - 1)
-        code = strip * self.n[1] + cell
-        order = np.argsort(code, kind="stable")
-        self.at, code = self.at[order], code[order]
-        self.start = np.searchsorted(code, np.arange(self.n[0] * self.n[1] + 1))
+        code = np.minimum(((p[:, 0] - self.low) / self.side).astype(np.int64), self.n[0] - 1)[self.at]
+        code *= self.n[1]
+        code += np.minimum(((phi - self.left) / self.side).astype(np.int64), self.n[1] - 1)
+        del phi, low, high
+        self.at = self.at[np.argsort(code, kind="stable")]
+        self.start = np.zeros(self.n[0] * self.n[1] + 1, np.int64)
+        np.cumsum(np.bincount(code, minlength=len(self.start) - 1), out=self.start[1:])
+        del code
         bound = max(1.0, float(np.abs(p[:, 0]).max())) * len(p)
         self.scale = 2.0 ** (61 - math.ceil(math.log2(bound)))
-        x = p[self.at]
-        terms = (x[:, 0], np.sin(x[:, 1]), np.cos(x[:, 1]))
-        self.totals = np.zeros((len(x) + 1, 3), np.int64)
-        for k, t in enumerate(terms):
-            np.cumsum(np.rint(t * self.scale).astype(np.int64), out=self.totals[1:, k])  # may run over; differences do not
+        self.totals = []
+        for k, f in ((0, None), (1, np.sin), (1, np.cos)):
+            x = p[self.at, k] if f is None else f(p[self.at, k])
+            x *= self.scale
+            total = np.zeros(len(x) + 1, np.int64)
+            np.cumsum(np.rint(x, out=x).astype(np.int64), out=total[1:])  # may run over; differences do not
+            self.totals.append(total)
 
     def sums(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As _around, without weights."""
@@ -327,7 +335,7 @@ class _Strips:
         a, b, c, d = (self.start[base + v] for v in (a, b, c, d))
         full = np.flatnonzero(c > b)
         for t in range(3):
-            x = self.totals[:, t]
+            x = self.totals[t]
             self._add(out[:, t], seed[full], x[c[full]] - x[b[full]])
         self._add(n, seed[full], c[full] - b[full])
         owner, first, size = np.concatenate([seed, seed]), np.concatenate([a, c]), np.concatenate([b - a, d - c])
@@ -343,7 +351,7 @@ class _Strips:
             close = np.flatnonzero(_delta(q[s], self.p[self.at[i]], True) <= r)
             s, i = s[close], i[close]
             for t in range(3):
-                x = self.totals[:, t]
+                x = self.totals[t]
                 self._add(out[:, t], s, x[i + 1] - x[i])
             self._add(n, s, np.ones(len(s), np.int64))
             j = e
@@ -361,17 +369,18 @@ class _Strips:
 STRIPS_FROM = 4096  # points from which strips pay
 
 
-def _around(grid: _Few | _Grid, p: np.ndarray, w: np.ndarray, q: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _around(grid: _Few | _Grid, p: np.ndarray, w: np.ndarray | None, q: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What lies around each q: weighted sums (of an angle's sine and cosine), mass and number of points."""
     sums, mass, n = np.zeros((len(q), 3)), np.zeros(len(q)), np.zeros(len(q), np.int64)
     for s, i in grid.near(q):
         x = p[i]
         terms = [x[:, 0], np.sin(x[:, 1]), np.cos(x[:, 1])] if angular else [*x.T]
         for c, t in enumerate(terms):
-            sums[:, c] += np.bincount(s, t * w[i], len(q))
-        mass += np.bincount(s, w[i], len(q))
+            sums[:, c] += np.bincount(s, t if w is None else t * w[i], len(q))
+        if w is not None:
+            mass += np.bincount(s, w[i], len(q))
         n += np.bincount(s, minlength=len(q))
-    return sums, mass, n
+    return sums, n.astype(float) if w is None else mass, n
 
 
 def _moved(q: np.ndarray, sums: np.ndarray, mass: np.ndarray, angular: bool) -> np.ndarray:
@@ -431,8 +440,8 @@ def _climb(p: np.ndarray, bandwidth: float, angular: bool, at: np.ndarray, weigh
     if angular and weights is None and len(p) >= STRIPS_FROM and bandwidth < 3:
         around = _Strips(p, bandwidth).sums
     else:
-        w, grid = np.ones(len(p)) if weights is None else weights, _lookup(p, bandwidth, angular)
-        around = lambda q: _around(grid, p, w, q, angular)
+        grid = _lookup(p, bandwidth, angular)
+        around = lambda q: _around(grid, p, weights, q, angular)
     ends, counts, q = [], [], at
     for _ in range(MAX_ITER):
         if not len(q):
@@ -626,17 +635,40 @@ def _large_centres(divided: DataFrame, chunks: DataFrame, coordinates: tuple[str
     return ws.write(reduce(DataFrame.unionByName, ends).groupBy("event_id").applyInArrow(lambda t: choose(t), ddl))
 
 
-def not_nearest(labelled: DataFrame, coordinates: tuple[str, ...]) -> DataFrame:
+def not_nearest(labelled: DataFrame, coordinates: tuple[str, ...], most_points: int = MOST_POINTS) -> DataFrame:
     """``event_id, block_no, pos`` of the points of mean_shift in space that are nearer to another centre of their event than to their own. A right clustering gives no rows.
 
-    The centres of an event are gathered (they are few: no two within a bandwidth), its points are not.
+    The centres of an event are gathered (they are few: no two within a bandwidth); the points of an event with more than ``most_points`` are held against them chunk by chunk.
     """
-    own = [f"c_{c}" for c in coordinates]
-    centres = labelled.where("cluster_id >= 0").select("event_id", F.struct(*own).alias("c")).distinct().groupBy("event_id").agg(F.collect_list("c").alias("centres"))
-    d2 = lambda c: sum(((F.col(x) - c[f"c_{x}"]) * (F.col(x) - c[f"c_{x}"]) for x in coordinates), F.lit(0.0))
-    mine = sum(((F.col(x) - F.col(f"c_{x}")) * (F.col(x) - F.col(f"c_{x}")) for x in coordinates), F.lit(0.0))
-    far = F.exists("centres", lambda c: d2(c) < F.col("mine") * (1 - 1e-9) - 1e-9)
-    return labelled.where("cluster_id >= 0").withColumn("mine", mine).join(centres, "event_id").where(far).select("event_id", "block_no", "pos")
+    own, kept = [f"c_{c}" for c in coordinates], ["event_id", "block_no", "pos"]
+    labelled = labelled.where("cluster_id >= 0").select(*kept, *coordinates, *own)
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in labelled.select(*kept).schema.fields)
+    read = lambda t, names: np.stack([_column(t, c) for c in names], 1).astype(float)
+
+    def far(p: np.ndarray, mine: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        d = p - mine
+        _, best = _nearest(p, centres, False)
+        return best * best < (d * d).sum(1) * (1 - 1e-9) - 1e-9
+
+    def whole(t: pa.Table) -> pa.Table:
+        p, mine = read(t, coordinates), read(t, own)
+        wrong = [i[far(p[i], mine[i], np.unique(mine[i], axis=0))] for i in _events(t)]
+        return t.select(kept).take(pa.array(np.concatenate(wrong)))
+
+    def chunk(t: pa.Table, c: pa.Table) -> pa.Table:
+        wrong = far(read(t, coordinates), read(t, own), read(c, own)) if t.num_rows else np.zeros(0, bool)
+        return t.select(kept).filter(pa.array(wrong))
+
+    ws = Workspace(labelled.sparkSession)
+    labelled, sizes, n_large, buckets = _sized(labelled, most_points, ws)
+    if not n_large:
+        return _by_bucket(labelled, buckets, whole, out)
+    small = _by_bucket(labelled.join(sizes, "event_id", "left_anti"), buckets, whole, out)
+    chunks = sizes.select("event_id", F.ceil(F.col("_n") / most_points).cast("int").alias("_chunks"))
+    divided = labelled.join(chunks, "event_id").withColumn("_chunk", F.pmod(F.xxhash64("block_no", "pos"), "_chunks").cast("int")).drop("_chunks")
+    centres = ws.write(labelled.join(sizes.select("event_id"), "event_id").select("event_id", *own).distinct())
+    each = centres.join(chunks, "event_id").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
+    return small.unionByName(divided.groupBy("event_id", "_chunk").cogroup(each.groupBy("event_id", "_chunk")).applyInArrow(lambda t, c: chunk(t, c), out))
 
 
 def two_level(points: DataFrame, first: float = 0.2, second: float = 0.05, large: int = 2000, top_percent: float = 4.0, most_points: int = MOST_POINTS) -> DataFrame:

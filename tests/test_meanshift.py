@@ -218,6 +218,25 @@ def test_many_ends_of_climbs_have_the_centres_of_all_pairs():
     assert M._winners(at, n, 0.3, False).tolist() == [list(x) for x in want]
 
 
+def test_points_nearer_to_another_centre_are_found_without_lists_of_centres(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    at, c = r.normal(0, 3, (90, 2)), np.array([[-2.0, 0.0], [0.0, 1.0], [2.0, -1.0], [0.0, 0.0]])
+    label = r.integers(-1, 4, 90)
+    rows = [(k % 3 or None, k % 2, k, int(i), *map(float, at[k]), *(map(float, c[i]) if i >= 0 else (math.nan, math.nan))) for k, i in enumerate(label)]
+    df = spark.createDataFrame(rows, "event_id bigint, block_no int, pos int, cluster_id int, x double, y double, c_x double, c_y double")
+    df = df.where("event_id is not null")
+    want = set()
+    for e in (1, 2):
+        of = [x for x in rows if x[0] == e and x[3] >= 0]
+        for x in of:
+            if any(math.dist(x[4:6], y[6:]) < math.dist(x[4:6], x[6:]) * (1 - 1e-6) for y in of):
+                want.add(x[:3])
+    monkeypatch.setattr(M.F, "collect_list", None)
+    for most in (1000, 10):
+        assert {tuple(x) for x in M.not_nearest(df, ("x", "y"), most_points=most).collect()} == want
+    assert want
+
+
 def test_clusters_are_found_once_for_their_index(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
