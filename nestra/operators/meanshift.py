@@ -27,11 +27,15 @@ QUANTILE = 0.3
 TURN = 2 * math.pi
 MOST_POINTS = 1 << 18  # of an event, or of a chunk of one, in a task
 MOST_GATHERED = 1 << 22  # of an event whose bare coordinates meet in a task
-BUCKET_POINTS = 1 << 15  # of small events that share a task, about
+BUCKET_POINTS = 1 << 16  # of small events that share a task, about
 
 
 def wrap(a: np.ndarray) -> np.ndarray:
-    return math.pi - np.mod(math.pi - a, TURN)
+    x = np.asarray(math.pi - a)
+    out = (x < 0) | (x >= TURN)  # of the others the remainder is the number itself
+    if out.any():
+        x = np.where(out, np.mod(x, TURN, where=out, out=np.zeros_like(x)), x)
+    return math.pi - x
 
 
 def _delta(a: np.ndarray, b: np.ndarray, angular: bool) -> np.ndarray:
@@ -51,7 +55,8 @@ def _unique_rows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return rows, inverse.ravel(), n
     code = np.zeros(len(a), np.int64)
     for k in range(a.shape[1]):
-        code = code * int(span[k]) + (a[:, k] - low[k]).astype(np.int64)
+        code *= int(span[k])
+        code += (a[:, k] - low[k]).astype(np.int64)
     _, first, inverse, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
     return a[first], inverse.ravel(), n
 
@@ -160,13 +165,28 @@ def _boxes(p: np.ndarray):
         left += [at[by[: len(at) // 2]], at[by[len(at) // 2 :]]]
 
 
+def _columns_delta(a, b, angular: bool) -> np.ndarray:
+    """As _delta, of columns."""
+    d = [x - y for x, y in zip(a, b, strict=True)]
+    if angular:
+        d[1] = wrap(d[1])
+    return np.sqrt(reduce(np.add, (x * x for x in d)))
+
+
+def _first_least(d: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least of each run of numbers, where it stands first)."""
+    least = np.minimum.reduceat(d, start)
+    where = np.flatnonzero(d == np.repeat(least, n))
+    return least, where[np.searchsorted(where, start)]
+
+
 def _nearest(p: np.ndarray, centres: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray]:
     """(nearest centre of each point, its distance), in blocks of bounded size; of equally near centres the first.
 
     Points are put into boxes; a centre farther from a box than another one's farthest corner is nearest to none of its points.
     """
-    label, best = np.zeros(len(p), np.int64), np.full(len(p), np.inf)
     few = len(p) * len(centres) <= 1 << 14
+    label, best = np.zeros(len(p), np.int64), np.full(len(p), np.inf)
     for box in [np.arange(len(p))] if few else _boxes(p):
         near = np.arange(len(centres))
         if not few:
@@ -435,6 +455,118 @@ def fit(p: np.ndarray, bandwidth: float, angular: bool, seeds: np.ndarray | None
     return label, centres
 
 
+def _pairs(n: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... n of them, of each."""
+    return np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+def _batches(n: np.ndarray):
+    """Slices of events whose points make about PAIRS pairs with the seeds."""
+    total, i = np.cumsum(n.astype(np.int64) * np.minimum(n, 32)), 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS, "right")))
+        yield i, j
+        i = j
+
+
+def fit_many(p: np.ndarray, n: np.ndarray, bandwidth: float, angular: bool, weights: np.ndarray | None = None, cluster_all: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(label within the event, centre) of each point: ``fit`` of many events of few points at once, with the same sums in the same order. Points lie event by event, ``n`` of each; climbs start as in mean_shift."""
+    p = np.nan_to_num(np.asarray(p, float), nan=0.0)
+    label, at = np.zeros(len(p), np.int64), np.full(p.shape, np.nan)
+    start = np.cumsum(n) - n
+    for i, j in _batches(n):
+        rows = slice(int(start[i]), int(start[j - 1] + n[j - 1]))
+        label[rows], at[rows] = _fit_batch(p[rows], n[i:j], bandwidth, angular, None if weights is None else weights[rows], cluster_all)
+    return label, at
+
+
+def _fit_batch(p: np.ndarray, n: np.ndarray, bandwidth: float, angular: bool, w: np.ndarray | None, cluster_all: bool) -> tuple[np.ndarray, np.ndarray]:
+    first, event, columns = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n), np.ascontiguousarray(p.T)
+    q, of = _seeds_of_many(p, n, event, bandwidth, angular)
+    terms = [columns[0], np.sin(columns[1]), np.cos(columns[1])] if angular else [*columns]
+    ends, counts, owners = [], [], []
+    for k in range(MAX_ITER):
+        if not len(q):
+            break
+        m = n[of]
+        near = _pairs(m, first[of])
+        d = np.repeat(q[:, 0], m) - columns[0][near]
+        close = np.flatnonzero(np.abs(d) <= bandwidth)  # most pairs are this far apart already
+        s, near = np.repeat(np.arange(len(q)), m)[close], near[close]
+        close = _columns_delta((x[s] for x in q.T), (x[near] for x in columns), angular) <= bandwidth
+        s, near = s[close], near[close]
+        sums, found = np.zeros((len(q), 3)), np.bincount(s, minlength=len(q))
+        for c, t in enumerate(terms):
+            sums[:, c] += np.bincount(s, t[near] if w is None else t[near] * w[near], len(q))
+        mass = found.astype(float) if w is None else np.bincount(s, w[near], len(q))
+        new = _moved(q, sums, mass, angular)
+        goes = (mass > 0) & (_delta(new, q, angular) >= STOP * bandwidth) & (k < MAX_ITER - 1)
+        ends.append(new[~goes])
+        counts.append(found[~goes])
+        owners.append(of[~goes])
+        q, of = new[goes], of[goes]
+    ends, counts, owners = np.concatenate(ends), np.concatenate(counts), np.concatenate(owners)
+    centres, of = _winners_of_many(ends, counts, owners, len(n), bandwidth, angular)
+    m = np.bincount(of, minlength=len(n))
+    begin = np.cumsum(m) - m
+    each = m[event]
+    c = _pairs(each, begin[event])
+    best, k = _first_least(_columns_delta((np.repeat(x, each) for x in columns), centres[c].T, angular), np.cumsum(each) - each, each)
+    k = c[k]
+    label, at = k - begin[event], centres[k]
+    if not cluster_all:
+        label[best > bandwidth], at[best > bandwidth] = -1, np.nan
+    return label, at
+
+
+def _seeds_of_many(p: np.ndarray, n: np.ndarray, event: np.ndarray, size: float, angular: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(seeds, event of each): bin_seeds, with ``angular`` angular_seeds, of each event."""
+    bins, own, _ = _unique_rows(np.column_stack([event, np.rint(p / size)]))
+    of, seeds = bins[:, 0].astype(np.int64), bins[:, 1:] * size
+    m = np.bincount(of, minlength=len(n))
+    alone = m == n
+    seeds[alone[of]] = p[alone[event]]
+    at = np.flatnonzero(~alone[event])
+    if not angular or not len(at):
+        return seeds, of
+    x, each = p[at], m[event[at]]
+    reach = _delta(x, seeds[own[at]], True)  # a seed farther in eta is not the nearest
+    c = _pairs(each, (np.cumsum(m) - m)[event[at]])
+    close = np.flatnonzero(np.abs(np.repeat(x[:, 0], each) - seeds[c, 0]) <= np.repeat(reach, each))
+    s, c = np.repeat(np.arange(len(at)), each)[close], c[close]
+    each = np.bincount(s, minlength=len(at))
+    _, k = _first_least(_columns_delta((x[s, 0], x[s, 1]), (seeds[c, 0], seeds[c, 1]), True), np.cumsum(each) - each, each)
+    label = c[k]
+    count = np.bincount(label, minlength=len(seeds))
+    has = count > 0
+    for k in range(2):
+        seeds[has, k] = np.bincount(label, x[:, k], len(seeds))[has] / count[has]
+    return seeds, of
+
+
+def _winners_of_many(at: np.ndarray, count: np.ndarray, of: np.ndarray, n_events: int, bandwidth: float, angular: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(centres, event of each): _winners of each event, in the order of events."""
+    has = count > 0
+    at, count, of = at[has], count[has], of[has]
+    n = np.bincount(of, minlength=n_events)
+    if not n.all():
+        raise ValueError("no point lies within the bandwidth of any seed")
+    order = np.lexsort((*[-at[:, k] for k in reversed(range(at.shape[1]))], -count, of))
+    at, of = at[order], of[order]
+    last = np.cumsum(n)[of]
+    m = last - np.arange(len(at)) - 1
+    a, b = np.repeat(np.arange(len(at)), m), _pairs(m, np.arange(len(at)) + 1)
+    close = _columns_delta((x[a] for x in at.T), (x[b] for x in at.T), angular) <= bandwidth
+    a, b = a[close], b[close]
+    keep = np.ones(len(at), bool)
+    those, first = np.unique(a, return_index=True)
+    bounds = [*first.tolist(), len(a)]
+    for i, j, k in zip(those.tolist(), bounds[:-1], bounds[1:], strict=True):
+        if keep[i]:
+            keep[b[j:k]] = False
+    return at[keep], of[keep]
+
+
 def _climb(p: np.ndarray, bandwidth: float, angular: bool, at: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
     """The centres to which seeds climb."""
     if angular and weights is None and len(p) >= STRIPS_FROM and bandwidth < 3:
@@ -510,7 +642,14 @@ def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float
         p = np.stack([_column(t, c) for c in coordinates], 1).astype(float)
         w = _column(t, weight) if weight else None
         label, at = np.zeros(len(p), np.int64), np.full(p.shape, np.nan)
-        for i in _events(t):
+        events = list(_events(t))
+        if bandwidth >= 0:
+            few = [i for i in events if len(i) <= _Few.MOST]
+            if few:
+                i = np.concatenate(few)
+                label[i], at[i] = fit_many(p[i], np.array([len(x) for x in few]), bandwidth, angular, w[i] if weight else None, cluster_all)
+            events = [i for i in events if len(i) > _Few.MOST]
+        for i in events:
             x = p[i]
             if bandwidth < 0:
                 at[i] = x.mean(0)

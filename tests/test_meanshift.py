@@ -248,3 +248,28 @@ def test_clusters_are_found_once_for_their_index(spark, tmp_path):
     df = spark.range(20).selectExpr("id div 4 as event_id", "cast(0 as int) as block_no", "cast(id as int) as pos", "cast(id % 2 as int) as cluster_id")
     got = sorted(tuple(x) for x in points.cardinality_of_events(df.mapInArrow(once, df.schema)).collect())
     assert [x[3] for x in got] == list(range(10)) and seen.value == 20
+
+
+@pytest.mark.parametrize(("angular", "weighted", "cluster_all", "bandwidth"), [(True, False, False, 0.2), (True, False, True, 0.4), (True, True, True, 0.4), (True, False, True, 2.9), (False, False, False, 0.5)])
+def test_many_small_events_at_once_are_those_one_by_one(monkeypatch, angular, weighted, cluster_all, bandwidth):
+    r = np.random.default_rng(12)
+    n = np.r_[1, 2, 1, r.integers(1, 120, 300), M._Few.MOST]
+    p = np.c_[r.normal(0, 1.5, n.sum()), np.asarray(M.wrap(r.normal(math.pi, 1, n.sum())))]
+    p[10:40], p[50, 0], p[60, 1], p[70:90] = p[10], np.nan, math.pi, np.rint(p[70:90] * 2) / 2
+    w, parts = r.uniform(0, 2, len(p)) if weighted else None, np.split(np.arange(len(p)), np.cumsum(n)[:-1])
+    one = lambda i: M.fit(p[i], bandwidth, angular, seeds=M.angular_seeds(p[i], bandwidth) if angular else None, weights=None if w is None else w[i], cluster_all=cluster_all)
+    want = [one(i) for i in parts]
+    monkeypatch.setattr(M, "_climb", None)  # no climb of an event's own
+    label, at = M.fit_many(p, n, bandwidth, angular, w, cluster_all)
+    assert label.tolist() == np.concatenate([x[0] for x in want]).tolist()
+    assert np.array_equal(at, np.concatenate([np.where((x[0] >= 0)[:, None], x[1][x[0]], np.nan) for x in want]), equal_nan=True)
+
+
+def test_small_events_of_a_task_do_not_climb_one_by_one(spark):
+    r = np.random.default_rng(13)
+    rows = [(e or None, k, float(a), float(b)) for e in range(40) for k, (a, b) in enumerate(r.normal(0, 1, (300 if e == 7 else 20, 2)))]
+    df = spark.createDataFrame(rows, "event_id bigint, pos int, eta double, phi double")
+    got = {(x.event_id, x.pos): x.cluster_id for x in M.mean_shift(df, ("eta", "phi"), 0.5, angular=True).collect()}
+    for e in range(40):
+        x = np.array([y[2:] for y in rows if y[0] == (e or None)])
+        assert [got[e or None, k] for k in range(len(x))] == M.fit(x, 0.5, True, seeds=M.angular_seeds(x, 0.5))[0].tolist()
