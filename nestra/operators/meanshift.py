@@ -57,6 +57,15 @@ def _unique_rows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for k in range(a.shape[1]):
         code *= int(span[k])
         code += (a[:, k] - low[k]).astype(np.int64)
+    if (room := int(np.prod(span.astype(float)))) <= 4 * len(a) + 1024:  # counted in place, without sorting
+        n = np.bincount(code, minlength=room)
+        there = np.flatnonzero(n)
+        place = np.zeros(room, np.int64)
+        place[there] = np.arange(len(there))
+        rows, left = np.empty((len(there), a.shape[1]), a.dtype), there
+        for k in reversed(range(a.shape[1])):
+            left, rows[:, k] = np.divmod(left, int(span[k]))
+        return rows + low, place[code], n[there]
     _, first, inverse, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
     return a[first], inverse.ravel(), n
 
@@ -165,6 +174,70 @@ def _boxes(p: np.ndarray):
         left += [at[by[: len(at) // 2]], at[by[len(at) // 2 :]]]
 
 
+RASTER_CELLS, RASTER_POINTS, RASTER_PAIRS = 1 << 16, 32, 1 << 23  # cells at most, points in one on average at least, (cell, centre) pairs at most
+
+
+def _far_apart(mid: np.ndarray, half: np.ndarray, centres: np.ndarray, angular: bool) -> np.ndarray:
+    """Which centres may be nearest to a point of each box: those not farther from it than another one's farthest corner."""
+    near, far = 0.0, 0.0
+    for k in range(2):
+        d = np.abs(mid[:, k, None] - centres[None, :, k])
+        if angular and k:
+            d = np.abs(wrap(d))
+        to = np.minimum(d + half[k], math.pi) if angular and k else d + half[k]
+        near, far = near + np.maximum(d - half[k], 0) ** 2, far + to**2
+    return ~(np.sqrt(near) > np.sqrt(far).min(1, keepdims=True) * (1 + 1e-9) + 1e-12)
+
+
+def _nearest_by_raster(p: np.ndarray, centres: np.ndarray, angular: bool, low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As _nearest, in two dimensions. Points lie in a raster of cells; where only one centre may be nearest to a cell it is that of all its points."""
+    side = max(1, int(math.sqrt(min(RASTER_CELLS, len(p) / RASTER_POINTS, RASTER_PAIRS / len(centres)))))
+    width = np.maximum(span, 1e-12) / side
+
+    def code(x: np.ndarray) -> np.ndarray:
+        c = np.minimum(((x[:, 0] - low[0]) / width[0]).astype(np.int64), side - 1) * side
+        return c + np.minimum(((x[:, 1] - low[1]) / width[1]).astype(np.int64), side - 1)
+
+    some = [slice(i, i + PAIRS) for i in range(0, len(p), PAIRS)]
+    there = np.flatnonzero(reduce(np.add, (np.bincount(code(p[x]), minlength=side * side) for x in some)))
+    mid = low + (np.stack([there // side, there % side], 1) + 0.5) * width
+    half = width / 2 * (1 + 1e-6) + 1e-12 + 8 * np.finfo(float).eps * (np.abs(low) + span)  # rounding of cell borders
+    cells, of = [], []
+    step = max(1, PAIRS // len(centres))
+    for i in range(0, len(there), step):
+        a, b = np.nonzero(_far_apart(mid[i : i + step], half, centres, angular))
+        cells.append(a + i)
+        of.append(b)
+    cells, of = np.concatenate(cells), np.concatenate(of)
+    n = np.bincount(cells, minlength=len(there))
+    first = np.cumsum(n) - n
+    place = np.zeros(side * side, np.int64)
+    place[there] = np.arange(len(there))
+    label, best = np.zeros(len(p), np.int64), np.zeros(len(p))
+    for x in some:
+        label[x], best[x] = _nearest_of_cells(p[x], place[code(p[x])], centres, of, first, n, angular)
+    return label, best
+
+
+def _nearest_of_cells(p: np.ndarray, cell: np.ndarray, centres: np.ndarray, of: np.ndarray, first: np.ndarray, n: np.ndarray, angular: bool) -> tuple[np.ndarray, np.ndarray]:
+    """As _nearest, where those centres are looked at that ``of`` has from ``first`` on, ``n`` of them, for each point's cell."""
+    label = of[first[cell]]
+    best = _columns_delta(p.T, centres[label].T, angular)
+    more = np.flatnonzero(n[cell] > 1)
+    total, j = np.cumsum(n[cell[more]]), 0
+    while j < len(more):
+        done = total[j - 1] if j else 0
+        e = max(j + 1, int(np.searchsorted(total, done + PAIRS, "right")))
+        at = more[j:e]
+        m = n[cell[at]]
+        c = of[_pairs(m, first[cell[at]])]
+        d = _columns_delta((np.repeat(x, m) for x in p[at].T), centres[c].T, angular)
+        best[at], k = _first_least(d, np.cumsum(m) - m, m)
+        label[at] = c[k]
+        j = e
+    return label, best
+
+
 def _columns_delta(a, b, angular: bool) -> np.ndarray:
     """As _delta, of columns."""
     d = [x - y for x, y in zip(a, b, strict=True)]
@@ -186,6 +259,11 @@ def _nearest(p: np.ndarray, centres: np.ndarray, angular: bool) -> tuple[np.ndar
     Points are put into boxes; a centre farther from a box than another one's farthest corner is nearest to none of its points.
     """
     few = len(p) * len(centres) <= 1 << 14
+    if not few and p.shape[1] == 2 and len(centres) <= 4096:
+        low = p.min(0)
+        span = p.max(0) - low
+        if np.isfinite(span).all() and np.isfinite(centres).all():
+            return _nearest_by_raster(p, centres, angular, low, span)
     label, best = np.zeros(len(p), np.int64), np.full(len(p), np.inf)
     for box in [np.arange(len(p))] if few else _boxes(p):
         near = np.arange(len(centres))
@@ -218,7 +296,7 @@ def bin_seeds(p: np.ndarray, size: float, least: int = 1) -> np.ndarray:
 
 def angular_seeds(p: np.ndarray, size: float) -> np.ndarray:
     """Starting points in (eta, phi): each bin centre moves to the plain mean of the points nearest to it the short way round; one that is nearest to none stays. All points if each is alone in its bin."""
-    p = np.nan_to_num(p, nan=0.0)
+    p = p if np.isfinite(p).all() else np.nan_to_num(p, nan=0.0)
     seeds = bin_seeds(p, size)
     if len(seeds) == len(p):
         return seeds
@@ -625,18 +703,20 @@ def _by_bucket(points: DataFrame, buckets: int, function, out: str) -> DataFrame
     return bucketed.groupBy("_bucket").applyInArrow(lambda t: function(t.select(kept)), out)
 
 
-def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool = False, weight: str | None = None, cluster_all: bool = True, most_points: int = MOST_POINTS, most_gathered: int = MOST_GATHERED) -> DataFrame:
-    """Labels of the points of each event: the input's columns, then ``cluster_id`` and the centre's coordinates as ``c_<name>``.
+def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float, angular: bool = False, weight: str | None = None, cluster_all: bool = True, most_points: int = MOST_POINTS, most_gathered: int = MOST_GATHERED, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """Labels of the points of each event: the input's columns, then ``cluster_id`` and the centre's coordinates as ``c_<name>``; with ``keep`` only those of them.
 
     An event with one point has one cluster; a negative bandwidth puts all points of an event into cluster 0. Climbs start at the centres of bins, with ``angular`` at angular_seeds. Points with a null coordinate should be filtered before.
     """
-    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields) + ", cluster_id int, " + ", ".join(f"c_{c} double" for c in coordinates)
+    kinds = {f.name: f.dataType.simpleString() for f in points.schema.fields} | {"cluster_id": "int"} | {f"c_{c}": "double" for c in coordinates}
+    keep = list(keep or kinds)
+    out = ", ".join(f"{c} {kinds[c]}" for c in keep)
 
     def labelled(t: pa.Table, label: np.ndarray, centres: np.ndarray) -> pa.Table:
         t = t.append_column("cluster_id", pa.array(label.astype(np.int32)))
         for k, c in enumerate(coordinates):
             t = t.append_column(f"c_{c}", pa.array(np.where(label >= 0, centres[label, k], np.nan)))
-        return t
+        return t.select(keep)
 
     def whole(t: pa.Table) -> pa.Table:
         p = np.stack([_column(t, c) for c in coordinates], 1).astype(float)
@@ -660,7 +740,7 @@ def mean_shift(points: DataFrame, coordinates: tuple[str, ...], bandwidth: float
         t = t.append_column("cluster_id", pa.array(label.astype(np.int32)))
         for k, c in enumerate(coordinates):
             t = t.append_column(f"c_{c}", pa.array(at[:, k]))
-        return t
+        return t.select(keep)
 
     ws = Workspace(points.sparkSession)
     points, sizes, n_large, buckets = _sized(points, most_points, ws)

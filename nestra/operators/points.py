@@ -78,7 +78,7 @@ def split_events(points: DataFrame, bandwidth: float, decorate: Callable[[DataFr
 
     ``decorate`` is the place for one's own work on every part of an event: it gets the result as a frame and returns what takes its place.
     """
-    labelled = mean_shift(points.select("event_id", "block_no", "pos", "eta", "phi", "is_calo"), ("eta", "phi"), bandwidth, angular=True)
+    labelled = mean_shift(points.select("event_id", "block_no", "pos", "eta", "phi", "is_calo"), ("eta", "phi"), bandwidth, angular=True, keep=("event_id", "block_no", "pos", "is_calo", "cluster_id"))
     member = F.struct("block_no", "pos")
     lists = [F.array_sort(F.collect_list(F.when(cond, member))).alias(n) for n, cond in (("calo", F.col("is_calo")), ("tracks", ~F.col("is_calo")))]
     parts = labelled.groupBy("event_id", "cluster_id").agg(*lists).select("event_id", "cluster_id", F.size("calo").alias("n_calo"), F.size("tracks").alias("n_tracks"), "calo", "tracks")

@@ -250,6 +250,35 @@ def test_clusters_are_found_once_for_their_index(spark, tmp_path):
     assert [x[3] for x in got] == list(range(10)) and seen.value == 20
 
 
+@pytest.mark.parametrize(("angular", "n_centres"), [(True, 300), (False, 300), (True, 3), (True, 1)])
+def test_nearest_by_raster_is_that_of_all_pairs_without_boxes(monkeypatch, angular, n_centres):
+    r = np.random.default_rng(16)
+    p = np.r_[np.c_[r.normal(0, 1, 9000), r.uniform(-math.pi, math.pi, 9000)], np.zeros((3000, 2)), np.c_[r.integers(-3, 3, (3000, 2)) / 2], [[4.0, math.pi], [-4.0, -math.pi]]]
+    c = np.r_[r.integers(-6, 6, (n_centres, 2)) / 2, [[0.0, math.pi], [0.0, -math.pi], [1e6, 0.0]]]
+    monkeypatch.setattr(M, "_boxes", None)  # their halving took most of a large event's time
+    for x in (p, p * [1, 0], p + [1e6, 0]):
+        label, best = M._nearest(x, c, angular)
+        d = np.stack([M._delta(x, y[None], angular) for y in c], 1)
+        assert (label == d.argmin(1)).all() and (best == d.min(1)).all()
+
+
+@pytest.mark.parametrize("bandwidth", [0.5, -1.0])
+def test_kept_columns_are_those_of_all(spark, rows, bandwidth):
+    df = spark.range(60).selectExpr("id % 2 as event_id", "cast(id as int) as pos", "cast(sin(id) as double) as eta", "cast(cos(id * 3) as double) as phi").where("event_id = 0 or pos < 9")
+    keep, run = ("cluster_id", "event_id", "pos"), lambda **kw: M.mean_shift(df, ("eta", "phi"), bandwidth, angular=True, **kw)
+    for most in (1000, 10):
+        got = run(most_points=most, keep=keep)
+        assert got.columns == [*keep] and rows(got) == rows(run(most_points=most), *keep)
+
+
+@pytest.mark.parametrize("spread", [3, 3000])
+def test_unique_rows_with_and_without_sorting(spread):
+    a = np.rint(np.random.default_rng(2).normal(-5, spread, (2000, 2)))
+    rows, inverse, n = M._unique_rows(a)
+    want = np.unique(a, axis=0, return_counts=True)
+    assert (rows == want[0]).all() and (n == want[1]).all() and (rows[inverse] == a).all()
+
+
 @pytest.mark.parametrize(("angular", "weighted", "cluster_all", "bandwidth"), [(True, False, False, 0.2), (True, False, True, 0.4), (True, True, True, 0.4), (True, False, True, 2.9), (False, False, False, 0.5)])
 def test_many_small_events_at_once_are_those_one_by_one(monkeypatch, angular, weighted, cluster_all, bandwidth):
     r = np.random.default_rng(12)
